@@ -46,18 +46,18 @@ def p6_cycles(spark: SparkSession, d: str) -> DataFrame:
 
 
 _REFS = """refs AS (
-  SELECT 'edges' AS ref_table, edge_id AS ref_key, 'src' AS ref_field, src AS target_id, added_at AS at FROM edges
+  SELECT 'edges' AS ref_table, edge_id AS ref_key, 'src' AS ref_field, src AS target_id, added_at AS seen FROM edges
   UNION ALL SELECT 'edges', edge_id, 'dst', dst, added_at FROM edges
   UNION ALL SELECT 'textbooks', textbook_id, 'aligned_codes', domain || '/' || code, added_at
   FROM (SELECT textbook_id, domain, added_at, unnest(aligned_codes) AS code FROM textbooks) WHERE code <> ''
 ), per AS (
   SELECT id, min(created_at) FILTER (WHERE deleted_at IS NULL) AS live_since, min(created_at) AS first_since FROM nodes GROUP BY id
 ), bad AS (
-  SELECT DISTINCT r.ref_table, r.ref_key, r.ref_field, r.target_id, r.at,
-    CASE WHEN p.id IS NULL THEN 'missing' WHEN p.live_since IS NULL OR p.first_since <= r.at THEN 'deleted' ELSE 'late' END AS kind
+  SELECT DISTINCT r.ref_table, r.ref_key, r.ref_field, r.target_id, r.seen,
+    CASE WHEN p.id IS NULL THEN 'missing' WHEN p.live_since IS NULL OR p.first_since <= r.seen THEN 'deleted' ELSE 'late' END AS kind
   FROM refs r LEFT JOIN per p ON p.id = r.target_id
   WHERE r.target_id <> '' AND r.target_id NOT IN (SELECT root_id FROM domains WHERE root_id IS NOT NULL)
-    AND (p.live_since IS NULL OR r.at IS NULL OR p.live_since > r.at)
+    AND (p.live_since IS NULL OR r.seen IS NULL OR p.live_since > r.seen)
 )"""
 
 _LINKS = r"""links AS (
@@ -78,7 +78,7 @@ QUERIES = {f.__name__: f for f in (p2_found, p2_by_period, p6_found, p6_hierarch
 
 SQL = {
     "p2_found": f"WITH {_REFS} SELECT DISTINCT ref_table, ref_key, ref_field, target_id FROM bad",
-    "p2_by_period": f"WITH {_REFS} SELECT ref_table, strftime(at, '%Y-%m') AS period, kind, count(*) AS n_refs FROM bad GROUP BY ALL",
+    "p2_by_period": f"WITH {_REFS} SELECT ref_table, strftime(seen, '%Y-%m') AS period, kind, count(*) AS n_refs FROM bad GROUP BY ALL",
     "p6_found": f"WITH RECURSIVE {_LINKS} SELECT id AS node_id, root_id, depth::INTEGER AS depth FROM down UNION ALL SELECT id, circle_id, -1 FROM low",
     "p6_hierarchy": f"WITH RECURSIVE {_LINKS} SELECT d.id AS node_id, d.root_id, d.depth::INTEGER AS depth, d.path, coalesce(s.n, 0)::BIGINT AS n_descendants FROM down d LEFT JOIN sizes s ON s.id = d.id UNION ALL SELECT id, circle_id, -1, NULL, NULL FROM low",
     "p6_descendants": f"WITH RECURSIVE {_LINKS} SELECT a.id AS node_id, r.id AS descendant_id, (e.depth - a.depth)::INTEGER AS distance FROM reach r JOIN down a ON a.id = r.anc JOIN down e ON e.id = r.id",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,16 +20,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where it is unset (local tests)."""
+    key = "spark.checkpoint.dir"
+    found = spark.conf.get(key, None) or spark.sparkContext.getCheckpointDir()
+    if found is None:
+        found = tempfile.mkdtemp(prefix="loomleaf-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows with their lineage cut by a reliable checkpoint.
+    """The same rows with their lineage cut by a table written to the shared folder.
 
-    The folder is the one that the session names in spark.checkpoint.dir; where it names
-    none (local tests) a temporary one is set. Executors may be lost afterwards.
+    A written table rather than checkpoint(): a checkpointed plan carries its constraints and
+    partitionings along, which double in every round of a loop that joins it to itself.
+    Executors may be lost afterwards. release() removes the files once nothing reads them.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loomleaf-"))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/loomleaf-cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._loomleaf_path = path
+    return out
+
+
+def release(*cuts: DataFrame) -> None:
+    """Remove the files behind what cut() gave."""
+    for df in cuts:
+        jvm, path = df.sparkSession._jvm, df._loomleaf_path
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
 def hot_limit(rows: int) -> int:
