@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomleaf.llm import canonical, unify
+from loomleaf.llm import canonical, encoding, unify
 from loomleaf.runtime import table
 
 
@@ -26,8 +26,19 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return unify.content_code_nodes(table(spark, d, "content_codes"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p4_found)}
+def _garbled(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.garbled_values(table(spark, d, "exam_records"), "exam_id", ["original_filename", "school"], ["subject", "test_type", "version", "body"])
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _garbled(spark, d).select("exam_id", "field").distinct()
+
+
+def p5_restored(spark: SparkSession, d: str) -> DataFrame:
+    """Every garbled value with its original, null where it can't be recovered."""
+    return _garbled(spark, d)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p4_found, p5_found, p5_restored)}
 
-# In this project's data every code has its node, so the node that a code denotes can also be told in SQL
-# by comparing what is left of both once everything but the last letters and digits is folded.
 SQL: dict[str, str] = {}
