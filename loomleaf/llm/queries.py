@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomleaf.llm import canonical, encoding, unify
+from loomleaf.llm import canonical, encoding, scans, unify
 from loomleaf.runtime import table
 
 
@@ -22,6 +22,15 @@ def p1_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return canonical.unmatched_values(_mapped(spark, d))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.scan_noise(table(spark, d, "structured"))
+
+
+def p3_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Every text as continuous readable paragraphs."""
+    return scans.repaired_text(table(spark, d, "structured"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return unify.content_code_nodes(table(spark, d, "content_codes"))
 
@@ -39,6 +48,6 @@ def p5_restored(spark: SparkSession, d: str) -> DataFrame:
     return _garbled(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p4_found, p5_found, p5_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_repaired, p4_found, p5_found, p5_restored)}
 
 SQL: dict[str, str] = {}
