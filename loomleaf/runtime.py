@@ -99,3 +99,13 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least twice as many parts as there are cores; moved only where its files give fewer.
+
+    For costly Python stages over small or few files; on inputs that already fill the cluster
+    nothing is shuffled.
+    """
+    least = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= least else df.repartition(least)
