@@ -20,8 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Simplified forms and the traditional characters they stand for.
-SIMPLIFIED = dict(zip("国数学会与体综动艺术语资讯闽测验习补拟评军训历听写画乐题级类复讲课导师团队单业务书东车马鱼鸟长门问间闻丽网红绿时报备条运题图种经济电脑脉线优传统实践", "國數學會與體綜動藝術語資訊閩測驗習補擬評軍訓歷聽寫畫樂題級類複講課導師團隊單業務書東車馬魚鳥長門問間聞麗網紅綠時報備條運題圖種經濟電腦脈線優傳統實踐"))
+from loomleaf.llm.hanzi import TRADITIONAL
+from loomleaf.runtime import spread
+
 # Characters often mistaken for one another by sight or by sound, group by group.
 CONFUSED = "國囯囶 文汶紋 英瑛 數敷 學斈 自白目 然燃 科料 社杜 會曾 活話 健建鍵 康糠慷 體軆 術朮述 技枝 考老 段叚 期其 末未 測側 擬疑 土士 防妨 歷曆 理埋 模摸 補捕 複復覆 訊迅 全金 與輿 語話 驗臉 習羽 公分 美羊 音昔 家冢".split()
 # What may stand around a name without being part of it.
@@ -46,7 +47,7 @@ TRIE_PATHS = 100_000
 def plain(value: str) -> str:
     """Letters and digits of the value in one form: compatibility forms folded, lower case, traditional characters, no marks or blanks."""
     s = unicodedata.normalize("NFKC", value).casefold()
-    return "".join(SIMPLIFIED.get(c, c) for c in s if unicodedata.category(c)[0] in "LN")
+    return "".join(TRADITIONAL.get(c, c) for c in s if unicodedata.category(c)[0] in "LN")
 
 
 def bared(value: str) -> list[str]:
@@ -189,7 +190,7 @@ def map_to_entries(records: DataFrame, key: str, fields: list[str], entries: Dat
 
     kind = dict(records.dtypes)[key]
     src = records.where(F.col(key).isNotNull()).select(key, *fields)
-    return src.mapInPandas(batches, f"`{key}` {kind}, field string, value_id int, value string").distinct()
+    return spread(src).mapInPandas(batches, f"`{key}` {kind}, field string, value_id int, value string").distinct()
 
 
 def unmatched_values(mapped: DataFrame) -> DataFrame:

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomleaf.runtime import spread
+
 ENCODERS = ("western", "cp437", "mac_roman", "gb18030", "cp950", "big5hkscs", "shift_jis", "cp850", "koi8_r")
 DECODERS = ("utf-8", "cp950", "big5hkscs", "gb18030", "shift_jis")
 #: What a step adds to the cost, by how much the text must get cheaper, how many texts are looked at.
@@ -194,4 +196,4 @@ def garbled_values(records: DataFrame, key: str, fields: list[str], context: lis
 
     kind = records.schema[key].dataType
     schema = T.StructType([T.StructField(key, kind), T.StructField("field", T.StringType()), T.StructField("value", T.StringType()), T.StructField("original", T.StringType())])
-    return src.select(key, *fields).where(F.col(key).isNotNull()).mapInPandas(batches, schema).distinct()
+    return spread(src.select(key, *fields).where(F.col(key).isNotNull())).mapInPandas(batches, schema).distinct()

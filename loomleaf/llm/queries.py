@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomleaf.llm import canonical, encoding, scans, unify
+from loomleaf.llm import canonical, encoding, leakage, scans, unify
 from loomleaf.runtime import table
 
 
@@ -48,6 +48,19 @@ def p5_restored(spark: SparkSession, d: str) -> DataFrame:
     return _garbled(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_repaired, p4_found, p5_found, p5_restored)}
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).select("doc_id", "item_id")
+
+
+def p7_items(spark: SparkSession, d: str) -> DataFrame:
+    """The items that leaked, with the number of documents and the largest share held."""
+    return _leaks(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"), F.max("share").alias("most"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_repaired, p4_found, p5_found, p5_restored, p7_found, p7_items)}
 
 SQL: dict[str, str] = {}

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomleaf.runtime import cut, spread, union_all
+
 #: A frequent word outnumbers a misreading of it in the same surroundings by this factor at least.
 RATIO = 20
 #: Different surroundings in which a substitution must be seen to be believed by itself.
@@ -230,8 +232,6 @@ def in_blocks(table: DataFrame, key: str) -> Iterator[list]:
 
 def without_furniture(docs: DataFrame) -> DataFrame:
     """docs (key, domain, raw) with gone: the places of the lines that are headers, footers or page numbers."""
-    from loomleaf.runtime import cut, union_all
-
     def marked(known: set[str]) -> DataFrame:
         def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             f = Furniture(known)
@@ -367,10 +367,8 @@ def _repaired(raw: str, gone: list[int], mender: Mender) -> str:
 
 
 def _prepared(docs: DataFrame, key: str, domain: str, text: str) -> tuple[DataFrame, DataFrame]:
-    from loomleaf.runtime import cut
-
     src = docs.where(F.col(key).isNotNull() & (F.col(text) != "")).select(F.col(key).cast("bigint").alias("key"), F.col(domain).alias("domain"), F.col(text).alias("raw")).distinct()
-    clean = cut(without_furniture(src))
+    clean = spread(cut(without_furniture(spread(src))))
     counts = cut(clean.select("raw", "gone").mapInPandas(lambda it: map(counted, it), "kind string, item string, context string, n long").groupBy("kind", "item", "context").agg(F.sum("n").alias("n")))
     return clean, cut(links(counts))
 
@@ -394,8 +392,6 @@ def scan_noise(docs: DataFrame, key: str = "file_id", domain: str = "domain", te
                 yield pd.DataFrame(found, columns=[key, "line_no", "kind"])
 
         parts.append(clean.mapInPandas(run, f"`{key}` long, line_no int, kind string"))
-    from loomleaf.runtime import union_all
-
     return union_all(parts).distinct()
 
 
