@@ -11,8 +11,9 @@ three of its sentences.
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,8 +53,16 @@ def terms(sentence: str) -> set[str]:
     return out | {f"{a} {b}" for a, b in zip(words, words[1:])}
 
 
-def hashed(sentence: str) -> list[int]:
-    return sorted({zlib.crc32(t.encode()) % TERMS for t in terms(sentence)})
+@functools.lru_cache(maxsize=500_000)
+def slots(term: str) -> tuple[int, int]:
+    """Two places of a term in the tables, one in either half; what both say counts, so hardly any terms are mixed up."""
+    d = hashlib.blake2b(term.encode(), digest_size=8).digest()
+    half = TERMS // 2
+    return int.from_bytes(d[:4], "little") % half, half + int.from_bytes(d[4:], "little") % half
+
+
+def hashed(sentence: str) -> list[tuple[int, int]]:
+    return sorted({slots(t) for t in terms(sentence)})
 
 
 class Batch:
@@ -62,7 +71,8 @@ class Batch:
     def __init__(self, pdf: pd.DataFrame):
         sizes = [np.asarray(x, np.int64) for x in pdf["sizes"]]
         self.docs = len(pdf)
-        self.term = np.concatenate([np.asarray(x, np.int64) for x in pdf["feats"]]) if len(pdf) else np.zeros(0, np.int64)
+        both = np.concatenate([np.asarray(x, np.int64) for x in pdf["feats"]]) if len(pdf) else np.zeros(0, np.int64)
+        self.term, self.twin = both[0::2], both[1::2]
         size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
         self.sentences = len(size)
         self.sentence = np.repeat(np.arange(len(size)), size)
@@ -117,7 +127,7 @@ def _featured(docs: DataFrame, key: str) -> DataFrame:
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             found = [[h for h in map(hashed, sentences(t)) if h] for t in pdf["text"]]
-            yield pd.DataFrame({"key": pdf["key"], "feats": [[x for s in d for x in s] for d in found], "sizes": [[len(s) for s in d] for d in found]})
+            yield pd.DataFrame({"key": pdf["key"], "feats": [[x for s in d for pair in s for x in pair] for d in found], "sizes": [[len(s) for s in d] for d in found]})
 
     src = docs.where(F.col(key).isNotNull() & (F.col("text") != "")).select(F.col(key).cast("bigint").alias("key"), "text").distinct()
     return cut(spread(src).mapInPandas(run, "key long, feats array<int>, sizes array<int>"))
@@ -134,8 +144,8 @@ class Model:
         k = len(self.areas)
         if not b.sentences:
             return np.zeros(0, np.int64)
-        score = b.sums(self.telling[b.term], b.sentence, b.sentences) if k else np.zeros((b.sentences, 1))
-        other = np.bincount(b.sentence, weights=self.excluded[b.term], minlength=b.sentences)
+        score = b.sums(np.minimum(self.telling[b.term], self.telling[b.twin]), b.sentence, b.sentences) if k else np.zeros((b.sentences, 1))
+        other = np.bincount(b.sentence, weights=np.minimum(self.excluded[b.term], self.excluded[b.twin]), minlength=b.sentences)
         best = score.argmax(1)
         most = score[np.arange(len(best)), best]
         return np.where((most > 0) & (most > other), best, -1)
@@ -158,7 +168,7 @@ def fit(feats: DataFrame, labels: DataFrame, excluded: list[str]) -> Model:
                 np.add.at(acc, (b.term[b.doc == j], place[a]), 1)
 
     def occurrences(acc: np.ndarray, b: Batch, pdf: pd.DataFrame) -> None:
-        acc[:, 0] += np.bincount(b.term, minlength=TERMS)
+        acc[:, 0] += np.bincount(b.term, minlength=TERMS) + np.bincount(b.twin, minlength=TERMS)
 
     n = _summed(feats, 1, occurrences)[:, 0].astype(np.float64)
     p = (n + 0.01) / (n.sum() + 0.01 * TERMS)
@@ -178,7 +188,7 @@ def fit(feats: DataFrame, labels: DataFrame, excluded: list[str]) -> Model:
     told = np.zeros(TERMS)
     for t in excluded:
         for s in sentences(t):
-            told[hashed(s)] += 1
+            told[[x for pair in hashed(s) for x in pair]] += 1
     odd = np.zeros(TERMS, np.float32)
     if told.sum():
         share = told / told.sum()
@@ -198,7 +208,7 @@ def fit(feats: DataFrame, labels: DataFrame, excluded: list[str]) -> Model:
                 theta += 0.05
             theta = theta / theta.sum(1, keepdims=True)
             for j in range(k):
-                acc[:, j] += np.bincount(b.term, weights=theta[b.doc, j], minlength=TERMS)
+                acc[:, j] += np.bincount(b.term, weights=theta[b.doc, j], minlength=TERMS) + np.bincount(b.twin, weights=theta[b.doc, j], minlength=TERMS)
 
         if not k:
             break
