@@ -14,13 +14,10 @@ the deepest node has depth d >= 2^k, nodes of every smaller depth exist, so some
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomleaf.runtime import cut, hot_limit, lookup_join, stripped
-
-#: Siblings are ordered by (bucket of the id's hash, id); a bucket holds about so many siblings at most.
-SIBLINGS_PER_BUCKET = 50_000
+from loomleaf.runtime import cut, hot_limit, lookup_join, release, running_total, stripped
 
 
 def prerequisite_links(edges: DataFrame) -> DataFrame:
@@ -47,7 +44,8 @@ def _upward(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         moved = lookup_join(grown.where("jump is not null"), above, ("jump", "up"), _hot_jumps(inbound, active), spread="id").select(
             "id", "parent", F.col("up_jump").alias("jump"), (F.col("depth") + F.coalesce("up_depth", F.lit(0))).alias("depth"), F.coalesce("up_root", "root_id").alias("root_id"), "size"
         )
-        state = cut(grown.where("jump is null").unionByName(moved))
+        before, state = state, cut(grown.where("jump is null").unionByName(moved))
+        release(before, inbound)
         left = state.where("jump is not null").count()
         if left == active:
             break
@@ -83,21 +81,10 @@ def _circles(rest: DataFrame) -> DataFrame:
 
 
 def _sibling_offsets(tree: DataFrame, rows: int) -> DataFrame:
-    """tree with offset: 1 + the sizes of the siblings before the node; of a root, its tree's place.
-
-    No window runs over all children of a parent: siblings are first split into buckets by a
-    hash of the id, whose sums (as many per parent as there are buckets) are run over next.
-    """
-    buckets = max(8, -(-rows // SIBLINGS_PER_BUCKET))
-    t = tree.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)))
-    sums = t.groupBy("parent", "bucket").agg(F.sum("size").alias("bucket_size"))
-    before = Window.partitionBy("parent").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(F.col("parent").alias("p2"), F.col("bucket").alias("b2"), F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("start"))
-    within = Window.partitionBy("parent", "bucket").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    t = t.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    t = t.join(starts, F.col("parent").eqNullSafe(F.col("p2")) & (F.col("bucket") == F.col("b2")))
+    """tree with offset: 1 + the sizes of the siblings before the node; of a root, its tree's place."""
+    t = running_total(tree, "parent", "id", "size", "before", rows)
     own = F.when(F.col("parent").isNull(), 0).otherwise(1)
-    return t.select("id", "parent", "depth", "root_id", "size", (F.col("start") + F.col("inside") + own).alias("offset"))
+    return t.select("id", "parent", "depth", "root_id", "size", (F.col("before") + own).alias("offset"))
 
 
 def _downward(tree: DataFrame, rows: int, with_path: bool) -> DataFrame:
@@ -115,7 +102,8 @@ def _downward(tree: DataFrame, rows: int, with_path: bool) -> DataFrame:
         moved = lookup_join(moving, above, ("jump", "up"), _hot_jumps(inbound, n), spread="id", how="inner").select(
             "id", "parent", "depth", "root_id", "size", F.col("up_jump").alias("jump"), (F.col("lft") + F.col("up_lft")).alias("lft"), F.concat("up_path", "path").alias("path")
         )
-        state = cut(state.where("jump is null").unionByName(moved))
+        before, state = state, cut(state.where("jump is null").unionByName(moved))
+        release(before, inbound)
     return state.select("id", "parent", "root_id", "depth", "lft", (F.col("lft") + F.col("size") - 1).alias("rgt"), "path")
 
 

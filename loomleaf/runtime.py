@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A key is hot when it holds more rows than this, or a 2000th of all rows if that is more;
@@ -109,3 +109,21 @@ def spread(df: DataFrame) -> DataFrame:
     """
     least = 2 * df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= least else df.repartition(least)
+
+
+def running_total(df: DataFrame, group: str, key: str, value: str, name: str, rows: int, per_bucket: int = 50_000) -> DataFrame:
+    """df with `name`: the sum of `value` over the rows before it in its group, in a seeded order of `key`.
+
+    Rows are ordered by a bucket of the key's hash and then by key, so that no window runs over
+    a whole group: within a bucket first, then over the sums of a group's buckets. rows is the
+    number of all rows; a null group is a group. Keys must be unique within a group.
+    """
+    buckets = max(8, -(-rows // per_bucket))
+    t = df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    sums = t.groupBy(group, "_bucket").agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(F.col(group).alias("_group"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy(group, "_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    t = t.withColumn("_inside", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    t = t.join(starts, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_bucket") == F.col("_b")))
+    return t.withColumn(name, F.col("_start") + F.col("_inside")).drop("_bucket", "_group", "_b", "_start", "_inside")
