@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomleaf.llm import canonical, encoding, leakage, scans, subjects, unify
+from loomleaf.llm import canonical, encoding, leakage, mixing, scans, subjects, unify
 from loomleaf.runtime import table
 
 
@@ -61,6 +61,16 @@ def p7_items(spark: SparkSession, d: str) -> DataFrame:
     return _leaks(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"), F.max("share").alias("most"))
 
 
+def p8_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of the mix, with the source they count for and how often they are repeated."""
+    return mixing.mixed(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The shares reached."""
+    return mixing.mixed(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
+
+
 def _subjects(spark: SparkSession, d: str) -> DataFrame:
     items = table(spark, d, "eval_items")
     stories = items.select("text").unionByName(items.select(F.col("question").alias("text")))
@@ -76,6 +86,6 @@ def p9_composition(spark: SparkSession, d: str) -> DataFrame:
     return subjects.composition(_subjects(spark, d), table(spark, d, "subject_areas"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_repaired, p4_found, p5_found, p5_restored, p7_found, p7_items, p9_found, p9_composition)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_repaired, p4_found, p5_found, p5_restored, p7_found, p7_items, p8_documents, p8_shares, p9_found, p9_composition)}
 
 SQL: dict[str, str] = {}
