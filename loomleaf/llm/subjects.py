@@ -65,6 +65,12 @@ def hashed(sentence: str) -> list[tuple[int, int]]:
     return sorted({slots(t) for t in terms(sentence)})
 
 
+def chunks(pdf: pd.DataFrame, docs: int = 400) -> Iterator[pd.DataFrame]:
+    """The rows of a batch in parts small enough for tables of occurrences by topics."""
+    for i in range(0, len(pdf), docs):
+        yield pdf.iloc[i : i + docs].reset_index(drop=True)
+
+
 class Batch:
     """Documents of a batch as arrays: term, sentence and document of each occurrence."""
 
@@ -100,27 +106,33 @@ def _summed(docs: DataFrame, width: int, step) -> np.ndarray:  # noqa: ANN001
     rows = TERMS // SLICES
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc, any_rows = np.zeros((TERMS, width), np.float32), False
+        acc = np.zeros((TERMS, width), np.float32)
         for pdf in it:
-            if len(pdf):
-                any_rows = True
-                step(acc, Batch(pdf), pdf)
-        if any_rows:
-            yield pd.DataFrame({"part": list(range(SLICES)), "m": [acc[k * rows : (k + 1) * rows].tobytes() for k in range(SLICES)]})
+            for part in chunks(pdf):
+                step(acc, Batch(part), part)
+        met = np.flatnonzero(acc.any(1)).astype(np.int32)  # only terms that occurred are sent on
+        for k in range(SLICES):
+            at = met[(met >= k * rows) & (met < (k + 1) * rows)]
+            if len(at):
+                yield pd.DataFrame({"part": [k], "at": [at.tobytes()], "m": [acc[at].tobytes()]})
 
     def total(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        acc = np.zeros(rows * width, np.float32)
-        for m in pdf["m"]:
-            acc += np.frombuffer(m, np.float32)
-        return pd.DataFrame({"part": [int(key[0])], "m": [acc.tobytes()]})
-
-    parts = docs.mapInPandas(run, "part int, m binary")
+        k = int(key[0])
+        acc = np.zeros((rows, width), np.float32)
+        for at, m in zip(pdf["at"], pdf["m"]):
+            at = np.frombuffer(at, np.int32) - k * rows
+            acc[at] += np.frombuffer(m, np.float32).reshape(len(at), width)
+        met = np.flatnonzero(acc.any(1)).astype(np.int32)
+        return pd.DataFrame({"part": [k], "at": [(met + k * rows).astype(np.int32).tobytes()], "m": [acc[met].tobytes()]})
+
+    kind = "part int, at binary, m binary"
+    parts = docs.mapInPandas(run, kind)
     groups = max(1, int(docs.rdd.getNumPartitions() ** 0.5))
-    parts = parts.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(groups))).groupBy("part", "g").applyInPandas(total, "part int, m binary")
-    out = np.zeros((SLICES, rows, width), np.float32)
-    for r in parts.groupBy("part").applyInPandas(total, "part int, m binary").collect():
-        out[r.part] = np.frombuffer(r.m, np.float32).reshape(rows, width)
-    return out.reshape(TERMS, width)
+    parts = parts.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(groups))).groupBy("part", "g").applyInPandas(total, kind)
+    out = np.zeros((TERMS, width), np.float32)
+    for r in parts.groupBy("part").applyInPandas(total, kind).collect():
+        out[np.frombuffer(r.at, np.int32)] = np.frombuffer(r.m, np.float32).reshape(-1, width)
+    return out
 
 
 def _featured(docs: DataFrame, key: str) -> DataFrame:
@@ -238,9 +250,9 @@ def document_subjects(docs: DataFrame, labels: DataFrame, excluded: DataFrame |
     model = fit(feats, labels.select(F.col(key).cast("bigint").alias("key"), "area_id"), _excluded_texts(excluded))
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
+        for pdf in (part for whole in it for part in chunks(whole)):
             out = []
-            if len(pdf) and len(model.areas):
+            if len(model.areas):
                 b = Batch(pdf)
                 z = model.assigned(b)
                 n = np.zeros((b.docs, len(model.areas)), np.int64)
