@@ -1,2 +1,503 @@
-QUERIES = {}
-SQL = {}
+"""Queries over the curriculum, graph and exam tables, each beside its SQL twin."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomleaf.functions import rules, text
+from loomleaf.operators import analyze, graph, quality
+from loomleaf.runtime import table
+from loomleaf.sources import writers
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None) -> Callable:
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _of(name: str, key: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, d: table(spark, d, name).dropDuplicates([key])
+
+
+_nodes = lambda spark, d: table(spark, d, "nodes").dropDuplicates(["node_row"])
+_edges = _of("edges", "edge_id")
+_files = _of("structured", "file_id")
+_codes = _of("content_codes", "code_id")
+_exams = _of("exam_records", "exam_id")
+_books = _of("textbooks", "textbook_id")
+
+N = "n AS (SELECT DISTINCT ON (node_row) * FROM nodes)"
+E = "e AS (SELECT DISTINCT ON (edge_id) * FROM edges)"
+S = "s AS (SELECT DISTINCT ON (file_id) * FROM structured)"
+C = "c AS (SELECT DISTINCT ON (code_id) * FROM content_codes)"
+X = "x AS (SELECT DISTINCT ON (exam_id) * FROM exam_records)"
+B = "b AS (SELECT DISTINCT ON (textbook_id) * FROM textbooks)"
+ORD = "CASE {0} WHEN 'I' THEN 1 WHEN 'II' THEN 2 WHEN 'III' THEN 3 WHEN 'IV' THEN 4 WHEN 'V' THEN 5 ELSE 99 END"
+
+# --- graphs -----------------------------------------------------------------------------------
+
+NODES = f"""{S}, {C}, perf AS (
+  SELECT domain, source_file, unnest(performance_codes) AS c, generate_subscripts(performance_codes, 1) - 1 AS idx FROM s
+), g AS (
+  SELECT domain || '/' || c.code AS id, domain, source_file, c.code AS code, c.stage AS stage, c.category AS category, c.ordinal AS ordinal, 'performance' AS type, idx::INTEGER AS index FROM perf
+  UNION ALL SELECT c.domain || '/' || c.code, c.domain, s.source_file, c.code, c.stage, c.category, c.ordinal, 'content', c.idx FROM c JOIN s USING (file_id)
+), gn AS (SELECT * FROM g WHERE code IS NOT NULL AND domain IS NOT NULL)"""
+
+
+def _built(spark: SparkSession, d: str) -> DataFrame:
+    codes = _codes(spark, d)
+    return graph.build_nodes(_files(spark, d), codes)
+
+
+@query(f"WITH {NODES} SELECT id, code, stage, category, ordinal, type, source_file, index FROM gn")
+def graph_nodes(spark: SparkSession, d: str) -> DataFrame:
+    return _built(spark, d).select("id", "code", "stage", "category", "ordinal", "type", "source_file", "index")
+
+
+AUTO = f"""{N}, o AS (SELECT *, {ORD.format("stage")} AS o FROM n WHERE category IS NOT NULL AND ordinal IS NOT NULL),
+w AS (SELECT id AS src, domain, o, lead(id) OVER win AS dst, lead(o) OVER win AS o2 FROM o WINDOW win AS (PARTITION BY domain, category, ordinal ORDER BY o, node_row, id)),
+auto AS (SELECT src, dst, domain FROM w WHERE o < 99 AND o2 < 99 AND o2 > o)"""
+
+
+@query(f"WITH {AUTO} SELECT * FROM auto")
+def graph_next_stage(spark: SparkSession, d: str) -> DataFrame:
+    return graph.link_next(_nodes(spark, d), "node_row")
+
+
+@query(
+    f"""WITH {AUTO}, {E}, u AS (
+  SELECT src, dst, 'prerequisite' AS relation, 'auto' AS source, 'recommended' AS strength, 0 AS r, 0 AS edge_id FROM auto
+  UNION ALL SELECT src, dst, lower(trim(relation)), source, strength, 1, edge_id FROM e WHERE src IS NOT NULL AND dst IS NOT NULL AND relation IS NOT NULL)
+SELECT src, dst, relation, source, strength FROM (SELECT *, row_number() OVER (PARTITION BY src, dst, relation ORDER BY r, edge_id, source, strength) AS k FROM u) WHERE k = 1"""
+)
+def graph_first_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Automatic and entered edges together, the first of each key."""
+    auto = graph.automatic_edges(_nodes(spark, d), "node_row").select("src", "dst", "relation", "source", "strength").withColumn("r", F.lit(0)).withColumn("edge_id", F.lit(0).cast("bigint"))
+    given = _edges(spark, d).where("src is not null and dst is not null and relation is not null").select("src", "dst", F.lower(F.trim("relation")).alias("relation"), "source", "strength", F.lit(1).alias("r"), "edge_id")
+    both = auto.distinct().unionByName(given)
+    return graph.first_edges(both, F.col("r"), "edge_id").select("src", "dst", "relation", "source", "strength")
+
+
+@query(
+    f"""WITH {N}, {E}, a AS (SELECT domain, count(*) AS n_nodes, count(*) FILTER (WHERE type = 'performance') AS n_performance, count(*) FILTER (WHERE type = 'content') AS n_content,
+  count(DISTINCT id) AS n_ids, count(DISTINCT category) AS n_categories, count(DISTINCT source_file) AS n_files FROM n GROUP BY domain),
+b AS (SELECT split_part(src, '/', 1) AS domain, count(*) FILTER (WHERE source = 'auto') AS n_auto, count(*) FILTER (WHERE source <> 'auto') AS n_manual FROM e GROUP BY 1)
+SELECT a.*, coalesce(n_auto, 0) AS n_auto, coalesce(n_manual, 0) AS n_manual FROM a LEFT JOIN b USING (domain)"""
+)
+def graph_domains(spark: SparkSession, d: str) -> DataFrame:
+    return graph.domain_summary(_nodes(spark, d), _edges(spark, d))
+
+
+@query(
+    f"""WITH {N}, {E}, l AS (SELECT domain, 0 AS rank, '    ' || regexp_replace(code, '[^A-Za-z0-9_一-鿿]', '_', 'g') || '["' || code || '"]' AS line FROM n
+UNION SELECT split_part(src, '/', 1), 1, '    ' || regexp_replace(substr(src, strpos(src, '/') + 1), '[^A-Za-z0-9_一-鿿]', '_', 'g') || ' -->|' || relation || '| ' || regexp_replace(substr(dst, strpos(dst, '/') + 1), '[^A-Za-z0-9_一-鿿]', '_', 'g')
+FROM e WHERE src IS NOT NULL AND dst IS NOT NULL) SELECT * FROM l"""
+)
+def graph_mermaid_lines(spark: SparkSession, d: str) -> DataFrame:
+    return graph.mermaid_lines(_nodes(spark, d), _edges(spark, d))
+
+
+@query(
+    f"""WITH {N}, {E}, p AS (SELECT id, max(stage) AS stage FROM n GROUP BY id), t AS (SELECT e.edge_id, e.src, e.dst, a.stage AS src_stage, b.stage AS dst_stage FROM e LEFT JOIN p a ON a.id = e.src LEFT JOIN p b ON b.id = e.dst WHERE e.source = 'auto')
+SELECT DISTINCT * FROM t WHERE {ORD.format("src_stage")} = 99 OR {ORD.format("dst_stage")} = 99 OR {ORD.format("src_stage")} >= {ORD.format("dst_stage")}"""
+)
+def graph_stage_order(spark: SparkSession, d: str) -> DataFrame:
+    return graph.stage_violations(_edges(spark, d), _nodes(spark, d))
+
+
+@query(f"WITH {NODES}, x AS (SELECT DISTINCT id FROM gn), y AS (SELECT DISTINCT id FROM nodes) SELECT id, 'left' AS side FROM (SELECT * FROM x EXCEPT SELECT * FROM y) UNION ALL SELECT id, 'right' FROM (SELECT * FROM y EXCEPT SELECT * FROM x)")
+def graph_difference(spark: SparkSession, d: str) -> DataFrame:
+    """Ids that only the files or only the node table has."""
+    return analyze.symmetric_difference(_built(spark, d).select("id").distinct(), table(spark, d, "nodes").select("id").distinct())
+
+
+@query(f"WITH {N} SELECT id, title, stage FROM n WHERE stage = 'IV' AND (list_contains(keywords, '光合作用') OR contains(title, '光合作用') OR contains(description, '光合作用'))")
+def graph_search(spark: SparkSession, d: str) -> DataFrame:
+    return graph.search(_nodes(spark, d), "IV", "光合作用").select("id", "title", "stage")
+
+
+# --- text -------------------------------------------------------------------------------------
+
+CODE = text.CODE_IN_TEXT.replace("(?:", "(?:")
+
+
+@query(f"WITH {S}, k AS (SELECT file_id, unnest(list_distinct(regexp_extract_all(raw_section_5, '{CODE}', 1))) AS code FROM s WHERE raw_section_5 IS NOT NULL) SELECT DISTINCT file_id, code FROM k")
+def text_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Every code that stands in a file's text."""
+    return _files(spark, d).where("raw_section_5 is not null").select("file_id", F.explode(text.codes("raw_section_5")).alias("code"))
+
+
+@query(
+    f"""WITH {S}, k AS (SELECT DISTINCT unnest(regexp_extract_all(raw_section_5, '{CODE}', 1)) AS code FROM s), p AS (SELECT code, regexp_extract(code, '{text.PARTS}', 3) AS raw, regexp_extract(code, '{text.PARTS}', 2) AS category, regexp_extract(code, '{text.PARTS}', 4) AS ordinal FROM k)
+SELECT code, CASE raw WHEN 'Ⅰ' THEN 'I' WHEN 'Ⅱ' THEN 'II' WHEN 'Ⅲ' THEN 'III' WHEN 'Ⅳ' THEN 'IV' WHEN 'Ⅴ' THEN 'V' WHEN '1' THEN 'I' WHEN '2' THEN 'II' WHEN '3' THEN 'III' WHEN '4' THEN 'IV' WHEN '5' THEN 'V' ELSE raw END AS stage, category, try_cast(ordinal AS INTEGER) AS ordinal,
+CASE WHEN regexp_matches(raw, '^[1-5]$') THEN 'numeric_phase' ELSE 'roman_phase' END AS code_format, CASE WHEN regexp_matches(category, '^[A-Z]') THEN 'content' ELSE 'performance' END AS kind FROM p"""
+)
+def text_code_parts(spark: SparkSession, d: str) -> DataFrame:
+    c = _files(spark, d).select(F.explode(text.codes("raw_section_5")).alias("code")).distinct()
+    return c.select(text.code_parts(F.col("code")).alias("p")).select("p.*")
+
+
+@query(
+    f"""WITH {S} SELECT file_id, frontmatter.title AS title, frontmatter.source AS source, frontmatter.published_date AS published_date FROM s"""
+)
+def text_frontmatter(spark: SparkSession, d: str) -> DataFrame:
+    """Frontmatter written as a document and parsed again."""
+    fields = ["title", "domain", "source", "source_url", "published_date", "downloaded_date"]
+    doc = _files(spark, d).select("file_id", writers.frontmatter_text([(f, F.col(f"frontmatter.{f}")) for f in fields], F.lit("x")).alias("t"))
+    m = doc.select("file_id", text.frontmatter("t").alias("m"))
+    return m.select("file_id", *[F.try_element_at("m", F.lit(f)).alias(f) for f in ("title", "source", "published_date")])
+
+
+@query(f"WITH {B} SELECT textbook_id, 'I' AS stage FROM b WHERE false UNION ALL SELECT textbook_id, nullif(regexp_extract(source_md, 'stage-([IV]+)-', 1), '') FROM b")
+def text_stage_of_path(spark: SparkSession, d: str) -> DataFrame:
+    return _books(spark, d).select("textbook_id", text.stage_from_path(F.col("source_url"), F.col("source_md")).alias("stage"))
+
+
+@query(
+    f"""WITH {B}, k AS (SELECT textbook_id, unnest(chapters) AS c FROM b) SELECT textbook_id, trim(regexp_replace(c.raw_line, '^#+', '')) AS title, c.raw_line AS raw_line, count(*)::BIGINT AS n FROM k
+WHERE regexp_matches(c.raw_line, '^### [^—:：]+$') GROUP BY ALL"""
+)
+def text_chapters(spark: SparkSession, d: str) -> DataFrame:
+    """Chapter lines put together as a document and found again."""
+    doc = _books(spark, d).select("textbook_id", F.array_join(F.transform("chapters", lambda c: c["raw_line"]), "\n\n").alias("t"))
+    return doc.select("textbook_id", F.explode(text.chapters("t")).alias("c")).groupBy("textbook_id", "c.title", "c.raw_line").agg(F.count(F.lit(1)).alias("n"))
+
+
+HINT_WORDS = ["學習重點", "觀察", "並"]
+
+
+@query(f"WITH {S} SELECT file_id, w.word AS word, ((length(raw_section_5) - length(replace(raw_section_5, w.word, ''))) / length(w.word))::INTEGER AS n FROM s, (VALUES ('學習重點'), ('觀察'), ('並')) w(word) WHERE contains(raw_section_5, w.word)")
+def text_keyword_counts(spark: SparkSession, d: str) -> DataFrame:
+    return _files(spark, d).select("file_id", F.explode(text.keyword_counts(F.col("raw_section_5"), HINT_WORDS)).alias("word", "n"))
+
+
+@query(
+    f"""WITH {C}, {S} SELECT c.code_id, CASE WHEN strpos(s.raw_section_5, c.code) > 0 THEN left(regexp_extract(substr(s.raw_section_5, strpos(s.raw_section_5, c.code) + length(c.code), 60), '[一-鿿]{{4,40}}'), 50) WHEN s.raw_section_5 IS NULL OR c.code IS NULL THEN '' ELSE '' END AS hint
+FROM c JOIN s USING (file_id)"""
+)
+def text_topic_hints(spark: SparkSession, d: str) -> DataFrame:
+    t = _codes(spark, d).select("code_id", "file_id", "code").join(_files(spark, d).select("file_id", "raw_section_5"), "file_id")
+    return t.select("code_id", text.topic_hint(F.col("raw_section_5"), F.col("code")).alias("hint"))
+
+
+@query(
+    f"""WITH {S} SELECT file_id, len(regexp_extract_all(raw_section_5, '(?:^|\\n)[\\f  　]*伍、')) > 0 AS has_section, CASE WHEN len(regexp_extract_all(raw_section_5, '(?m)^{text.LEVEL_HEADING}$')) >= 2 THEN 'B' ELSE 'A' END AS structure FROM s WHERE raw_section_5 IS NOT NULL"""
+)
+def text_structure(spark: SparkSession, d: str) -> DataFrame:
+    return _files(spark, d).where("raw_section_5 is not null").select("file_id", (text.section_title("raw_section_5") != "").alias("has_section"), text.structure_type("raw_section_5").alias("structure"))
+
+
+@query(f"WITH {S}, t AS (SELECT file_id, len(string_split(raw_section_5, chr(10))) AS n, length(raw_section_5) AS chars FROM s WHERE raw_section_5 IS NOT NULL) SELECT file_id, n::INTEGER AS n_lines, chars::INTEGER AS n_chars FROM t")
+def text_lines(spark: SparkSession, d: str) -> DataFrame:
+    return _files(spark, d).where("raw_section_5 is not null").select("file_id", F.size(F.split("raw_section_5", "\n")).alias("n_lines"), F.length("raw_section_5").alias("n_chars"))
+
+
+# --- classification ---------------------------------------------------------------------------
+
+
+def _case(c: str, r: rules.Rules) -> str:
+    whens = " ".join(f"WHEN {' OR '.join(f'contains(lower({c}), {w.lower()!r})' for w in words)} THEN {label!r}" for label, words in r.items())
+    return f"CASE {whens} END"
+
+
+@query(
+    f"""WITH {X} SELECT exam_id, {_case("original_filename", rules.SUBJECT_BY_NAME)} AS subject_by_name, {_case("original_filename", rules.TEST_BY_NAME)} AS test_by_name, {_case("original_path", rules.STAGE_BY_PATH)} AS stage_by_path,
+{_case("original_filename", rules.DOMAIN_BY_NAME)} AS domain, CASE WHEN contains(original_filename, '上學期') THEN '上學期' WHEN contains(original_filename, '下學期') THEN '下學期' END AS semester_by_name,
+CASE WHEN grade_num BETWEEN 1 AND 6 THEN '國小' WHEN grade_num BETWEEN 7 AND 9 THEN '國中' WHEN grade_num BETWEEN 10 AND 12 THEN '高中' END AS stage_by_grade FROM x"""
+)
+def exam_rules(spark: SparkSession, d: str) -> DataFrame:
+    """What a file's name and path tell, by ordered keywords."""
+    name = F.col("original_filename")
+    return _exams(spark, d).select(
+        "exam_id",
+        rules.first_match(name, rules.SUBJECT_BY_NAME).alias("subject_by_name"),
+        rules.first_match(name, rules.TEST_BY_NAME).alias("test_by_name"),
+        rules.first_match(F.col("original_path"), rules.STAGE_BY_PATH).alias("stage_by_path"),
+        rules.first_match(name, rules.DOMAIN_BY_NAME).alias("domain"),
+        F.when(F.contains(name, F.lit("上學期")), "上學期").when(F.contains(name, F.lit("下學期")), "下學期").alias("semester_by_name"),
+        rules.grade_stage(F.col("grade_num")).alias("stage_by_grade"),
+    )
+
+
+CODED = r"^(\d)([A-Z])(\d{3})(\d)(\d)([A-Z]?)\.(doc|docx|pdf)$"
+
+
+@query(
+    f"""WITH {X}, k AS (SELECT exam_id, regexp_extract(original_filename, '{CODED}', ['g','l','y','t','k','v']) AS m FROM x WHERE regexp_matches(original_filename, '{CODED}'))
+SELECT exam_id, m.g::INTEGER AS grade, coalesce(map {{'C':'國文','M':'數學','S':'社會','N':'自然科學','H':'健康與體育','E':'英文','A':'自然科學'}}[m.l], '?') AS subject, m.y AS year_roc, CASE m.t WHEN '1' THEN '上學期' ELSE '下學期' END AS semester,
+CASE m.k WHEN '1' THEN '期中考' ELSE '期末考' END AS test_type, nullif(m.v, '') AS variant FROM k"""
+)
+def exam_coded_names(spark: SparkSession, d: str) -> DataFrame:
+    return _exams(spark, d).select("exam_id", rules.coded_name("original_filename").alias("c")).where("c is not null").select("exam_id", "c.*")
+
+
+@query(
+    f"""WITH {X}, t AS (SELECT exam_id, lower(regexp_replace(body, '\\s+', '', 'g')) AS b FROM x WHERE body IS NOT NULL), v AS (SELECT exam_id, {", ".join(f"({' + '.join(f'(length(b) - length(replace(b, {w.lower()!r}, {chr(39) * 2}))) // {len(w)}' for w in words)}) AS n{i}" for i, (_, words) in enumerate(rules.SUBJECT_BY_BODY.items()))}, b FROM t)
+SELECT exam_id, {_case("b", rules.SUBJECT_BY_BODY)} AS first_subject, CASE {" ".join(f"WHEN n{i} >= 2 AND n{i} = greatest({', '.join(f'n{j}' for j in range(len(rules.SUBJECT_BY_BODY)))}) THEN {label!r}" for i, label in enumerate(rules.SUBJECT_BY_BODY))} END AS voted_subject FROM v"""
+)
+def exam_subject_by_body(spark: SparkSession, d: str) -> DataFrame:
+    b = F.regexp_replace("body", r"\s+", "")
+    return _exams(spark, d).where("body is not null").select("exam_id", rules.first_match(b, rules.SUBJECT_BY_BODY).alias("first_subject"), rules.vote(b, rules.SUBJECT_BY_BODY).alias("voted_subject"))
+
+
+TITLE = {"school": r"^(\S*?(?:國小|國中|高中|學校))", "grade": "([一二三四五六七八九高][一二三]?年級)", "year": "([0-9]{3})學年", "term": "([上下]學期)"}
+
+
+@query(f"WITH {X} SELECT exam_id, " + ", ".join(f"nullif(regexp_extract(original_filename, '{p}', 1), '') AS title_{k}" for k, p in TITLE.items()) + " FROM x WHERE original_filename IS NOT NULL")
+def exam_title_fields(spark: SparkSession, d: str) -> DataFrame:
+    t = _exams(spark, d).where("original_filename is not null").select("exam_id", text.title_fields("original_filename").alias("f"))
+    return t.select("exam_id", *[F.col(f"f.{k}").alias(f"title_{k}") for k in TITLE])
+
+
+@query(f"WITH {X} SELECT exam_id, length(trim(body, ' '))::INTEGER AS n_chars FROM x WHERE length(trim(body, ' ')) < 50")
+def exam_short_bodies(spark: SparkSession, d: str) -> DataFrame:
+    return _exams(spark, d).where(F.length(F.trim("body")) < 50).select("exam_id", F.length(F.trim("body")).alias("n_chars"))
+
+
+MINIMA = [("自然科學", 40, 100), ("數學", 20, 60), ("語文", 10, 20), ("國語文", 30, 40), ("社會", 20, 40)]
+
+
+@query(
+    f"""WITH {S}, m(p, word, least) AS (VALUES {", ".join(f"({i}, {w!r}, {a})" for i, (w, a, _) in enumerate(MINIMA))}), j AS (SELECT s.file_id, m.word, m.least, row_number() OVER (PARTITION BY s.file_id ORDER BY m.p) AS k, s.performance_count FROM s JOIN m ON contains(s.source_file, m.word))
+SELECT file_id, word, (performance_count < least) AS too_few FROM j WHERE k = 1"""
+)
+def file_minimum_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The first rule whose word a file's path holds, and whether the file falls short of it."""
+    word = rules.first_match(F.col("source_file"), {w: (w,) for w, _, _ in MINIMA})
+    least = F.create_map(*[F.lit(x) for w, a, _ in MINIMA for x in (w, a)])
+    t = _files(spark, d).withColumn("word", word).where("word is not null")
+    return t.select("file_id", "word", (F.col("performance_count") < F.element_at(least, F.col("word"))).alias("too_few"))
+
+
+# --- joins and counts ---------------------------------------------------------------------------
+
+
+@query(f"WITH {S}, {B}, t AS (SELECT domain, count(*) AS n_files, sum(performance_count)::BIGINT AS n_codes FROM s GROUP BY domain) SELECT b.textbook_id, b.domain, coalesce(t.n_files, 0) AS n_files, t.n_codes FROM b LEFT JOIN t USING (domain)")
+def index_join(spark: SparkSession, d: str) -> DataFrame:
+    """Textbooks with the totals of their domain's files."""
+    t = _files(spark, d).groupBy("domain").agg(F.count(F.lit(1)).alias("n_files"), F.sum("performance_count").alias("n_codes"))
+    return _books(spark, d).select("textbook_id", "domain").join(t, "domain", "left").select("textbook_id", "domain", F.coalesce("n_files", F.lit(0)).alias("n_files"), "n_codes")
+
+
+@query(
+    f"""WITH {B}, {N}, k AS (SELECT DISTINCT domain, stage, code, type FROM n), j AS (SELECT b.textbook_id, k.code, k.type FROM b LEFT JOIN k ON k.domain = b.domain AND (b.stage IS NULL OR k.stage = b.stage))
+SELECT textbook_id, count(DISTINCT code) AS n_codes, count(DISTINCT (code, type)) FILTER (WHERE type = 'performance') AS n_performance, count(DISTINCT (code, type)) FILTER (WHERE type = 'content') AS n_content, min(code) AS first_code FROM j GROUP BY textbook_id"""
+)
+def textbook_alignment(spark: SparkSession, d: str) -> DataFrame:
+    a = analyze.align_textbooks(_books(spark, d), _nodes(spark, d).select("domain", "stage", "code", "type"))
+    return a.select("textbook_id", F.size("codes").cast("bigint").alias("n_codes"), "n_performance", "n_content", F.array_min("codes").alias("first_code"))
+
+
+FOUND = f"""{S}, k AS (SELECT file_id, domain, unnest(regexp_extract_all(raw_section_5, '{CODE}', 1)) AS code FROM s), f AS (SELECT file_id, domain, code, count(*) AS n FROM k GROUP BY ALL), m AS (SELECT f.* FROM f SEMI JOIN nodes USING (domain, code))"""
+
+
+def _matches(spark: SparkSession, d: str) -> DataFrame:
+    return analyze.match_codes(_files(spark, d), "file_id", "raw_section_5", table(spark, d, "nodes"))
+
+
+@query(f"WITH {FOUND} SELECT CASE grouping(file_id, domain) WHEN 0 THEN 'text' WHEN 2 THEN 'domain' ELSE 'all' END AS level, domain, file_id, code, sum(n)::BIGINT AS n FROM m GROUP BY GROUPING SETS ((code), (domain, code), (file_id, domain, code))")
+def code_frequencies(spark: SparkSession, d: str) -> DataFrame:
+    return analyze.frequencies(_matches(spark, d), "file_id")
+
+
+@query(f"WITH {FOUND}, t AS (SELECT domain, code, sum(n)::BIGINT AS n FROM m GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY n DESC, code) AS rank FROM t) SELECT domain, code, n, rank::INTEGER AS rank FROM r WHERE rank <= 10")
+def code_top_by_domain(spark: SparkSession, d: str) -> DataFrame:
+    t = _matches(spark, d).groupBy("domain", "code").agg(F.sum("n").alias("n"))
+    return analyze.top(t, 10, [F.desc("n"), F.asc("code")], ["domain"])
+
+
+@query(f"WITH {FOUND}, t AS (SELECT code, sum(n)::BIGINT AS n, min(domain) AS domain FROM m GROUP BY ALL) SELECT code, n, domain, row_number() OVER (ORDER BY n DESC, code)::INTEGER AS rank FROM t ORDER BY n DESC, code LIMIT 30")
+def code_top(spark: SparkSession, d: str) -> DataFrame:
+    """The thirty most frequent codes, each with the first domain that has it."""
+    t = _matches(spark, d).groupBy("code").agg(F.sum("n").alias("n"), F.min("domain").alias("domain"))
+    return analyze.top(t, 30, [F.desc("n"), F.asc("code")])
+
+
+@query(f"WITH {S}, k AS (SELECT file_id, domain, unnest(regexp_extract_all(raw_section_5, '{CODE}', 1)) AS whole FROM s), m AS (SELECT k.file_id, k.domain, n.code FROM k JOIN (SELECT DISTINCT domain, code FROM nodes) n ON n.domain = k.domain AND starts_with(k.whole, n.code)) SELECT file_id, domain, code, count(*) AS n FROM m GROUP BY ALL")
+def code_substrings(spark: SparkSession, d: str) -> DataFrame:
+    """Occurrences of codes inside longer codes counted too."""
+    return analyze.match_substrings(_files(spark, d), "file_id", "raw_section_5", table(spark, d, "nodes"))
+
+
+@query(f"WITH {S}, k AS (SELECT file_id, raw_section_5, unnest(performance_codes).code AS code FROM s) SELECT DISTINCT file_id, code FROM k WHERE code IS NOT NULL AND NOT list_contains(regexp_extract_all(coalesce(raw_section_5, ''), '{CODE}', 1), code)")
+def codes_not_in_text(spark: SparkSession, d: str) -> DataFrame:
+    return quality.codes_not_in_text(_files(spark, d))
+
+
+DIMENSIONS = ["source", "stage", "grade_num", "year_roc", "version"]
+
+
+@query(f"WITH {X} " + " UNION ALL ".join(f"SELECT '{c}' AS dimension, {c}::VARCHAR AS value, count(*) AS n FROM x WHERE {c} IS NOT NULL GROUP BY {c}" for c in DIMENSIONS))
+def exam_counts(spark: SparkSession, d: str) -> DataFrame:
+    return analyze.counts_by(_exams(spark, d), DIMENSIONS)
+
+
+@query(f"WITH {X}, t AS (SELECT coalesce(grade_num::VARCHAR, '未分') AS \"row\", coalesce(version, '未分') AS \"column\" FROM x) SELECT \"row\", \"column\", count(*) AS n FROM t GROUP BY CUBE (\"row\", \"column\")")
+def exam_crosstab(spark: SparkSession, d: str) -> DataFrame:
+    return analyze.crosstab(_exams(spark, d), "grade_num", "version")
+
+
+@query(
+    f"""WITH {X}, a AS (SELECT grade_num, version, semester, count(*) AS n FROM x GROUP BY ALL) SELECT grade_num, version, string_agg(coalesce(semester, '?') || '×' || n, ', ' ORDER BY coalesce(semester, '?')) AS terms, sum(n)::BIGINT AS n FROM a GROUP BY ALL"""
+)
+def exam_outline(spark: SparkSession, d: str) -> DataFrame:
+    """Grades and versions with their terms counted in one text."""
+    a = _exams(spark, d).groupBy("grade_num", "version", "semester").agg(F.count(F.lit(1)).alias("n"))
+    item = F.struct(F.coalesce("semester", F.lit("?")).alias("s"), F.col("n"))
+    t = a.groupBy("grade_num", "version").agg(F.array_sort(F.collect_list(item)).alias("x"), F.sum("n").alias("n"))
+    return t.select("grade_num", "version", F.array_join(F.transform("x", lambda i: F.concat(i["s"], F.lit("×"), i["n"].cast("string"))), ", ").alias("terms"), "n")
+
+
+KEYS = ["year_roc", "semester", "grade_num", "school"]
+MODE = f"""{X}, m AS (SELECT {", ".join(f"coalesce({k}::VARCHAR, '?') AS {k}" for k in KEYS)}, version AS v, count(*) AS n FROM x WHERE version IS NOT NULL GROUP BY ALL),
+modes AS (SELECT {", ".join(KEYS)}, v AS mode, n FROM (SELECT *, row_number() OVER (PARTITION BY {", ".join(KEYS)} ORDER BY n DESC, v) AS k FROM m) WHERE k = 1)"""
+
+
+@query(f"WITH {MODE} SELECT * FROM modes")
+def exam_modes(spark: SparkSession, d: str) -> DataFrame:
+    """The most frequent publisher of each year, term, grade and school."""
+    return analyze.mode_by(_exams(spark, d), KEYS, "version")
+
+
+@query(
+    f"""WITH {MODE} SELECT x.exam_id, coalesce(x.version, modes.mode) AS imputed, CASE WHEN x.version IS NOT NULL THEN 'given' WHEN modes.mode IS NOT NULL THEN 'group' ELSE 'none' END AS origin
+FROM x LEFT JOIN modes ON {" AND ".join(f"coalesce(x.{k}::VARCHAR, '?') = modes.{k}" for k in KEYS)}"""
+)
+def exam_imputed(spark: SparkSession, d: str) -> DataFrame:
+    return analyze.impute(_exams(spark, d), KEYS, "version").select("exam_id", "imputed", "origin")
+
+
+@query("SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM area_labels WHERE doc_id IS NOT NULL)")
+def unlabelled_documents(spark: SparkSession, d: str) -> DataFrame:
+    return analyze.coverage(table(spark, d, "documents"), table(spark, d, "area_labels"), "doc_id")
+
+
+@query("SELECT sha256(text) AS digest, min(doc_id) AS first_doc, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+def repeated_texts(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "documents").select(F.sha2("text", 256).alias("digest"), "doc_id")
+    return t.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+@query(f"WITH {X}, h AS (SELECT exam_id, sha256(coalesce(body, '')) AS body_hash, sha256 FROM x) SELECT exam_id, body_hash FROM h WHERE body_hash <> coalesce(sha256, '')")
+def hash_mismatches(spark: SparkSession, d: str) -> DataFrame:
+    t = _exams(spark, d).select("exam_id", F.sha2(F.coalesce("body", F.lit("")), 256).alias("body_hash"), "sha256")
+    return t.where(F.col("body_hash") != F.coalesce("sha256", F.lit(""))).select("exam_id", "body_hash")
+
+
+@query(f"WITH {N}, t AS (SELECT domain, stage, category, count(*) AS n, count(*) FILTER (WHERE type = 'performance') AS n_performance, list_sort(list(DISTINCT code)) AS codes FROM n GROUP BY ALL) SELECT domain, stage, category, n, n_performance, array_to_string(codes, ',') AS codes FROM t")
+def node_outline(spark: SparkSession, d: str) -> DataFrame:
+    """Stages and categories of each domain with their codes."""
+    t = _nodes(spark, d).groupBy("domain", "stage", "category").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("type") == "performance").alias("n_performance"), F.array_sort(F.collect_set("code")).alias("codes"))
+    return t.withColumn("codes", F.array_join("codes", ","))
+
+
+@query(f"WITH {N}, t AS (SELECT domain, category, count(*) AS n FROM n GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY n DESC, category) AS rank FROM t) SELECT domain, category, n, rank::INTEGER AS rank FROM r WHERE rank <= 10")
+def node_top_categories(spark: SparkSession, d: str) -> DataFrame:
+    return analyze.top(_nodes(spark, d).groupBy("domain", "category").agg(F.count(F.lit(1)).alias("n")), 10, [F.desc("n"), F.asc("category")], ["domain"])
+
+
+@query(f"WITH {X}, y AS (SELECT year_roc, count(*) AS n FROM x WHERE year_roc IS NOT NULL GROUP BY 1 ORDER BY year_roc DESC LIMIT 10) SELECT year_roc, (try_cast(year_roc AS INTEGER) + 1911)::INTEGER AS year_ce, n FROM y")
+def exam_last_years(spark: SparkSession, d: str) -> DataFrame:
+    y = _exams(spark, d).where("year_roc is not null").groupBy("year_roc").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("year_roc")).limit(10)
+    return y.select("year_roc", (F.col("year_roc").try_cast("int") + 1911).alias("year_ce"), "n")
+
+
+@query(f"WITH {B}, k AS (SELECT textbook_id, unnest(chapters).title AS title, generate_subscripts(chapters, 1) AS i FROM b) SELECT textbook_id, i::INTEGER AS place, title FROM k WHERE i <= 3")
+def first_chapters(spark: SparkSession, d: str) -> DataFrame:
+    t = _books(spark, d).select("textbook_id", F.posexplode("chapters").alias("i", "c")).where("i < 3")
+    return t.select("textbook_id", (F.col("i") + 1).alias("place"), F.col("c.title").alias("title"))
+
+
+@query(f"WITH {S}, {C} SELECT structure_type, count(*) AS n_files, sum(performance_count)::BIGINT AS n_performance, sum(content_count)::BIGINT AS n_content FROM s GROUP BY structure_type")
+def file_totals(spark: SparkSession, d: str) -> DataFrame:
+    return _files(spark, d).groupBy("structure_type").agg(F.count(F.lit(1)).alias("n_files"), F.sum("performance_count").alias("n_performance"), F.sum("content_count").alias("n_content"))
+
+
+@query(f"WITH {X} SELECT source, count(*) AS n_files, sum(size)::BIGINT AS n_bytes FROM x GROUP BY source")
+def exam_sizes(spark: SparkSession, d: str) -> DataFrame:
+    return _exams(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("n_bytes"))
+
+
+def _sql_safe(c: str) -> str:
+    return f"""regexp_replace(coalesce(nullif(trim({c}::VARCHAR, ' '), ''), '未分'), '[\\\\/:*?"<>|\\s]+', '_', 'g')"""
+
+
+STEM = ["year_roc", "semester", "version"]
+PATHS = f"""{X}, p AS (SELECT exam_id, {_sql_safe("stage")} || '/' || {_sql_safe("grade_label")} || '/' || array_to_string(list_filter([{", ".join(f"CASE WHEN {c} <> '' THEN {_sql_safe(c)} END" for c in STEM)}], lambda v: v IS NOT NULL), '-') || '-' || left(coalesce(sha256, ''), 8) || '.md' AS path FROM x)"""
+
+
+def _paths(spark: SparkSession, d: str) -> DataFrame:
+    return _exams(spark, d).select("exam_id", writers.output_path([F.col("stage"), F.col("grade_label")], [F.col(c) for c in STEM], F.coalesce("sha256", F.lit(""))).alias("path"))
+
+
+@query(f"WITH {PATHS}, k AS (SELECT *, row_number() OVER (PARTITION BY path ORDER BY exam_id) AS k FROM p) SELECT exam_id, CASE WHEN k > 1 THEN regexp_replace(path, '(\\.[A-Za-z0-9]+)$', '-' || k || '\\1') ELSE path END AS path FROM k")
+def exam_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Where each record's document goes, paths made distinct."""
+    return writers.distinct_paths(_paths(spark, d), "path", "exam_id")
+
+
+@query(f"WITH {PATHS}, t AS (SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder, count(*) AS n FROM p GROUP BY 1) SELECT folder, n, row_number() OVER (ORDER BY n DESC, folder)::INTEGER AS rank FROM t ORDER BY n DESC, folder LIMIT 20")
+def exam_top_folders(spark: SparkSession, d: str) -> DataFrame:
+    t = _paths(spark, d).groupBy(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")).agg(F.count(F.lit(1)).alias("n"))
+    return analyze.top(t, 20, [F.desc("n"), F.asc("folder")])
+
+
+# --- quality ------------------------------------------------------------------------------------
+
+REQUIRED = ["id", "domain", "code", "stage", "category", "type", "title", "description"]
+
+
+@query(f"WITH {N}, t AS (SELECT node_row::VARCHAR AS entity, array_to_string(list_sort(list_filter([{', '.join(f'CASE WHEN {c} IS NULL OR {c} = {chr(39) * 2} THEN {c!r} END' for c in REQUIRED)}], lambda v: v IS NOT NULL)), ',') AS missing FROM n) SELECT * FROM t WHERE missing <> ''")
+def node_missing_fields(spark: SparkSession, d: str) -> DataFrame:
+    return quality.missing_fields(_nodes(spark, d), "node_row", REQUIRED)
+
+
+CHECKS = f"""{S}, {C}, q AS (SELECT file_id, count(*) AS n FROM c GROUP BY file_id), j AS (SELECT s.*, coalesce(q.n, 0) AS n FROM s LEFT JOIN q USING (file_id)), f AS (
+SELECT file_id::VARCHAR AS entity, 'version' AS "check", 'fail' AS severity, schema_version AS detail FROM j WHERE coalesce(schema_version, '') <> '1.0'
+UNION ALL SELECT file_id::VARCHAR, 'structure_type', 'fail', structure_type FROM j WHERE coalesce(structure_type, '') NOT IN ('A', 'B', 'none')
+UNION ALL SELECT file_id::VARCHAR, 'raw_section', 'fail', NULL FROM j WHERE coalesce(raw_section_5, '') = ''
+UNION ALL SELECT file_id::VARCHAR, 'section_title', 'warn', NULL FROM j WHERE coalesce(section_5_title, '') = ''
+UNION ALL SELECT file_id::VARCHAR, 'performance_count', 'fail', performance_count::VARCHAR FROM j WHERE performance_count <> coalesce(len(performance_codes), 0)
+UNION ALL SELECT file_id::VARCHAR, 'stages_present', 'fail', array_to_string(stages_present, ',') FROM j WHERE len(list_filter(stages_present, lambda v: v NOT IN ('I', 'II', 'III', 'IV', 'V'))) > 0
+UNION ALL SELECT file_id::VARCHAR, 'content_count', 'fail', n::VARCHAR FROM j WHERE content_count <> n)"""
+
+
+def _checks(spark: SparkSession, d: str) -> DataFrame:
+    return quality.structured_checks(_files(spark, d), _codes(spark, d))
+
+
+@query(f"WITH {CHECKS} SELECT * FROM f")
+def file_checks(spark: SparkSession, d: str) -> DataFrame:
+    return _checks(spark, d)
+
+
+@query(f"WITH {CHECKS}, t AS (SELECT count(*) FILTER (WHERE severity = 'fail') AS n_fail, count(*) FILTER (WHERE severity = 'warn') AS n_warn FROM f) SELECT *, CASE WHEN n_fail > 0 THEN 1 ELSE 0 END AS code FROM t")
+def file_check_status(spark: SparkSession, d: str) -> DataFrame:
+    return quality.status(_checks(spark, d))
+
+
+@query(
+    f"""WITH {X}, t AS (SELECT exam_id::VARCHAR AS entity, CASE WHEN coalesce(source, '') = '' THEN 'source' WHEN coalesce(original_filename, '') = '' THEN 'original_filename' WHEN NOT regexp_matches(coalesce(sha256, ''), '^[0-9a-f]{{64}}$') THEN 'sha256'
+WHEN length(trim(coalesce(body, ''), ' ')) < 10 THEN 'body' END AS "check", sha256, length(trim(coalesce(body, ''), ' ')) AS n FROM x) SELECT entity, "check", 'fail' AS severity, CASE "check" WHEN 'sha256' THEN sha256 WHEN 'body' THEN n::VARCHAR END AS detail FROM t WHERE "check" IS NOT NULL"""
+)
+def exam_checks(spark: SparkSession, d: str) -> DataFrame:
+    return quality.exam_checks(_exams(spark, d))
+
+
+@query(
+    f"""WITH {X}, t AS (SELECT CASE WHEN body IS NULL THEN ext || '-skipped: no text' WHEN length(body) < 50 THEN ext || '-short: ' || length(body) END AS reason FROM x), r AS (SELECT trim(split_part(reason, ':', 1)) AS reason FROM t WHERE reason IS NOT NULL) SELECT reason, count(*) AS n, reason IN ('xlsx-skipped', 'doc-skipped') AS known FROM r GROUP BY reason"""
+)
+def failure_reasons(spark: SparkSession, d: str) -> DataFrame:
+    why = F.when(F.col("body").isNull(), F.concat("ext", F.lit("-skipped: no text"))).when(F.length("body") < 50, F.concat("ext", F.lit("-short: "), F.length("body").cast("string")))
+    return quality.failure_reasons(_exams(spark, d).select(why.alias("reason")), "reason", ["xlsx-skipped", "doc-skipped"])
