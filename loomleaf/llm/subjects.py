@@ -65,6 +65,20 @@ def hashed(sentence: str) -> list[tuple[int, int]]:
     return sorted({slots(t) for t in terms(sentence)})
 
 
+class Rows:
+    """The rows of a table that aren't all zero, looked up by number: what of it is worth sending to the workers."""
+
+    def __init__(self, table: np.ndarray):
+        self.at = np.flatnonzero(table.any(1)).astype(np.int32)
+        self.rows = np.concatenate([table[self.at], np.zeros((1, table.shape[1]))]).astype(np.float32)
+
+    def __getitem__(self, numbers: np.ndarray) -> np.ndarray:
+        if not len(self.at):
+            return np.zeros((len(numbers), self.rows.shape[1]), np.float32)
+        p = np.minimum(np.searchsorted(self.at, numbers), len(self.at) - 1)
+        return self.rows[np.where(self.at[p] == numbers, p, len(self.at))]
+
+
 def chunks(pdf: pd.DataFrame, docs: int = 400) -> Iterator[pd.DataFrame]:
     """The rows of a batch in parts small enough for tables of occurrences by topics."""
     for i in range(0, len(pdf), docs):
@@ -89,12 +103,12 @@ class Batch:
         return np.stack([np.bincount(by, weights=weights[:, k], minlength=n) for k in range(weights.shape[1])], 1)
 
 
-def _inferred(b: Batch, phi: np.ndarray, alpha: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _inferred(b: Batch, phi: Rows, alpha: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Topic shares of every occurrence and proportions of every document, for fixed topics."""
     theta = np.tile(alpha / alpha.sum(), (b.docs, 1))
-    q = np.zeros((0, len(alpha)))
+    q, known = np.zeros((0, len(alpha))), phi[b.term]
     for _ in range(4):
-        q = phi[b.term] * theta[b.doc]
+        q = known * theta[b.doc]
         q /= q.sum(1, keepdims=True) + 1e-12
         theta = b.sums(q, b.doc, b.docs) + alpha
         theta /= theta.sum(1, keepdims=True)
@@ -149,7 +163,7 @@ class Model:
     """How far each hashed term tells each area, and tells that a sentence is of the excluded kind."""
 
     def __init__(self, areas: list[int], telling: np.ndarray, excluded: np.ndarray):
-        self.areas, self.telling, self.excluded = np.array(areas), telling, excluded
+        self.areas, self.telling, self.excluded = np.array(areas), Rows(telling), Rows(excluded[:, None])
 
     def assigned(self, b: Batch) -> np.ndarray:
         """The place of each sentence's area, -1 for none."""
@@ -157,7 +171,7 @@ class Model:
         if not b.sentences:
             return np.zeros(0, np.int64)
         score = b.sums(np.minimum(self.telling[b.term], self.telling[b.twin]), b.sentence, b.sentences) if k else np.zeros((b.sentences, 1))
-        other = np.bincount(b.sentence, weights=np.minimum(self.excluded[b.term], self.excluded[b.twin]), minlength=b.sentences)
+        other = np.bincount(b.sentence, weights=np.minimum(self.excluded[b.term], self.excluded[b.twin])[:, 0], minlength=b.sentences)
         best = score.argmax(1)
         most = score[np.arange(len(best)), best]
         return np.where((most > 0) & (most > other), best, -1)
@@ -187,9 +201,14 @@ def fit(feats: DataFrame, labels: DataFrame, excluded: list[str]) -> Model:
     first = _summed(feats.join(chosen, "key"), k, seeds).astype(np.float64) if k else np.zeros((TERMS, 0))
     phi = np.concatenate([p[:, None], (first + 30 * p[:, None]) / (first.sum(0) + 30)], 1)
     alpha = np.array([1.0] + [0.1] * k)
+    seen = (n > 0)[:, None]
+
+    def of_seen(table: np.ndarray) -> Rows:
+        return Rows(table * seen)
+
     for _ in range(FITTING):
 
-        def expectation(acc: np.ndarray, b: Batch, pdf: pd.DataFrame, phi: np.ndarray = phi.astype(np.float32)) -> None:
+        def expectation(acc: np.ndarray, b: Batch, pdf: pd.DataFrame, phi: Rows = of_seen(phi)) -> None:
             q, _ = _inferred(b, phi, alpha)
             for j in range(k + 1):
                 acc[:, j] += np.bincount(b.term, weights=q[:, j], minlength=TERMS)
@@ -210,7 +229,7 @@ def fit(feats: DataFrame, labels: DataFrame, excluded: list[str]) -> Model:
     model = Model(areas, np.zeros((TERMS, k), np.float32), odd)
     for turn in range(SHARPENING):
 
-        def spread_over(acc: np.ndarray, b: Batch, pdf: pd.DataFrame, turn: int = turn, model: Model = model, phi: np.ndarray = phi.astype(np.float32)) -> None:
+        def spread_over(acc: np.ndarray, b: Batch, pdf: pd.DataFrame, turn: int = turn, model: Model = model, phi: Rows = of_seen(phi)) -> None:
             if turn == 0:
                 theta = _inferred(b, phi, alpha)[1][:, 1:]
             else:
