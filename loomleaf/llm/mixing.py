@@ -118,7 +118,9 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
         t = Tokenizer.from_file(tokenizer)
         t.encode_special_tokens = True
         for pdf in it:
-            pdf["tokens"] = [len(e.ids) for e in t.encode_batch(list(pdf.pop("text")), add_special_tokens=False)]
+            texts = list(pdf.pop("text"))
+            # Encodings hold far more than ids; a few hundred at a time keep them small.
+            pdf["tokens"] = [len(e.ids) for i in range(0, len(texts), 256) for e in t.encode_batch(texts[i : i + 256], add_special_tokens=False)]
             yield pdf
 
     src = docs.where("text is not null").select("key", "source", F.sha2("text", 256).alias("text_hash"), "text")
