@@ -16,6 +16,7 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -180,7 +181,7 @@ def map_to_entries(records: DataFrame, key: str, fields: list[str], entries: Dat
                 known.clear()
             for f in fields:
                 part = pdf.loc[pdf[f].notna(), [key, f]]
-                part = part[[v.strip() != "" and v not in exact[f] for v in part[f]]]
+                part = part[np.array([v.strip() != "" and v not in exact[f] for v in part[f]], bool)]
                 ids = []
                 for v in part[f]:
                     if (got := known.get((f, v))) is None:

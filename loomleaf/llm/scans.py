@@ -156,7 +156,7 @@ def flow(lines: list[str], gone: set[int]) -> tuple[list[tuple[str, list[tuple[i
                 if not (text[-1] == "-" and digits and re.match(r"[IVl1-5]{1,4}-|[0-9lO]+(?![A-Za-z])", body)):
                     text.pop()
                     where.pop()
-            elif not (re.match(f"[{CJK}，。、；：！？）」]", body) or re.match(f"[{CJK}，。、；：！？（「]", text[-1])):
+            elif re.match(f"[{CJK}]", body) and re.match("[a-z.]", text[-1]) or not (re.match(f"[{CJK}，。、；：！？）」]", body) or re.match(f"[{CJK}，。、；：！？（「]", text[-1])):
                 text.append(" ")
                 where.append((i, -1))
         held = {k for m in APART.finditer(body) for k in range(m.start(), m.end()) if body[k] == " "}
