@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _CJK = re.compile("[一-鿿]")
 
@@ -22,7 +23,7 @@ def _as_utf8(s: str) -> str | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def utf8_from_latin1(values: pd.Series) -> pd.Series:
     """Texts whose UTF-8 bytes were read as Latin-1, mended where that gives at least three more ideographs."""
     out = []
@@ -32,7 +33,7 @@ def utf8_from_latin1(values: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def path_from_latin1(values: pd.Series) -> pd.Series:
     """Paths mended segment by segment, where one has three such characters in a row."""
 
@@ -43,7 +44,7 @@ def path_from_latin1(values: pd.Series) -> pd.Series:
     return pd.Series([None if v is None else "/".join(map(segment, v.split("/"))) for v in values], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def decoded_utf8(content: pd.Series) -> pd.Series:
     """Bytes as UTF-8, what isn't replaced."""
     return pd.Series([None if b is None else bytes(b).decode("utf-8", "replace") for b in content], dtype=object)
@@ -52,7 +53,7 @@ def decoded_utf8(content: pd.Series) -> pd.Series:
 def name_from_charset(name: Column, charset: str) -> Column:
     """A name whose bytes in `charset` were read as Windows-1252 or Latin-1, mended where ideographs come out."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def run(values: pd.Series) -> pd.Series:
         out = []
         for v in values:

@@ -31,7 +31,7 @@ STRUCTURED = (
 
 def markdown(spark: SparkSession, path: str, domains: list[str] | None = None) -> DataFrame:
     """path, domain (the folder), text of each .md file whose name doesn't begin with an underscore."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(path)
+    df = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
     file = F.try_url_decode(F.col("_metadata.file_path"))
     df = df.select(file.alias("path"), F.element_at(F.split(file, "/"), -2).alias("domain"), F.col("value").alias("text"))
     df = df.where(~F.startswith(F.element_at(F.split("path", "/"), -1), F.lit("_")) & ~F.startswith("domain", F.lit("_")))
