@@ -24,6 +24,9 @@ from loomleaf.runtime import cut, spread, union_all
 RATIO = 20
 #: Different surroundings in which a substitution must be seen to be believed by itself.
 SUPPORT = 3
+#: The part of a character's occurrences that a substitution must explain to be believed by itself; rare but right
+#: neighbours of frequent ones explain next to nothing, however large the corpus.
+SHARE = 0.1
 #: Rows of a decision table that are sent to the workers at once; longer ones are used in blocks.
 BLOCK = 500_000
 
@@ -263,7 +266,7 @@ def links(counts: DataFrame) -> DataFrame:
     alike = F.array(*[F.lit(g) for g in ALIKE])
     by_sight = F.exists(alike, lambda g: g.contains(F.col("c")) & g.contains(F.col("to")))
     believed = strong.join(seen, "c").withColumn("share", F.col("explained") / F.col("n_c"))
-    believed = believed.where((F.col("places") >= SUPPORT) | by_sight & (F.col("explained") >= 2) | (F.col("places") >= 2) & (F.col("share") >= 0.6) | (F.col("share") >= 0.85) & (F.col("explained") >= 3))
+    believed = believed.where((F.col("places") >= SUPPORT) & (F.col("share") >= SHARE) | by_sight & (F.col("explained") >= 2) | (F.col("places") >= 2) & (F.col("share") >= 0.6) | (F.col("share") >= 0.85) & (F.col("explained") >= 3))
     chars = pairs.join(believed.select("c", "to", "share", "places"), ["c", "to"]).groupBy("l", "c", "r").agg(F.max_by("to", "n_to").alias("right"))
     chars = chars.select(F.lit("t").alias("kind"), F.concat("l", "c", "r").alias("wrong"), "right")
     # A character that hardly occurs but as a misreading is one wherever it stands.
