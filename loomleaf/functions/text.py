@@ -191,3 +191,32 @@ def title_fields(title: Column | str) -> Column:
         one("(國文|國語|英文|英語|數學|自然科學|自然|理化|生物|社會|歷史|地理|公民|健康與體育|藝術|科技|綜合活動|本土語文|全民國防|生活)").alias("subject"),
         one("(第[一二三]次段考|期中考|期末考|段考|學測|會考|模擬考|複習考|補考|小考|分科測驗)").alias("test_type"),
     )
+
+
+def nonempty(c: Column) -> Column:
+    return F.nullif(c, F.lit(""))
+
+
+def path_fields(path: Column) -> Column:
+    """stage and grade of the last folder named gradeN, and the last folder that names a term."""
+    parts = F.split(path, "/")
+    grades = F.filter(parts, lambda p: p.rlike("^grade[0-9]{1,2}$"))
+    n = F.regexp_extract(F.try_element_at(grades, F.lit(-1)), "([0-9]+)", 1).try_cast("int")
+    stage = F.when(n.between(1, 6), "國小").when(n.between(7, 9), "國中").when(n.between(10, 12), "高中")
+    terms = F.filter(parts, lambda p: p.rlike("[上下]學期"))
+    return F.struct(n.alias("grade_num"), stage.alias("stage"), nonempty(F.regexp_extract(F.try_element_at(terms, F.lit(-1)), "([上下]學期)", 1)).alias("path_term"))
+
+
+def year_subject(url: Column) -> Column:
+    """year and subject that the last part of an encoded address tells."""
+    last = F.coalesce(F.try_url_decode(F.substring_index(url, "/", -1)), F.substring_index(url, "/", -1))
+    stem = F.regexp_replace(last, r"\.[A-Za-z0-9]+$", "")
+    year = nonempty(F.regexp_extract(stem, "([0-9]{2,3})(?:學年|學測|分科)", 1))
+    subject = F.regexp_replace(F.regexp_replace(stem, "[0-9]{2,3}(?:學年度?|學測|分科測驗)", ""), r"(?U)[^\w]+|試題|試卷|定稿|答案|卷$", "")
+    return F.struct(year.alias("year"), nonempty(subject).alias("subject"))
+
+
+def useful_link(href: Column, text: Column, host: str, stop: list[str]) -> Column:
+    """Whether a link stays on the host, has words, and none of those of menus and footers."""
+    inside = ~href.rlike("^https?://") | (F.try_parse_url(href, F.lit("HOST")) == host)
+    return F.coalesce(inside, F.lit(False)) & (F.trim(text) != "") & ~F.exists(F.array(*[F.lit(s) for s in stop]), lambda s: F.contains(text, s))

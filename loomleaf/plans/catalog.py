@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from loomleaf.functions import rules, text
 from loomleaf.operators import analyze, graph, quality
+from loomleaf.plans import core, pipelines
 from loomleaf.runtime import table
-from loomleaf.sources import writers
+from loomleaf.sources import reports, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -501,3 +502,70 @@ def exam_checks(spark: SparkSession, d: str) -> DataFrame:
 def failure_reasons(spark: SparkSession, d: str) -> DataFrame:
     why = F.when(F.col("body").isNull(), F.concat("ext", F.lit("-skipped: no text"))).when(F.length("body") < 50, F.concat("ext", F.lit("-short: "), F.length("body").cast("string")))
     return quality.failure_reasons(_exams(spark, d).select(why.alias("reason")), "reason", ["xlsx-skipped", "doc-skipped"])
+
+
+# --- pipelines ------------------------------------------------------------------------------------
+
+
+@query(
+    f"""WITH {N}, {E}, a AS (SELECT domain, count(*) AS n_nodes, count(*) FILTER (WHERE type = 'performance') AS np, count(*) FILTER (WHERE type = 'content') AS nc FROM n GROUP BY domain),
+b AS (SELECT split_part(src, '/', 1) AS domain, count(*) FILTER (WHERE source = 'auto') AS na, count(*) FILTER (WHERE source <> 'auto') AS nm FROM e GROUP BY 1),
+k AS (SELECT domain, '| ' || coalesce(category, '—') || ' | ' || count(*) || ' |' AS line, count(*) AS n FROM n GROUP BY domain, category), r AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY n DESC, line) AS rank FROM k),
+t AS (SELECT domain, string_agg(line, chr(10) ORDER BY rank) AS body FROM r WHERE rank <= 10 GROUP BY domain)
+SELECT a.domain, '# ' || a.domain || chr(10) || chr(10) || '* nodes: ' || n_nodes || ' (' || np || ' performance, ' || nc || ' content)' || chr(10) || '* edges: ' || coalesce(na, 0) || ' automatic, ' || coalesce(nm, 0) || ' entered' || chr(10) || chr(10) || '| category | nodes |' || chr(10) || '|-|-|' || chr(10) || coalesce(body, '') AS report
+FROM a LEFT JOIN b USING (domain) LEFT JOIN t USING (domain)"""
+)
+def report_graphs(spark: SparkSession, d: str) -> DataFrame:
+    return pipelines.graph_reports(_nodes(spark, d), _edges(spark, d))
+
+
+@query(
+    f"""WITH {X}, c AS ({" UNION ALL ".join(f"SELECT '{c}' AS dimension, '* ' || {c}::VARCHAR || ': ' || count(*) AS line, count(*) AS n FROM x WHERE {c} IS NOT NULL GROUP BY {c}" for c in DIMENSIONS)})
+SELECT dimension, '## ' || dimension || chr(10) || chr(10) || string_agg(line, chr(10) ORDER BY n DESC, line) AS report FROM c GROUP BY dimension"""
+)
+def report_exams(spark: SparkSession, d: str) -> DataFrame:
+    return reports.index_report(analyze.counts_by(_exams(spark, d), DIMENSIONS))
+
+
+@query(f"WITH {N}, t AS (SELECT domain, '* ' || coalesce(stage, '?') || ' ' || coalesce(category, '?') || ': ' || count(*) AS line, concat_ws(' ', stage, category) AS o FROM n GROUP BY domain, stage, category) SELECT domain, '# ' || domain || chr(10) || chr(10) || string_agg(line, chr(10) ORDER BY o, line) AS report FROM t GROUP BY domain")
+def report_outlines(spark: SparkSession, d: str) -> DataFrame:
+    t = _nodes(spark, d).groupBy("domain", "stage", "category").agg(F.count(F.lit(1)).alias("n"))
+    return reports.outline_report(t)
+
+
+@query(
+    f"""WITH {X}, m AS (SELECT {", ".join(f"coalesce({k}::VARCHAR, '?') AS {k}" for k in KEYS)}, nullif(trim(subject, ' '), '') AS v, count(*) AS n FROM x WHERE nullif(trim(subject, ' '), '') IS NOT NULL GROUP BY ALL),
+modes AS (SELECT {", ".join(KEYS)}, v AS mode FROM (SELECT *, row_number() OVER (PARTITION BY {", ".join(KEYS)} ORDER BY n DESC, v) AS k FROM m) WHERE k = 1),
+t AS (SELECT x.*, nullif(trim(subject, ' '), '') AS s, {_case("regexp_replace(body, '[\\s　\\x0b\\x85\\xa0]+', '', 'g')", rules.SUBJECT_BY_BODY)} AS g FROM x)
+SELECT t.exam_id, coalesce(s, g, modes.mode) AS imputed, CASE WHEN s IS NOT NULL THEN 'given' WHEN g IS NOT NULL THEN 'body' WHEN modes.mode IS NOT NULL THEN 'group' ELSE 'none' END AS origin
+FROM t LEFT JOIN modes ON {" AND ".join(f"coalesce(t.{k}::VARCHAR, '?') = modes.{k}" for k in KEYS)}"""
+)
+def exam_subjects_imputed(spark: SparkSession, d: str) -> DataFrame:
+    """Missing subjects from the body, else from the group's most frequent one."""
+    return pipelines.impute_subjects(_exams(spark, d))
+
+
+@query(f"WITH {X} SELECT source, grade_num, count(*) AS n FROM x WHERE length(trim(coalesce(body, ''), ' ')) < 200 GROUP BY ALL")
+def exam_unusable(spark: SparkSession, d: str) -> DataFrame:
+    return pipelines.unusable(_exams(spark, d))[1]
+
+
+@query(
+    f"""WITH {X}, t AS (SELECT exam_id, try_cast(regexp_extract(original_path, '.*/grade([0-9]{{1,2}})/', 1) AS INTEGER) AS g FROM x WHERE original_path IS NOT NULL) SELECT exam_id, g AS path_grade, CASE WHEN g BETWEEN 1 AND 6 THEN '國小' WHEN g BETWEEN 7 AND 9 THEN '國中' WHEN g BETWEEN 10 AND 12 THEN '高中' END AS path_stage FROM t"""
+)
+def exam_path_fields(spark: SparkSession, d: str) -> DataFrame:
+    t = _exams(spark, d).where("original_path is not null").select("exam_id", text.path_fields(F.col("original_path")).alias("p"))
+    return t.select("exam_id", F.col("p.grade_num").alias("path_grade"), F.col("p.stage").alias("path_stage"))
+
+
+@query(
+    f"""WITH RECURSIVE {core._LINKS}, n AS (SELECT DISTINCT ON (node_row) * FROM nodes), e AS (SELECT DISTINCT ON (edge_id) * FROM edges), p AS (SELECT id, max(stage) AS stage FROM n GROUP BY id),
+t AS (SELECT DISTINCT e.edge_id, e.src, e.dst, a.stage AS s1, b.stage AS s2 FROM e LEFT JOIN p a ON a.id = e.src LEFT JOIN p b ON b.id = e.dst WHERE e.source = 'auto'),
+f AS (SELECT 'dangling_src' AS "check" FROM e WHERE src IS NOT NULL AND src NOT IN (SELECT id FROM n WHERE id IS NOT NULL) UNION ALL SELECT 'dangling_dst' FROM e WHERE dst IS NOT NULL AND dst NOT IN (SELECT id FROM n WHERE id IS NOT NULL)
+UNION ALL SELECT 'circle' FROM low UNION ALL SELECT 'stage_order' FROM t WHERE {ORD.format("s1")} = 99 OR {ORD.format("s2")} = 99 OR {ORD.format("s1")} >= {ORD.format("s2")}
+UNION ALL SELECT 'missing_fields' FROM n WHERE coalesce(id, '') = '' OR coalesce(domain, '') = '' OR coalesce(code, '') = '' OR coalesce(stage, '') = '' OR coalesce(category, '') = '' OR coalesce(type, '') = '')
+SELECT "check", count(*) AS n FROM f GROUP BY "check\""""
+)
+def graph_findings(spark: SparkSession, d: str) -> DataFrame:
+    """The findings over the whole graph, counted by check."""
+    return pipelines.verify_graph(_nodes(spark, d), _edges(spark, d)).groupBy("check").agg(F.count(F.lit(1)).alias("n"))
