@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,4 +90,26 @@ def p9_composition(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_repaired, p4_found, p5_found, p5_restored, p7_found, p7_items, p8_documents, p8_shares, p9_found, p9_composition)}
 
-SQL: dict[str, str] = {}
+
+
+def _written_form(column: str, stage: bool) -> str:
+    """SQL that writes a code or stage as the node table does, by the standard's compatibility forms and the list of look-alikes."""
+    ranges = [*range(0x2150, 0x2190), *range(0x2E80, 0x2FE0), *range(0xF900, 0xFB00), *range(0xFF01, 0xFF5F)]
+    given = {c: to for to, froms in unify.LOOKALIKES.items() for c in froms}
+    forms = {chr(cp): unicodedata.normalize("NFKC", chr(cp)) for cp in ranges if unicodedata.category(chr(cp)) != "Cn"} | given
+    single = {a: b for a, b in forms.items() if len(b) == 1 and a != b and b not in "'\\"}
+    quoted = lambda t: t.replace("'", "''")
+    out = f"regexp_replace({column}, '[\\x{{00AD}}\\x{{180E}}\\x{{2000}}-\\x{{200F}}\\x{{202F}}\\x{{205F}}-\\x{{2064}}\\x{{3000}}\\x{{FEFF}}\\x{{A0}}\\s]', '', 'g')"
+    out = f"translate({out}, '{quoted(''.join(single))}', '{quoted(''.join(single.values()))}')"
+    for a, b in forms.items():
+        if len(b) > 1 and b.isascii() and b.isalpha():
+            out = f"replace({out}, '{a}', '{b}')"
+    out = f"nfc_normalize({out})"
+    if stage:
+        return f"replace({out}, 'l', 'I')"
+    return f"CASE WHEN regexp_matches({out}, '^[^-]*-[^-]*-[^-]*$') THEN split_part({out}, '-', 1) || '-' || replace(split_part({out}, '-', 2), 'l', 'I') || '-' || split_part({out}, '-', 3) ELSE {out} END"
+
+
+SQL: dict[str, str] = {
+    "p4_found": f"WITH t AS (SELECT code_id, domain, code, stage, {_written_form('code', False)} AS c, {_written_form('stage', True)} AS s FROM content_codes) SELECT DISTINCT code_id, domain || '/' || c AS node_id FROM t WHERE c <> code OR s <> stage",
+}
