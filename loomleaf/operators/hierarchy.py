@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomleaf.runtime import cut, hot_limit, lookup_join, release, running_total, stripped
+from loomleaf.runtime import cut, hot_keys, lookup_join, release, running_total, stripped
 
 
 def prerequisite_links(edges: DataFrame) -> DataFrame:
@@ -26,8 +26,8 @@ def prerequisite_links(edges: DataFrame) -> DataFrame:
     return edges.where(wanted).select("src", "dst").distinct()
 
 
-def _hot_jumps(inbound: DataFrame, rows: int) -> DataFrame:
-    return inbound.where(F.col("n_in") > hot_limit(rows)).select("key")
+def _hot_jumps(inbound: DataFrame, rows: int) -> DataFrame | None:
+    return hot_keys(inbound, "key", "n_in", rows)
 
 
 def _upward(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:

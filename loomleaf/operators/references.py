@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomleaf.runtime import hot_limit, lookup_join, union_all
+from loomleaf.runtime import hot_keys, lookup_join, union_all
 
 
 @dataclass(frozen=True)
@@ -64,8 +64,7 @@ def orphan_references(references: list[Reference], parents: DataFrame, roots: Da
         known = known.select("parent", F.col("live_since").cast(times), F.col("first_since").cast(times), "always")
         parents = parents.unionByName(known).groupBy("parent").agg(F.min("live_since").alias("live_since"), F.min("first_since").alias("first_since"), F.max("always").alias("always"))
     counts = refs.groupBy("target_id").count()
-    total = refs.count()
-    hot = counts.where(F.col("count") > hot_limit(total)).select("target_id")
+    hot = hot_keys(counts, "target_id", "count", refs.count())
     met = lookup_join(refs, parents, ("target_id", "parent"), hot, spread="ref_key")
     good = F.coalesce(F.col("always"), F.lit(False)) | F.coalesce(F.col("live_since") <= F.col("at"), F.lit(False))
     kind = (

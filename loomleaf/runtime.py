@@ -63,31 +63,36 @@ def stripped(c: Column | str) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
+def hot_keys(counts: DataFrame, key: str, n: str, rows: int) -> DataFrame | None:
+    """The hot keys among counts (a row per key), never more than HOT_KEYS; None if there are none."""
+    found = counts.where((F.col(n) > hot_limit(rows)) & F.col(key).isNotNull()).select(key).limit(HOT_KEYS).collect()
+    return counts.sparkSession.createDataFrame(found, counts.select(key).schema) if found else None
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
     on: tuple[str, str],
-    hot: DataFrame,
+    hot: DataFrame | None,
     spread: str,
     salts: int = 32,
     how: str = "left",
 ) -> DataFrame:
     """left joined with right, whose key on[1] is unique, by sort-merge, hot keys salted.
 
-    hot has one column, the hot values of on[0]; it must hold at most HOT_KEYS rows (what
-    hot_limit ensures) and is broadcast. Rows of left with a hot key are spread over `salts`
-    parts by the hash of column `spread`, and the one row of right is repeated for each part.
-    Columns of right must not clash with those of left. Null keys join nothing.
+    hot has one column, the hot values of on[0], as hot_keys gives them; it is broadcast. Rows
+    of left with a hot key are spread over `salts` parts by the hash of column `spread`, and the
+    one row of right is repeated for each part. Columns of right must not clash with those of
+    left. Null keys join nothing.
     """
     lk, rk = on
-    # A null key would send all its rows to one task; such rows get a scattered salt of their own.
-    hot_l = F.broadcast(hot.select(F.col(hot.columns[0]).alias("_hot")))
-    hot_r = F.broadcast(hot.select(F.col(hot.columns[0]).alias("_hot")))
+    if hot is None:
+        return left.join(right.hint("merge"), F.col(lk) == F.col(rk), how)
+    marked = F.broadcast(hot.select(F.col(hot.columns[0]).alias("_hot")))
     part = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
-    a = left.join(hot_l, F.col(lk) == F.col("_hot"), "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull() | F.col(lk).isNull(), part).otherwise(F.lit(0))
-    )
-    b = right.join(hot_r, F.col(rk) == F.col("_hot"), "left").withColumn(
+    # A null key would send all its rows to one task; such rows get a scattered salt too.
+    a = left.join(marked, F.col(lk) == F.col("_hot"), "left").withColumn("_salt", F.when(F.col("_hot").isNotNull() | F.col(lk).isNull(), part).otherwise(F.lit(0)))
+    b = right.join(marked, F.col(rk) == F.col("_hot"), "left").withColumn(
         "_part", F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
     )
     b = b.drop("_hot").hint("merge")

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loomleaf.operators import analyze, graph, hierarchy, quality, references
+from loomleaf import runtime
 from loomleaf.runtime import running_total
 
 
@@ -58,6 +59,11 @@ def test_hierarchy_shapes(spark):
     assert {(r.ancestor_id, r.distance) for r in a} == {("n000", 3), ("n001", 2), ("n002", 1)}
 
 
+def test_hierarchy_with_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(runtime, "hot_limit", lambda n: 5)
+    check_tree(spark, [("hub", f"s{i}") for i in range(30)] + [("s1", f"t{i}") for i in range(9)] + [("r1", "r2"), ("r2", "r1")] + [("r1", f"u{i}") for i in range(12)])
+
+
 def test_hierarchy_empty(spark):
     assert hierarchy.hierarchy(spark.createDataFrame([], "src string, dst string")).count() == 0
 
@@ -95,7 +101,7 @@ def test_references(spark):
 
 
 def test_hot_reference(spark, monkeypatch):
-    monkeypatch.setattr(references, "hot_limit", lambda n: 10)
+    monkeypatch.setattr(runtime, "hot_limit", lambda n: 10)
     t = datetime(2022, 1, 1)
     edges = spark.range(200).select(F.col("id").alias("edge_id"), F.lit("hot").alias("src"), F.lit("gone").alias("dst"), F.lit(t).cast("timestamp_ntz").alias("added_at"))
     nodes = spark.createDataFrame([("hot", datetime(2020, 1, 1), None)], "id string, created_at timestamp_ntz, deleted_at timestamp_ntz")
