@@ -30,6 +30,8 @@ ENCODERS = ("western", "cp437", "mac_roman", "gb18030", "cp950", "big5hkscs", "s
 DECODERS = ("utf-8", "cp950", "big5hkscs", "gb18030", "shift_jis")
 #: What a step adds to the cost, by how much the text must get cheaper, how many texts are looked at.
 STEP, GAIN, STATES = 1.5, 6.0, 60
+#: Most that a letter with a mark costs inside a word of plain letters.
+WORD_LETTER = 4.0
 ODD = re.compile("[�\x80-\x9f-\U000f0000-\U0010ffff]")
 ESCAPED = re.compile(r"&#?\w+;|%[0-9A-Fa-f]{2}|\\u[0-9a-fA-F]{4}|\\x[0-9a-fA-F]{2}")
 
@@ -86,11 +88,14 @@ class Plausibility:
 
     def __call__(self, text: str) -> float:
         cost = 0.0
-        for ch in text:
+        for i, ch in enumerate(text):
             c = self.known.get(ch)
             if c is None:
                 seen = 0 if ODD.match(ch) else self.counts.get(ch, 0)
                 c = self.known[ch] = -math.log((seen + prior(ch)) / self.total)
+            # A letter with a mark beside a plain letter makes a word of another language, however rare it is here.
+            if c > WORD_LETTER and "\xc0" <= ch <= "\u024f" and ch.isalpha() and (text[i - 1 : i] + text[i + 1 : i + 2]).isascii() and any(x.isalpha() for x in (text[i - 1 : i], text[i + 1 : i + 2])):
+                c = WORD_LETTER
             cost += c
         return cost
 
