@@ -26,6 +26,8 @@ from loomleaf.runtime import cut, spread
 
 #: Hashed terms, parts in which their tables are summed, passes of fitting, passes of sharpening.
 TERMS, SLICES, FITTING, SHARPENING = 1 << 18, 16, 4, 3
+#: Turns in which a document's proportions settle, within a pass.
+INNER = 2
 #: Labelled documents used to start the topics: about so many times the number of areas at most, chosen by hash.
 LABELLED = 20_000
 #: A term tells a subject when this share of its occurrences is the subject's; sentences a subject needs.
@@ -107,7 +109,7 @@ def _inferred(b: Batch, phi: Rows, alpha: np.ndarray) -> tuple[np.ndarray, np.nd
     """Topic shares of every occurrence and proportions of every document, for fixed topics."""
     theta = np.tile(alpha / alpha.sum(), (b.docs, 1))
     q, known = np.zeros((0, len(alpha))), phi[b.term]
-    for _ in range(4):
+    for _ in range(INNER):
         q = known * theta[b.doc]
         q /= q.sum(1, keepdims=True) + 1e-12
         theta = b.sums(q, b.doc, b.docs) + alpha
