@@ -179,10 +179,10 @@ def test_subspace_holds_the_variance(spark):
     idf = leakage.document_frequencies(d)
     basis = leakage.subspace(d, idf)
     assert np.allclose(basis.T @ basis, np.eye(leakage.RANK), atol=1e-3)
-    texts = [w for x in d.collect() for w in leakage.windows(x.text)]
-    a = np.zeros((len(texts), leakage.FEATURES))
-    for i, t in enumerate(texts):
-        np.add.at(a[i], leakage.features([t])[0], 1)
+    w = leakage.Windows([leakage.letters(x.text) for x in d.collect()])
+    a = np.zeros((len(w.low), leakage.FEATURES))
+    for i, (lo, hi) in enumerate(zip(w.low, w.high)):
+        np.add.at(a[i], w.pairs[(w.block == lo) | (w.block == hi)], 1)
     a *= idf
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     best = (np.linalg.svd(a, compute_uv=False)[: leakage.RANK] ** 2).sum()
