@@ -79,7 +79,7 @@ def candidates(lines: list[str], domain: str | None) -> Iterator[tuple[int, str,
     full = [i for i, x in enumerate(lines) if x.strip(BLANK)]
     for at, i in enumerate(full):
         s = lines[i].strip(BLANK)
-        if at == 0 or len(s) > 40 or STOPPED.search(s) or "。" in s or "，" in s or is_page(s):
+        if at == 0 or len(s) > 40 or STOPPED.search(s) or re.search("[。，、]", s) or is_page(s) or len(re.findall("[（(]", s)) != len(re.findall("[）)]", s)):
             continue
         near = [lines[j] for j in full[max(0, at - 1) : at + 2] if abs(j - i) <= 2 and j != i]
         yield i, template(lines[i], domain), lines[i].startswith("\x0c") or any(is_page(x) for x in near)
@@ -87,7 +87,7 @@ def candidates(lines: list[str], domain: str | None) -> Iterator[tuple[int, str,
 
 def close(a: str, b: str) -> bool:
     """Of one length, with few places where they differ."""
-    return len(a) == len(b) and sum(x != y for x, y in zip(a, b)) <= max(1, len(a) // 4)
+    return len(a) == len(b) and sum(x != y for x, y in zip(a, b)) <= max(1, 2 * len(a) // 5)
 
 
 class Furniture:
@@ -208,6 +208,10 @@ def counted(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([(k, a, b, n) for (k, a, b), n in c.items()], columns=["kind", "item", "context", "n"])
 
 
+#: That a line stands at page breaks in three tenths of its places at least, beyond chance (lower end of Wilson's interval at two deviations).
+STANDING = "(broken / n + 2 / n - 2 * sqrt(broken * (n - broken) / pow(n, 3) + 1 / pow(n, 2))) / (1 + 4 / n) >= 0.3"
+
+
 def learned_headers(docs: DataFrame) -> DataFrame:
     """template: the lines that stand at page breaks again and again. docs: key, domain, raw."""
 
@@ -222,7 +226,7 @@ def learned_headers(docs: DataFrame) -> DataFrame:
                         at[t] += broken
             yield pd.DataFrame([(t, k, at[t]) for t, k in n.items()], columns=["template", "n", "broken"])
 
-    return docs.select("domain", "raw").mapInPandas(lines, "template string, n long, broken long").groupBy("template").agg(F.sum("n").alias("n"), F.sum("broken").alias("broken")).where("broken >= 3 and broken >= 0.4 * n").select("template")
+    return docs.select("domain", "raw").mapInPandas(lines, "template string, n long, broken long").groupBy("template").agg(F.sum("n").alias("n"), F.sum("broken").alias("broken")).where(f"broken >= 3 and {STANDING}").select("template")
 
 
 def in_blocks(table: DataFrame, key: str) -> Iterator[list]:
