@@ -232,3 +232,38 @@ def file_ids(html: Column) -> Column:
 def valid_download(status: Column, size: Column, head: Column) -> Column:
     """Whether a response is worth keeping: good status, not tiny, no page of HTML."""
     return (status == 200) & (size >= 500) & ~F.lower(head).rlike(r"^\s*<(?:!doctype|html)")
+
+
+def ocr(languages: list[str], dpi: int = 150, pages: int = 1) -> Callable[[bytes], str]:
+    """An extractor for scanned PDF files: pages drawn at a resolution and read in the first language that gives text."""
+
+    def run(data: bytes) -> str:
+        import tempfile
+        from pathlib import Path
+
+        if not (shutil.which("pdftoppm") and shutil.which("tesseract")):
+            raise LookupError("pdftoppm or tesseract not installed")
+        with tempfile.TemporaryDirectory() as d:  # of one file, gone when it is read
+            (Path(d) / "in.pdf").write_bytes(data)
+            subprocess.run(["pdftoppm", "-r", str(dpi), "-l", str(pages), "-png", f"{d}/in.pdf", f"{d}/page"], check=True, timeout=60)
+            for lang in languages:
+                got = [subprocess.run(["tesseract", str(p), "-", "-l", lang], capture_output=True, timeout=60).stdout.decode("utf-8", "replace") for p in sorted(Path(d).glob("page*.png"))]
+                if "".join(got).strip():
+                    return "\n".join(got)
+        raise ValueError("no text recognised")
+
+    return run
+
+
+def listed_files(html: Column) -> Column:
+    """id and name of the office and PDF files of a folder listing, whose entries carry data-id; of equal ids the first counts."""
+    entries = F.regexp_extract_all(html, F.lit(r'(?s)(data-id="[\w-]+"[^>]*>\s*[^<\n]+)'), 1)
+    pairs = F.transform(entries, lambda e: F.struct(F.regexp_extract(e, 'data-id="([^"]+)"', 1).alias("id"), F.trim(F.regexp_extract(e, r">\s*([^<\n]+)$", 1)).alias("name")))
+    good = F.filter(pairs, lambda p: F.lower(p["name"]).rlike(r"\.(?:pdf|docx?|pptx?|xlsx?)$"))
+    return F.filter(good, lambda p, i: ~F.exists(F.slice(good, F.lit(1), i), lambda q: q["id"] == p["id"]))
+
+
+def first_valid(responses: DataFrame, key: str, order: str, ok: Column) -> DataFrame:
+    """The first response of each key, in the order of its variants, that is worth keeping."""
+    keep = [c for c in responses.columns if c != key]
+    return responses.where(ok).groupBy(key).agg(F.min_by(F.struct(*keep), order).alias("x")).select(key, "x.*")

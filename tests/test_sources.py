@@ -82,3 +82,33 @@ def test_streams(spark, tmp_path):
     n = ingest.windowed_counts(ingest.new_rows(spark, src, "k int, at timestamp, t string"), "at", "t", "30 minutes", "5 minutes")
     ingest.run_available(n, str(tmp_path / "n"), str(tmp_path / "nck"))
     assert spark.read.parquet(str(tmp_path / "n")).count() >= 1
+
+
+def test_listings(spark):
+    html = '<div data-id="a1" class="x">\n Paper 1.pdf </div><div data-id="b2">Notes</div><div data-id="a1">again.pdf</div><div data-id="c3">x.DOCX</div>'
+    rows = spark.createDataFrame([(html,), ("",), (None,)], "h string").select(readers.listed_files(F.col("h")).alias("f")).collect()
+    assert [(p.id, p.name) for p in rows[0].f] == [("a1", "Paper 1.pdf"), ("c3", "x.DOCX")] and rows[1].f == [] and rows[2].f is None
+    d = spark.createDataFrame([("k", 1, 404), ("k", 2, 200), ("k", 3, 200), ("z", 1, 500)], "k string, o int, status int")
+    assert [tuple(r) for r in readers.first_valid(d, "k", "o", F.col("status") < 400).collect()] == [("k", 2, 200)]
+
+
+
+def test_pipelines(spark, tmp_path):
+    from loomleaf.plans import pipelines
+
+    d = tmp_path / "drive" / "grade7" / "上學期"
+    d.mkdir(parents=True)
+    (d / "7N11421.txt").write_text("實驗 試管", "utf-8")
+    (d / "109-無題.txt").write_text("史料與地圖，史料與地圖", "utf-8")
+    (d / "b.xlsx").write_bytes(b"x")
+    records, failures = pipelines.extract_exams(spark, str(tmp_path))
+    rows = {r.original_filename: r for r in records.collect()}
+    assert rows["109-無題.txt"].subject == "社會" and rows["109-無題.txt"].year_roc == "109" and rows["109-無題.txt"].grade_num == 7 and rows["109-無題.txt"].path_term == "上學期"
+    assert [r.reason.split(":")[0] for r in failures.collect()] == ["xlsx-skipped"]
+    index = spark.createDataFrame([("D", "T"), ("D", "U")], "domain string, title string")
+    parsed = spark.createDataFrame([("a", "D", {"title": "T"}, "A", [1], [2, 3]), ("b", "D", {"title": "T"}, "B", [1], [2])], "path string, domain string, frontmatter map<string,string>, structure_type string, performance_codes array<int>, content_codes array<int>")
+    got = {r.title: r.structure_type for r in pipelines.aggregate_index(index, parsed).collect()}
+    assert got == {"T": "B", "U": None}
+    exams = spark.createDataFrame([(1, "高中", "x", "國文", "109", "f" * 64, "body"), (2, None, None, None, None, None, None)], "exam_id int, stage string, grade_label string, subject string, year_roc string, sha256 string, body string").withColumns({"semester": F.lit(None).cast("string"), "test_type": F.lit("期中考")})
+    docs = {r.exam_id: r for r in pipelines.exam_documents(exams).collect()}
+    assert docs[1].path == "高中/x/國文/109-期中考-ffffffff.md" and "subject: 國文" in docs[1].text and docs[2].path.startswith("未分/未分/未分/")
