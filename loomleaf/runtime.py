@@ -106,16 +106,27 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def least_parts(spark: SparkSession) -> int:
+    """Twice as many parts as there are cores: what a costly stage should have at least."""
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """df in at least twice as many parts as there are cores; moved only where its files give fewer.
+    """A scan in at least so many parts that all cores are busy; moved only where its files give fewer.
 
-    For costly Python stages over small or few files; on inputs that already fill the cluster
-    nothing is shuffled.
+    For costly Python stages over small or few files; inputs that already fill the cluster aren't
+    shuffled. df must not hold a shuffle itself, which would run to tell its parts.
     """
-    least = 2 * df.sparkSession.sparkContext.defaultParallelism
+    least = least_parts(df.sparkSession)
     return df if df.rdd.getNumPartitions() >= least else df.repartition(least)
 
 
+def distinct_by(df: DataFrame, key: str) -> DataFrame:
+    """The distinct rows, kept in enough parts for a costly stage to follow; one shuffle, by the key alone."""
+    n = max(least_parts(df.sparkSession), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, key).distinct()
+
+
 def running_total(df: DataFrame, group: str, key: str, value: str, name: str, rows: int, per_bucket: int = 50_000) -> DataFrame:
     """df with `name`: the sum of `value` over the rows before it in its group, in a seeded order of `key`.
 
