@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomleaf.llm.hanzi import TRADITIONAL
-from loomleaf.runtime import cut, spread
+from loomleaf.runtime import cut, distinct_by, least_parts, spread
 
 #: Hashed terms, parts in which their tables are summed, passes of fitting, passes of sharpening.
 TERMS, SLICES, FITTING, SHARPENING = 1 << 18, 16, 4, 3
 #: Turns in which a document's proportions settle, within a pass.
-INNER = 2
+INNER = 4
 #: Labelled documents used to start the topics: about so many times the number of areas at most, chosen by hash.
 LABELLED = 20_000
 #: A term tells a subject when this share of its occurrences is the subject's; sentences a subject needs.
@@ -117,7 +117,7 @@ def _inferred(b: Batch, phi: Rows, alpha: np.ndarray) -> tuple[np.ndarray, np.nd
     return q, theta
 
 
-def _summed(docs: DataFrame, width: int, step) -> np.ndarray:  # noqa: ANN001
+def _summed(docs: DataFrame, tasks: int, width: int, step) -> np.ndarray:  # noqa: ANN001
     """The sum over all batches of step(batch, pdf), a TERMS x width table, added in slices and by groups of tasks."""
     rows = TERMS // SLICES
 
@@ -143,7 +143,7 @@ def _summed(docs: DataFrame, width: int, step) -> np.ndarray:  # noqa: ANN001
 
     kind = "part int, at binary, m binary"
     parts = docs.mapInPandas(run, kind)
-    groups = max(1, int(docs.rdd.getNumPartitions() ** 0.5))
+    groups = max(1, int(max(tasks, least_parts(docs.sparkSession)) ** 0.5))
     parts = parts.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(groups))).groupBy("part", "g").applyInPandas(total, kind)
     out = np.zeros((TERMS, width), np.float32)
     for r in parts.groupBy("part").applyInPandas(total, kind).collect():
@@ -157,8 +157,8 @@ def _featured(docs: DataFrame, key: str) -> DataFrame:
             found = [[h for h in map(hashed, sentences(t)) if h] for t in pdf["text"]]
             yield pd.DataFrame({"key": pdf["key"], "feats": [[x for s in d for pair in s for x in pair] for d in found], "sizes": [[len(s) for s in d] for d in found]})
 
-    src = docs.where(F.col(key).isNotNull() & (F.col("text") != "")).select(F.col(key).cast("bigint").alias("key"), "text").distinct()
-    return cut(spread(src).mapInPandas(run, "key long, feats array<int>, sizes array<int>"))
+    src = docs.where(F.col(key).isNotNull() & (F.col("text") != "")).select(F.col(key).cast("bigint").alias("key"), "text")
+    return spread(cut(distinct_by(src, "key").mapInPandas(run, "key long, feats array<int>, sizes array<int>")))
 
 
 class Model:
@@ -198,9 +198,10 @@ def fit(feats: DataFrame, labels: DataFrame, excluded: list[str]) -> Model:
     def occurrences(acc: np.ndarray, b: Batch, pdf: pd.DataFrame) -> None:
         acc[:, 0] += np.bincount(b.term, minlength=TERMS) + np.bincount(b.twin, minlength=TERMS)
 
-    n = _summed(feats, 1, occurrences)[:, 0].astype(np.float64)
+    tasks = feats.rdd.getNumPartitions()  # of a scan: nothing runs for it
+    n = _summed(feats, tasks, 1, occurrences)[:, 0].astype(np.float64)
     p = (n + 0.01) / (n.sum() + 0.01 * TERMS)
-    first = _summed(feats.join(chosen, "key"), k, seeds).astype(np.float64) if k else np.zeros((TERMS, 0))
+    first = _summed(feats.join(chosen, "key"), tasks, k, seeds).astype(np.float64) if k else np.zeros((TERMS, 0))
     phi = np.concatenate([p[:, None], (first + 30 * p[:, None]) / (first.sum(0) + 30)], 1)
     alpha = np.array([1.0] + [0.1] * k)
     seen = (n > 0)[:, None]
@@ -215,7 +216,7 @@ def fit(feats: DataFrame, labels: DataFrame, excluded: list[str]) -> Model:
             for j in range(k + 1):
                 acc[:, j] += np.bincount(b.term, weights=q[:, j], minlength=TERMS)
 
-        got = _summed(feats, k + 1, expectation).astype(np.float64)
+        got = _summed(feats, tasks, k + 1, expectation).astype(np.float64)
         phi = (got + np.array([5.0] + [0.5] * k) * p[:, None]) / (got.sum(0) + np.array([5.0] + [0.5] * k))
 
     told = np.zeros(TERMS)
@@ -245,7 +246,7 @@ def fit(feats: DataFrame, labels: DataFrame, excluded: list[str]) -> Model:
 
         if not k:
             break
-        per = _summed(feats, k, spread_over).astype(np.float64)
+        per = _summed(feats, tasks, k, spread_over).astype(np.float64)
         usual = per.sum(0) / max(per.sum(), 1e-9)
         share = (per + 3 * usual) / (n[:, None] + 3)
         telling = np.where(share >= TELLING, np.minimum(np.log(share / np.maximum(usual, 1e-9)), 2.5), 0)
