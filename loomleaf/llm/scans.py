@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomleaf.runtime import cut, distinct_by, spread, union_all
+from loomleaf.runtime import cut, distinct_by, union_all
 
 #: A frequent word outnumbers a misreading of it in the same surroundings by this factor at least.
 RATIO = 20
@@ -375,7 +375,7 @@ def _repaired(raw: str, gone: list[int], mender: Mender) -> str:
 
 def _prepared(docs: DataFrame, key: str, domain: str, text: str) -> tuple[DataFrame, DataFrame]:
     src = docs.where(F.col(key).isNotNull() & (F.col(text) != "")).select(F.col(key).cast("bigint").alias("key"), F.col(domain).alias("domain"), F.col(text).alias("raw"))
-    clean = spread(cut(without_furniture(distinct_by(src, "key"))))
+    clean = cut(without_furniture(distinct_by(src, "key")))
     counts = cut(clean.select("raw", "gone").mapInPandas(lambda it: map(counted, it), "kind string, item string, context string, n long").groupBy("kind", "item", "context").agg(F.sum("n").alias("n")))
     return clean, cut(links(counts))
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomleaf.llm.hanzi import TRADITIONAL
-from loomleaf.runtime import cut, distinct_by, least_parts, spread
+from loomleaf.runtime import cut, distinct_by, least_parts
 
 #: Hashed terms, parts in which their tables are summed, passes of fitting, passes of sharpening.
 TERMS, SLICES, FITTING, SHARPENING = 1 << 18, 16, 4, 3
@@ -158,7 +158,7 @@ def _featured(docs: DataFrame, key: str) -> DataFrame:
             yield pd.DataFrame({"key": pdf["key"], "feats": [[x for s in d for pair in s for x in pair] for d in found], "sizes": [[len(s) for s in d] for d in found]})
 
     src = docs.where(F.col(key).isNotNull() & (F.col("text") != "")).select(F.col(key).cast("bigint").alias("key"), "text")
-    return spread(cut(distinct_by(src, "key").mapInPandas(run, "key long, feats array<int>, sizes array<int>")))
+    return cut(distinct_by(src, "key").mapInPandas(run, "key long, feats array<int>, sizes array<int>"))
 
 
 class Model:
