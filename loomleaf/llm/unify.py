@@ -74,6 +74,11 @@ def _pairs() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(parts) == 2 and parts[0][0] != "<" and unicodedata.normalize("NFC", ch) == ch:
             keys.append(int(parts[0], 16) << 21 | int(parts[1], 16))
             made.append(cp)
+    for cp in range(0xAC00, 0xD7A4):  # syllables, whose parts follow from their number
+        s = cp - 0xAC00
+        first, second = (cp - s % 28, 0x11A7 + s % 28) if s % 28 else (0x1100 + s // 588, 0x1161 + s % 588 // 28)
+        keys.append(first << 21 | second)
+        made.append(cp)
     order = np.argsort(np.array(keys, np.int64))
     return np.array(keys, np.int64)[order], np.array(made, np.uint32)[order], classes
 
@@ -116,20 +121,25 @@ def _compose(points: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
         order = np.lexsort((ccc, run, rows))
         points, rows, ccc = points[order], rows[order], ccc[order]
     while len(points) > 1:
-        base, mark = points[:-1].astype(np.int64), points[1:].astype(np.int64)
-        wanted = base << 21 | mark
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        # A base takes the first mark behind it; two pairs that share a character are done in turn.
-        hit = (keys[at] == wanted) & (rows[:-1] == rows[1:])
-        hit[1:] &= ~hit[:-1]
-        if not hit.any():
+        at = np.arange(len(points))
+        start = ccc == 0
+        before = np.concatenate([[-1], at[:-1]])
+        # A mark belongs to the last starter, and reaches it past marks of lower classes; a starter only to one right before it.
+        base = np.where(start, np.where(start[before] & (before >= 0), before, -1), np.maximum.accumulate(np.where(start, at, -1)))
+        free = (base >= 0) & (rows[base] == rows) & ((base == before) | ~start & (ccc[before] < ccc))
+        wanted = points[base].astype(np.int64) << 21 | points
+        found = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        hit = np.flatnonzero(free & (keys[found] == wanted))
+        if not len(hit):
             break
-        place = np.flatnonzero(hit)
+        # Of each base the first; none whose base is itself taken up in this pass.
+        hit = hit[np.unique(base[hit], return_index=True)[1]]
+        hit = hit[~np.isin(base[hit], hit)]
         points = points.copy()
-        points[place] = made[at[place]]
+        points[base[hit]] = made[found[hit]]
         keep = np.ones(len(points), bool)
-        keep[place + 1] = False
-        points, rows = points[keep], rows[keep]
+        keep[hit] = False
+        points, rows, ccc = points[keep], rows[keep], ccc[keep]
     return points, rows
 
 
