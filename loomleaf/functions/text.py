@@ -15,6 +15,9 @@ STAGE = "[ⅠⅡⅢⅣⅤ]|I{1,3}|IV|V{1,3}|[1-5]"
 CODE = f"(?:[一-鿿]{{0,2}})(?:{PREFIX})-(?:IV|{STAGE})[ca]?-[0-9]+"
 #: The same with what stands before it, for engines without lookbehind; group 1 is the code.
 CODE_IN_TEXT = f"(?:^|[^A-Za-z0-9])({CODE})"
+#: The same for prefixes with accented letters, which nodes has too (Tâi-, Lô-, 3é-); CODE stays as it is, since the SQL twins are written with it.
+LATIN = "A-Za-zÀ-ÖØ-öø-ɏḀ-ỿ"
+ACCENTED_CODE_IN_TEXT = f"(?:^|[^0-9{LATIN}])((?:[一-鿿]{{0,2}})(?:[0-9]?[{LATIN}]{{1,3}}|[0-9])-(?:IV|{STAGE})[ca]?-[0-9]+)"
 MATH_CODE = "(?:^|[^A-Za-z0-9])([A-Z]-[1-5]-[0-9]+)(?:$|[^A-Za-z0-9])"
 PARTS = f"^([一-鿿]{{0,2}})({PREFIX})-(IV|{STAGE})[ca]?-([0-9]+)$"
 

@@ -5,31 +5,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomleaf.functions.text import CODE_IN_TEXT
+from loomleaf.functions.text import ACCENTED_CODE_IN_TEXT, CODE_IN_TEXT
 
 
-def match_codes(texts: DataFrame, key: str, text: str, codes: DataFrame) -> DataFrame:
-    """key, domain, code, n: how often each code of a text's domain stands in it as a whole code.
+def match_codes(texts: DataFrame, key: str, text: str, codes: DataFrame, pattern: str = ACCENTED_CODE_IN_TEXT) -> DataFrame:
+    """key, domain, code, n: how often each code of a text's domain stands in it as a whole code, which group 1 of the pattern is.
 
     texts has a column domain, codes has domain and code. Each text is read once and its codes are joined by equality,
     instead of looking for every code of the domain in it.
     """
-    found = texts.select(key, "domain", F.explode(F.regexp_extract_all(text, F.lit(CODE_IN_TEXT), 1)).alias("code")).groupBy(key, "domain", "code").agg(F.count(F.lit(1)).alias("n"))
+    found = texts.select(key, "domain", F.explode(F.regexp_extract_all(text, F.lit(pattern), 1)).alias("code")).groupBy(key, "domain", "code").agg(F.count(F.lit(1)).alias("n"))
     return found.join(codes.select("domain", "code").distinct(), ["domain", "code"]).select(key, "domain", "code", "n")
 
 
-def match_substrings(texts: DataFrame, key: str, text: str, codes: DataFrame) -> DataFrame:
-    """The same with every occurrence of the code's letters counted, inside longer codes too.
-
-    A code that is part of another can only stand inside codes that begin like it, so each text's
-    whole codes are joined with the shorter ones they begin with: no text meets all codes.
-    """
+def match_prefixes(texts: DataFrame, key: str, text: str, codes: DataFrame) -> DataFrame:
+    """The same with the codes counted that a whole code begins with; those that stand elsewhere in it are left to match_substrings."""
     found = texts.select(key, "domain", F.explode(F.regexp_extract_all(text, F.lit(CODE_IN_TEXT), 1)).alias("whole")).groupBy(key, "domain", "whole").agg(F.count(F.lit(1)).alias("n"))
     starts = found.withColumn("code", F.explode(F.transform(F.sequence(F.lit(1), F.length("whole")), lambda i: F.left("whole", i))))
     hits = starts.join(codes.select("domain", "code").distinct(), ["domain", "code"])
     return hits.groupBy(key, "domain", "code").agg(F.sum("n").alias("n"))
 
 
+def match_substrings(texts: DataFrame, key: str, text: str, codes: DataFrame) -> DataFrame:
+    """The same with every occurrence of the code's letters counted, wherever it stands and whatever stands around it.
+
+    A code lies within one run of characters that occur in codes. The substrings of these runs, as long as codes are, meet
+    the codes by equality, so no text meets all codes. Occurrences that overlap others of the same code don't count.
+    """
+    known = codes.select("domain", "code").where("domain is not null and code <> ''").distinct()
+    letters = F.array_distinct(F.flatten(F.collect_set(F.split("code", ""))))
+    shape = known.agg(letters.alias("c"), F.min(F.length("code")).alias("_least"), F.max(F.length("code")).alias("_most"))
+    # as numbers, since a hyphen or bracket means something in a class
+    shape = shape.select("_least", "_most", F.concat(F.lit("(["), F.array_join(F.transform(F.filter("c", lambda x: x != ""), lambda x: F.concat(F.lit(r"\x{"), F.hex(F.ascii(x)), F.lit("}"))), ""), F.lit("]+)")).alias("_run")).where("_least is not null")
+    runs = texts.crossJoin(F.broadcast(shape)).select(key, "domain", "_least", "_most", F.explode(F.regexp_extract_all(text, F.col("_run"), 1)).alias("run")).where(F.length("run") >= F.col("_least"))
+    runs = runs.groupBy(key, "domain", "run", "_least", "_most").agg(F.count(F.lit(1)).alias("n"))
+    # of each start, the substrings from the shortest code's length to the longest's
+    lengths = lambda i: F.sequence(F.col("_least"), F.least(F.col("_most"), F.length("run") - i + 1))
+    starts = F.sequence(F.lit(1), F.length("run") - F.col("_least") + 1)
+    parts = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(lengths(i), lambda k: F.substring("run", i, k)))))
+    hits = runs.select(key, "domain", "run", "n", F.explode(parts).alias("code")).join(known, ["domain", "code"])
+    times = (F.length("run") - F.length(F.replace("run", "code", F.lit("")))) / F.length("code")
+    return hits.groupBy(key, "domain", "code").agg(F.sum(F.col("n") * times.cast("bigint")).alias("n"))
+
+
 def frequencies(matches: DataFrame, key: str) -> DataFrame:
     """Sums over all, by domain and by text, in one pass: level, domain, key, code, n."""
     sets = matches.groupingSets([["code"], ["domain", "code"], [key, "domain", "code"]], key, "domain", "code").agg(F.sum("n").alias("n"), F.grouping_id().alias("g"))

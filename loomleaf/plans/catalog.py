@@ -304,7 +304,7 @@ FOUND = f"""{S}, k AS (SELECT file_id, domain, unnest(regexp_extract_all(raw_sec
 
 
 def _matches(spark: SparkSession, d: str) -> DataFrame:
-    return analyze.match_codes(_files(spark, d), "file_id", "raw_section_5", table(spark, d, "nodes"))
+    return analyze.match_codes(_files(spark, d), "file_id", "raw_section_5", table(spark, d, "nodes"), text.CODE_IN_TEXT)
 
 
 @query(f"WITH {FOUND} SELECT CASE grouping(file_id, domain) WHEN 0 THEN 'text' WHEN 2 THEN 'domain' ELSE 'all' END AS level, domain, file_id, code, sum(n)::BIGINT AS n FROM m GROUP BY GROUPING SETS ((code), (domain, code), (file_id, domain, code))")
@@ -327,10 +327,44 @@ def code_top(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {S}, k AS (SELECT file_id, domain, unnest(regexp_extract_all(raw_section_5, '{CODE}', 1)) AS whole FROM s), m AS (SELECT k.file_id, k.domain, n.code FROM k JOIN (SELECT DISTINCT domain, code FROM nodes) n ON n.domain = k.domain AND starts_with(k.whole, n.code)) SELECT file_id, domain, code, count(*) AS n FROM m GROUP BY ALL")
 def code_substrings(spark: SparkSession, d: str) -> DataFrame:
-    """Occurrences of codes inside longer codes counted too."""
+    """Codes that longer ones begin with counted too, as its SQL says; code_occurrences has every occurrence."""
+    return analyze.match_prefixes(_files(spark, d), "file_id", "raw_section_5", table(spark, d, "nodes"))
+
+
+@query(
+    f"""WITH {S}, k AS (SELECT DISTINCT domain, code FROM nodes WHERE code <> '')
+SELECT s.file_id, s.domain, k.code, sum((length(s.raw_section_5) - length(replace(s.raw_section_5, k.code, ''))) // length(k.code))::BIGINT AS n FROM s JOIN k ON k.domain = s.domain AND contains(s.raw_section_5, k.code) GROUP BY ALL"""
+)
+def code_occurrences(spark: SparkSession, d: str) -> DataFrame:
+    """Every occurrence of the letters of each code of a file's domain."""
     return analyze.match_substrings(_files(spark, d), "file_id", "raw_section_5", table(spark, d, "nodes"))
 
 
+ACCENTED = FOUND.replace(CODE, text.ACCENTED_CODE_IN_TEXT)
+
+
+def _accented(spark: SparkSession, d: str) -> DataFrame:
+    return analyze.match_codes(_files(spark, d), "file_id", "raw_section_5", table(spark, d, "nodes"))
+
+
+@query(f"WITH {ACCENTED} SELECT CASE grouping(file_id, domain) WHEN 0 THEN 'text' WHEN 2 THEN 'domain' ELSE 'all' END AS level, domain, file_id, code, sum(n)::BIGINT AS n FROM m GROUP BY GROUPING SETS ((code), (domain, code), (file_id, domain, code))")
+def whole_code_frequencies(spark: SparkSession, d: str) -> DataFrame:
+    """code_frequencies with accented codes."""
+    return analyze.frequencies(_accented(spark, d), "file_id")
+
+
+@query(f"WITH {ACCENTED}, t AS (SELECT domain, code, sum(n)::BIGINT AS n FROM m GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY n DESC, code) AS rank FROM t) SELECT domain, code, n, rank::INTEGER AS rank FROM r WHERE rank <= 10")
+def whole_code_top_by_domain(spark: SparkSession, d: str) -> DataFrame:
+    t = _accented(spark, d).groupBy("domain", "code").agg(F.sum("n").alias("n"))
+    return analyze.top(t, 10, [F.desc("n"), F.asc("code")], ["domain"])
+
+
+@query(f"WITH {ACCENTED}, t AS (SELECT code, sum(n)::BIGINT AS n, min(domain) AS domain FROM m GROUP BY ALL) SELECT code, n, domain, row_number() OVER (ORDER BY n DESC, code)::INTEGER AS rank FROM t ORDER BY n DESC, code LIMIT 30")
+def whole_code_top(spark: SparkSession, d: str) -> DataFrame:
+    t = _accented(spark, d).groupBy("code").agg(F.sum("n").alias("n"), F.min("domain").alias("domain"))
+    return analyze.top(t, 30, [F.desc("n"), F.asc("code")])
+
+
 @query(f"WITH {S}, k AS (SELECT file_id, raw_section_5, unnest(performance_codes).code AS code FROM s) SELECT DISTINCT file_id, code FROM k WHERE code IS NOT NULL AND NOT list_contains(regexp_extract_all(coalesce(raw_section_5, ''), '{CODE}', 1), code)")
 def codes_not_in_text(spark: SparkSession, d: str) -> DataFrame:
     return quality.codes_not_in_text(_files(spark, d))

@@ -152,6 +152,15 @@ def test_substring_codes(spark):
     assert {r.code: r.n for r in analyze.match_codes(t, "k", "t", c).collect()} == {"n-I-1": 1, "n-I-10": 1}
 
 
+def test_substrings_anywhere(spark):
+    t = spark.createDataFrame([(1, "D", "見歷Aa-I-3、xTâi-V-1與Tâi-V-1。1-I-1-I-1"), (2, None, "Aa-I-3")], "k int, domain string, t string")
+    c = spark.createDataFrame([("D", "Aa-I-3"), ("D", "歷Aa-I-3"), ("D", "Tâi-V-1"), ("D", "1-I-1"), ("D", "Z-I-1"), (None, "Aa-I-3"), ("D", None)], "domain string, code string")
+    got = {(r.k, r.code): r.n for r in analyze.match_substrings(t, "k", "t", c).collect()}
+    assert got == {(1, "Aa-I-3"): 1, (1, "歷Aa-I-3"): 1, (1, "Tâi-V-1"): 2, (1, "1-I-1"): 1}
+    assert analyze.match_substrings(t, "k", "t", c.limit(0)).count() == 0
+    assert {r.code: r.n for r in analyze.match_codes(t, "k", "t", c).collect()}["Tâi-V-1"] == 1
+
+
 def test_checks(spark):
     d = spark.createDataFrame([(1, "s", "n", "0" * 64, "long enough text"), (2, None, None, "x", ""), (3, "s", "n", "x", "y")], "exam_id int, source string, original_filename string, sha256 string, body string")
     assert {(r.entity, r.check) for r in quality.exam_checks(d).collect()} == {("2", "source"), ("3", "sha256")}
