@@ -517,6 +517,50 @@ def file_checks(spark: SparkSession, d: str) -> DataFrame:
     return _checks(spark, d)
 
 
+MATH_DOUBLED = "regexp_replace(raw_section_5, '([^A-Za-z0-9])', '\\1\\1', 'g')"
+LOST = f"""h AS (SELECT DISTINCT file_id, unnest(list_concat(regexp_extract_all(raw_section_5, '{CODE}', 1), regexp_extract_all(raw_section_5, '{text.ACCENTED_CODE_IN_TEXT}', 1), regexp_extract_all({MATH_DOUBLED}, '{text.MATH_CODE}', 1))) AS code FROM s WHERE raw_section_5 IS NOT NULL),
+u AS (SELECT file_id, 'performance' AS kind, unnest(performance_codes).code AS code FROM s UNION SELECT file_id, 'content', code FROM c SEMI JOIN s USING (file_id)), lost AS (SELECT * FROM u ANTI JOIN h USING (file_id, code) WHERE code <> '')"""
+
+
+@query(f"WITH {S}, {C}, {LOST} SELECT file_id, kind, code FROM lost")
+def codes_lost(spark: SparkSession, d: str) -> DataFrame:
+    """Performance and content codes that the file's text doesn't hold."""
+    return quality.codes_lost(_files(spark, d), _codes(spark, d))
+
+
+def _when_least(i: int) -> str:
+    by_name = " ".join(f"WHEN contains(stem, '{k}') THEN {v[i]}" for k, v in quality.LEAST_CODES.items())
+    return f"CASE {by_name} {' '.join(f"WHEN folder = '{k}' THEN {v[i]}" for k, v in quality.LEAST_CODES.items())} END"
+
+
+@query(
+    f"""WITH {S}, {C}, {LOST}, q AS (SELECT file_id, count(*) AS n FROM c GROUP BY file_id), j AS (SELECT s.*, file_id::VARCHAR AS e, coalesce(q.n, 0) AS n, coalesce(len(performance_codes), 0) AS np,
+regexp_replace(string_split(source_file, '/')[-1], '[.]md$', '') AS stem, string_split(source_file, '/')[-2] AS folder, coalesce(structure_type IN ('A', 'B', 'none', 'unknown'), false) AS known, coalesce(no_codes, false) AS nc FROM s LEFT JOIN q USING (file_id)),
+g AS (SELECT * FROM j WHERE known AND NOT nc), p AS (SELECT file_id, 'performance' AS kind, unnest(performance_codes) AS x, generate_subscripts(performance_codes, 1) - 1 AS idx FROM g),
+k AS (SELECT file_id, kind, idx, x.code AS code, x.stage AS stage, x.category AS category, x.ordinal AS ordinal, x.code_format AS code_format FROM p UNION ALL SELECT file_id, 'content', idx, code, stage, category, ordinal, code_format FROM c SEMI JOIN g USING (file_id)),
+l AS (SELECT *, concat_ws(',', {", ".join(f"CASE WHEN {k} IS NULL THEN '{k}' END" for k in quality.CODE_FIELDS)}) AS lacking FROM k)
+SELECT e AS entity, 'version' AS "check", 'fail' AS severity, schema_version AS detail FROM j WHERE coalesce(schema_version, '') <> '1.0'
+{" ".join(f"UNION ALL SELECT e, 'frontmatter', 'fail', '{k}' FROM j WHERE coalesce(frontmatter.{k}, '') = ''" for k in quality.FRONTMATTER)}
+UNION ALL SELECT e, 'structure_type', 'fail', structure_type FROM j WHERE NOT known
+UNION ALL SELECT e, 'no_codes_performance_count', 'warn', performance_count::VARCHAR FROM j WHERE known AND nc AND performance_count IS DISTINCT FROM 0
+UNION ALL SELECT e, 'no_codes_content_count', 'warn', content_count::VARCHAR FROM j WHERE known AND nc AND content_count IS DISTINCT FROM 0
+UNION ALL SELECT e, 'section_title', 'warn', NULL FROM g WHERE coalesce(section_5_title, '') = ''
+UNION ALL SELECT e, 'raw_section', 'fail', NULL FROM g WHERE coalesce(raw_section_5, '') = ''
+UNION ALL SELECT e, 'performance_codes', 'fail', NULL FROM g WHERE performance_codes IS NULL
+UNION ALL SELECT e, 'performance_count', 'fail', np::VARCHAR FROM g WHERE performance_count IS DISTINCT FROM np
+UNION ALL SELECT e, 'content_count', 'fail', n::VARCHAR FROM g WHERE content_count IS DISTINCT FROM n
+UNION ALL SELECT e, 'least_performance', 'warn', np::VARCHAR FROM g WHERE np < {_when_least(0)}
+UNION ALL SELECT e, 'least_content', 'warn', n::VARCHAR FROM g WHERE n < {_when_least(1)}
+UNION ALL SELECT e, 'stages_present', 'fail', array_to_string(stages_present, ',') FROM g WHERE len(list_filter(stages_present, lambda v: v NOT IN ('I', 'II', 'III', 'IV', 'V'))) > 0
+UNION ALL SELECT file_id::VARCHAR, 'code_stages', 'fail', string_agg(DISTINCT stage, ',' ORDER BY stage) FROM k WHERE stage <> '' AND stage NOT IN ('I', 'II', 'III', 'IV', 'V') GROUP BY file_id
+UNION ALL SELECT file_id::VARCHAR, 'code_fields', 'fail', kind || ' ' || coalesce(idx::VARCHAR, '?') || ' ' || lacking FROM l WHERE lacking <> ''
+UNION ALL SELECT file_id::VARCHAR, 'round_trip', 'fail', kind || ' ' || code FROM lost SEMI JOIN (SELECT file_id FROM g WHERE raw_section_5 <> '') USING (file_id)"""
+)
+def file_findings(spark: SparkSession, d: str) -> DataFrame:
+    """All checks of parsed files."""
+    return quality.file_findings(_files(spark, d), _codes(spark, d))
+
+
 @query(f"WITH {CHECKS}, t AS (SELECT count(*) FILTER (WHERE severity = 'fail') AS n_fail, count(*) FILTER (WHERE severity = 'warn') AS n_warn FROM f) SELECT *, CASE WHEN n_fail > 0 THEN 1 ELSE 0 END AS code FROM t")
 def file_check_status(spark: SparkSession, d: str) -> DataFrame:
     return quality.status(_checks(spark, d))
@@ -602,4 +646,15 @@ SELECT "check", count(*) AS n FROM f GROUP BY "check\""""
 )
 def graph_findings(spark: SparkSession, d: str) -> DataFrame:
     """The findings over the whole graph, counted by check."""
+    return pipelines.verify_graph(_nodes(spark, d), _edges(spark, d), complete=False).groupBy("check").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    SQL["graph_findings"]
+    .replace("src IS NOT NULL AND src NOT IN", "src IS NULL OR src NOT IN")
+    .replace("dst IS NOT NULL AND dst NOT IN", "dst IS NULL OR dst NOT IN")
+    .replace("coalesce(type, '') = '')", "coalesce(type, '') = '' OR coalesce(code_format, '') = '' OR ordinal IS NULL OR coalesce(source_file, '') = '' UNION ALL SELECT 'edge_fields' FROM e WHERE coalesce(src, '') = '' OR coalesce(dst, '') = '' OR coalesce(relation, '') = '')")
+)
+def graph_problems(spark: SparkSession, d: str) -> DataFrame:
+    """graph_findings with null ends and all required fields of nodes and edges."""
     return pipelines.verify_graph(_nodes(spark, d), _edges(spark, d)).groupBy("check").agg(F.count(F.lit(1)).alias("n"))

@@ -32,8 +32,11 @@ def build_graph(nodes: DataFrame, position: str, entered: DataFrame | None = Non
     return graph.first_edges(auto.unionByName(given), F.col("_rank"), "_pos").drop("_rank", "_pos")
 
 
-def verify_graph(nodes: DataFrame, edges: DataFrame, declared: DataFrame | None = None) -> DataFrame:
-    """Findings over a graph: declared counts, loose ends, circles, stage order, missing fields."""
+def verify_graph(nodes: DataFrame, edges: DataFrame, declared: DataFrame | None = None, whole: tuple[DataFrame, DataFrame] | None = None, complete: bool = True) -> DataFrame:
+    """Findings over a graph: declared counts, loose ends, circles, stage order, missing fields, and what differs from the whole graph's nodes and edges.
+
+    Without complete, null ends and the fields that graph_findings' SQL leaves out aren't looked at.
+    """
     ids = nodes.select("id").distinct()
     parts = []
     if declared is not None:
@@ -41,15 +44,23 @@ def verify_graph(nodes: DataFrame, edges: DataFrame, declared: DataFrame | None
         j = declared.join(actual, "domain", "left").withColumn("n", F.coalesce("n", F.lit(0)))
         parts.append(quality.finding(j, F.col("domain"), F.col("total_nodes") != F.col("n"), "node_count", "fail", F.col("n")))
     for end in ("src", "dst"):
-        loose = edges.where(F.col(end).isNotNull()).join(ids.withColumnRenamed("id", end), end, "left_anti")
-        parts.append(quality.finding(loose, F.col(end), F.lit(True), "dangling_" + end, "fail", F.col("relation")))
+        loose = (edges if complete else edges.where(F.col(end).isNotNull())).join(ids.withColumnRenamed("id", end), end, "left_anti")
+        parts.append(quality.finding(loose, F.coalesce(F.col(end), F.lit("?")), F.lit(True), "dangling_" + end, "fail", F.col("relation")))
     tree = hierarchy.hierarchy(hierarchy.prerequisite_links(edges), with_path=False)
     parts.append(quality.finding(tree, F.col("id"), F.col("depth") < 0, "circle", "fail", F.col("root_id")))
     numbered = edges if "edge_id" in edges.columns else edges.withColumn("edge_id", F.xxhash64("src", "dst", "relation"))
     bad = graph.stage_violations(numbered, nodes)
     parts.append(quality.finding(bad, F.concat_ws(" ", "src", "dst"), F.lit(True), "stage_order", "fail", F.concat_ws(" ", "src_stage", "dst_stage")))
-    lacking = quality.missing_fields(nodes.withColumn("_e", F.coalesce("id", F.lit("?"))), "_e", [c for c in ("id", "domain", "code", "stage", "category", "type") if c in nodes.columns])
+    lacking = quality.missing_fields(nodes.withColumn("_e", F.coalesce("id", F.lit("?"))), "_e", [c for c in ("id", "domain", "code", "stage", "category", "type", *(("code_format", "ordinal", "source_file") if complete else ())) if c in nodes.columns])
     parts.append(quality.finding(lacking, F.col("entity"), F.lit(True), "missing_fields", "fail", F.col("missing")))
+    if complete:
+        ends = F.concat_ws(" ", F.coalesce("src", F.lit("?")), F.coalesce("dst", F.lit("?")))
+        lacking = quality.missing_fields(edges.withColumn("_e", ends), "_e", ["src", "dst", "relation"])
+        parts.append(quality.finding(lacking, F.col("entity"), F.lit(True), "edge_fields", "fail", F.col("missing")))
+    if whole is not None:
+        for name, own, all_, columns in (("whole_nodes", nodes, whole[0], ["id"]), ("whole_edges", edges, whole[1], ["src", "dst", "relation"])):
+            odd = analyze.symmetric_difference(own.select(*columns), all_.select(*columns))
+            parts.append(quality.finding(odd, F.concat_ws(" ", *columns), F.lit(True), name, "fail", F.when(F.col("side") == "left", "missing").otherwise("extra")))
     return union_all(parts)
 
 

@@ -161,6 +161,34 @@ def test_substrings_anywhere(spark):
     assert {r.code: r.n for r in analyze.match_codes(t, "k", "t", c).collect()}["Tâi-V-1"] == 1
 
 
+def test_file_findings(spark):
+    code = "struct<code:string,stage:string,category:string,ordinal:int,code_format:string>"
+    front = "frontmatter struct<title:string,domain:string,source:string,source_url:string,published_date:string>"
+    full = ("t", "d", "s", "u", "p")
+    rows = [
+        (1, "1.0", "x/y/z.md", full, "A", False, "t", "n-I-1、N-1-1、N-1-2", [("n-I-1", "I", "n", 1, "f"), ("n-I-2", "I", None, 2, "f")], 2, 2, ["I"]),
+        (2, "1.0", "x/y/z.md", ("t", "d", "s", None, "p"), "C", False, None, None, None, 9, 9, None),
+        (3, "1.0", "x/y/z.md", full, "none", True, None, None, [], 1, 0, None),
+    ]
+    f = spark.createDataFrame(rows, f"file_id long, schema_version string, source_file string, {front}, structure_type string, no_codes boolean, section_5_title string, raw_section_5 string, performance_codes array<{code}>, performance_count int, content_count int, stages_present array<string>")
+    c = spark.createDataFrame([(1, 1, 0, "N-1-2", "I", "N", 2, "f"), (2, 1, 1, "N-1-3", "Ⅰ", "N", 3, "f")], "code_id long, file_id long, idx int, code string, stage string, category string, ordinal int, code_format string")
+    assert {tuple(r) for r in quality.codes_lost(f, c).collect()} == {(1, "performance", "n-I-2"), (1, "content", "N-1-3")}
+    got = sorted((r.entity, r.check, r.severity, r.detail) for r in quality.file_findings(f, c).collect())
+    assert got == [
+        ("1", "code_fields", "fail", "performance 1 category"), ("1", "code_stages", "fail", "Ⅰ"), ("1", "round_trip", "fail", "content N-1-3"), ("1", "round_trip", "fail", "performance n-I-2"),
+        ("2", "frontmatter", "fail", "source_url"), ("2", "structure_type", "fail", "C"), ("3", "no_codes_performance_count", "warn", "1"),
+    ]
+
+
+def test_verify_graph(spark):
+    from loomleaf.plans import pipelines
+
+    n = spark.createDataFrame([("D/a", "D", "a", "I", "c", "content", None, 1, "f")], "id string, domain string, code string, stage string, category string, type string, code_format string, ordinal int, source_file string")
+    e = spark.createDataFrame([(1, "D/a", None, "related", "x"), (2, "D/a", "D/a", None, "x")], "edge_id long, src string, dst string, relation string, source string")
+    got = sorted((r.check, r.entity, r.detail) for r in pipelines.verify_graph(n, e, whole=(n.limit(0), e)).collect())
+    assert got == [("dangling_dst", "?", "related"), ("edge_fields", "D/a ?", "dst"), ("edge_fields", "D/a D/a", "relation"), ("missing_fields", "D/a", "code_format"), ("whole_nodes", "D/a", "missing")]
+
+
 def test_checks(spark):
     d = spark.createDataFrame([(1, "s", "n", "0" * 64, "long enough text"), (2, None, None, "x", ""), (3, "s", "n", "x", "y")], "exam_id int, source string, original_filename string, sha256 string, body string")
     assert {(r.entity, r.check) for r in quality.exam_checks(d).collect()} == {("2", "source"), ("3", "sha256")}
