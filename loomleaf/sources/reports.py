@@ -1,4 +1,4 @@
-"""Reports as markdown text columns, built from aggregates: a row per report, never a text of unbounded rows."""
+"""Reports as markdown text columns, built from aggregates: a row per report, with a line for each row of the aggregate."""
 
 from __future__ import annotations
 
@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def lines(df: DataFrame, by: list[str], line: Column, order: Column, name: str, most: int = 1_000) -> DataFrame:
-    """by, name: the first `most` lines of each group in their order, one under the other."""
+def lines(df: DataFrame, by: list[str], line: Column, order: Column, name: str, most: int | None = None) -> DataFrame:
+    """by, name: the lines of each group in their order, one under the other; all of them, or the first `most`."""
     from loomleaf.operators.analyze import top
 
-    t = top(df.select(*by, line.alias("_line"), order.alias("_order")), most, [F.col("_order"), F.col("_line")], by)
-    return t.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "_line"))), lambda x: x["_line"]), "\n").alias(name))
+    t = df.select(*by, line.alias("_line"), order.alias("_order"))
+    if most is not None:
+        t = top(t, most, [F.col("_order"), F.col("_line")], by)
+    return t.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_order", "_line"))), lambda x: x["_line"]), "\n").alias(name))
 
 
 def graph_report(summary: DataFrame, categories: DataFrame) -> DataFrame:
@@ -42,9 +44,15 @@ def schema_text(schema: StructType) -> str:
     return schema.json()
 
 
+#: Failures in one part of the document, about.
+FAILURES = 1_000
+
+
 def failure_document(failures: DataFrame, total: DataFrame) -> DataFrame:
-    """One row: total, success, fail_count and the first thousand failures, as a log holds them."""
+    """total, success, fail_count, part, fail: all failures (path, reason), in parts of about FAILURES of them by hash, each with the totals; one empty part without any."""
     f = failures.agg(F.count(F.lit(1)).alias("fail_count"))
-    first = failures.orderBy("path").limit(1_000).agg(F.array_sort(F.collect_list(F.struct("path", "reason"))).alias("fail"))
-    n = total.agg(F.count(F.lit(1)).alias("total"))
-    return n.join(F.broadcast(f)).join(F.broadcast(first)).select("total", (F.col("total") - F.col("fail_count")).alias("success"), "fail_count", "fail")
+    n = total.agg(F.count(F.lit(1)).alias("total")).join(F.broadcast(f)).withColumn("parts", F.greatest(F.ceil(F.col("fail_count") / FAILURES), F.lit(1)))
+    own = failures.join(F.broadcast(n.select("parts"))).select(F.pmod(F.xxhash64("path", "reason"), F.col("parts")).alias("part"), "path", "reason")
+    own = own.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("path", "reason"))).alias("fail"))
+    every = n.select("total", (F.col("total") - F.col("fail_count")).alias("success"), "fail_count", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    return every.join(own, "part", "left").select("total", "success", "fail_count", "part", F.coalesce("fail", F.array().cast("array<struct<path:string,reason:string>>")).alias("fail"))

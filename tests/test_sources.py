@@ -112,3 +112,19 @@ def test_pipelines(spark, tmp_path):
     exams = spark.createDataFrame([(1, "高中", "x", "國文", "109", "f" * 64, "body"), (2, None, None, None, None, None, None)], "exam_id int, stage string, grade_label string, subject string, year_roc string, sha256 string, body string").withColumns({"semester": F.lit(None).cast("string"), "test_type": F.lit("期中考")})
     docs = {r.exam_id: r for r in pipelines.exam_documents(exams).collect()}
     assert docs[1].path == "高中/x/國文/109-期中考-ffffffff.md" and "subject: 國文" in docs[1].text and docs[2].path.startswith("未分/未分/未分/")
+
+
+def test_whole_reports(spark):
+    from loomleaf.sources import reports
+
+    n = 2_500
+    failures = spark.range(n).selectExpr("concat('p', id) AS path", "'r' AS reason")
+    rows = reports.failure_document(failures, spark.range(3_000)).collect()
+    assert sorted(x.path for r in rows for x in r.fail) == sorted(f"p{i}" for i in range(n))
+    assert {(r.total, r.success, r.fail_count) for r in rows} == {(3_000, 500, n)} and [r.part for r in sorted(rows, key=lambda r: r.part)] == [0, 1, 2]
+    none = reports.failure_document(failures.limit(0), spark.range(2)).collect()
+    assert [(r.total, r.success, r.fail_count, r.part, r.fail) for r in none] == [(2, 2, 0, 0, [])]
+    counts = spark.range(n).selectExpr("'d' AS dimension", "concat('v', id) AS value", "id AS n")
+    assert reports.index_report(counts).first().report.split("\n") == ["## d", ""] + [f"* v{i}: {i}" for i in reversed(range(n))]
+    outline = spark.range(n).selectExpr("'d' AS domain", "'I' AS stage", "cast(id as string) AS category", "1 AS n")
+    assert reports.outline_report(outline).first().report.count("\n") == n + 1
