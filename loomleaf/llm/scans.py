@@ -10,11 +10,17 @@ lines that keep standing at page breaks over many files.
 
 from __future__ import annotations
 
+import os
 import re
+import sqlite3
+import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -303,14 +309,37 @@ def links(counts: DataFrame) -> DataFrame:
     return chars.unionByName(pure).unionByName(whole).unionByName(linked.select(F.lit("w").alias("kind"), "wrong", "right"))
 
 
+class Rules:
+    """The rules of one kind in a file, looked up one by one like those in a dict."""
+
+    def __init__(self, con: sqlite3.Connection, kind: str):
+        self.get = lru_cache(100_000)(lambda wrong: next((r for (r,) in con.execute("SELECT right FROM rules WHERE kind = ? AND wrong = ?", (kind, wrong))), None))
+
+
+def rules_of(table: DataFrame) -> list | str:
+    """The table's rows for a Mender, or beyond BLOCK of them the name of a file that each task gets: every text meets all rules at any size."""
+    rows = table.limit(BLOCK + 1).collect()
+    if len(rows) <= BLOCK:
+        return rows
+    name = f"rules-{uuid.uuid4().hex}.sqlite"
+    path = os.path.join(tempfile.mkdtemp(prefix="loomleaf-"), name)
+    con = sqlite3.connect(path)
+    con.execute("CREATE TABLE rules (kind TEXT, wrong TEXT, right TEXT, PRIMARY KEY (kind, wrong)) WITHOUT ROWID")
+    con.executemany("INSERT OR REPLACE INTO rules VALUES (?, ?, ?)", ((r["kind"], r["wrong"], r["right"]) for r in table.select("kind", "wrong", "right").toLocalIterator()))
+    con.commit()
+    con.close()
+    table.sparkSession.sparkContext.addFile(path)
+    return name
+
+
 class Mender:
-    def __init__(self, rows: list):
-        self.chars = {r.wrong: r.right for r in rows if r.kind == "t"}
-        self.pure = {r.wrong: r.right for r in rows if r.kind == "p"}
-        self.left = {r.wrong: r.right for r in rows if r.kind == "l"}
-        self.right = {r.wrong: r.right for r in rows if r.kind == "r"}
-        self.compounds = {r.wrong: r.right for r in rows if r.kind == "h"}
-        self.words = {r.wrong: r.right for r in rows if r.kind == "w"}
+    def __init__(self, rows: list | str):
+        if isinstance(rows, str):
+            con = sqlite3.connect(f"file:{SparkFiles.get(rows)}?mode=ro&immutable=1", uri=True)
+            of = lambda kind: Rules(con, kind)
+        else:
+            of = lambda kind: {r["wrong"]: r["right"] for r in rows if r["kind"] == kind}
+        self.chars, self.pure, self.left, self.right, self.compounds, self.words = (of(kind) for kind in "tplrhw")
 
     def edits(self, text: str) -> dict[int, tuple[int, str]]:
         """place: (length, what belongs there)"""
@@ -388,29 +417,24 @@ def scan_noise(docs: DataFrame, key: str = "file_id", domain: str = "domain", te
     corpus of a few files shows only what it repeats: page numbers, cut and pulled-apart words.
     """
     clean, table = _prepared(docs, key, domain, text)
-    parts = []
-    for block in in_blocks(table, "wrong"):
-        rows = [r for r in block]
+    rows = rules_of(table)
 
-        def run(it: Iterator[pd.DataFrame], rows: list = rows) -> Iterator[pd.DataFrame]:
-            mender = Mender(rows)
-            for pdf in it:
-                found = [(k, n, kind) for k, raw, gone in zip(pdf["key"], pdf["raw"], pdf["gone"]) for n, kind in sorted(_findings(raw, list(gone), mender))]
-                yield pd.DataFrame(found, columns=[key, "line_no", "kind"])
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mender = Mender(rows)
+        for pdf in it:
+            found = [(k, n, kind) for k, raw, gone in zip(pdf["key"], pdf["raw"], pdf["gone"]) for n, kind in sorted(_findings(raw, list(gone), mender))]
+            yield pd.DataFrame(found, columns=[key, "line_no", "kind"])
 
-        parts.append(clean.mapInPandas(run, f"`{key}` long, line_no int, kind string"))
-    return union_all(parts).distinct()
+    return clean.mapInPandas(run, f"`{key}` long, line_no int, kind string").distinct()
 
 
 def repaired_text(docs: DataFrame, key: str = "file_id", domain: str = "domain", text: str = "raw_section_5") -> DataFrame:
     """key, text: each text as continuous paragraphs with a blank line between them.
 
-    Rows with a null or empty text are left out. The table of misreadings must fit one block.
+    Rows with a null or empty text are left out.
     """
     clean, table = _prepared(docs, key, domain, text)
-    rows = table.limit(BLOCK + 1).collect()
-    if len(rows) > BLOCK:
-        raise ValueError("too many misreadings for one pass; raise BLOCK")
+    rows = rules_of(table)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mender = Mender(rows)

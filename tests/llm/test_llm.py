@@ -85,6 +85,16 @@ def test_scans(spark):
     assert scans.scan_noise(d.limit(0)).count() == 0
 
 
+def test_rules_in_a_file(spark, monkeypatch):
+    bad = f"伍、學習重點\n{PLAIN.replace('記憶', '記億')}\nguidance for lcarners in the cla5sroom"
+    d = scanned(spark, [(100, "數學", bad)])
+    both = []
+    for block in (scans.BLOCK, 2):
+        monkeypatch.setattr(scans, "BLOCK", block)
+        both.append(({tuple(r) for r in scans.scan_noise(d).collect()}, {tuple(r) for r in scans.repaired_text(d).collect()}))
+    assert both[0] == both[1] and "learners" in dict(both[1][1])[100]
+
+
 @pytest.mark.parametrize("line, page", [("12", True), ("第 3 頁", True), ("— 4 —", True), ("[5]", True), ("．l2．", True), ("27 / 64", True), ("年級  1  2", False), ("n-1-2", False), ("", False), ("Ⅳ", False), ("o", False)])
 def test_page_numbers(line, page):
     assert scans.is_page(line) == page
