@@ -161,6 +161,15 @@ def story(r):
     return "".join(r.choice(["擺渡人把木雕狐狸交給小柚，", "只收了{}枚銅鈴當押金，", "霧最濃的早晨他走完石笛島，", "琥珀鈕扣排成{}列，", "據說書人說墨川每隔{}年，", "她把舊羅盤掛回微涼的牆上，"]).format(r.randint(2, 99)) for _ in range(8)) + "".join(chr(r.randint(0x4E00, 0x7000)) for _ in range(30))
 
 
+def test_leak_of_two_fifths(spark):
+    r = random.Random(8)
+    items = [(i, "".join(chr(r.randint(0x4E00, 0x7000)) for _ in range(100))) for i in range(3)] + [(3, "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100)))]
+    filler = "老師請大家先安靜讀一遍，再和同組的人說說想法。"
+    docs = [(i, filler + t[20:62] + filler) for i, t in items] + [(10 + i, filler + t[20:55] + filler) for i, t in items]
+    got = leakage.leaked_items(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(x.doc_id, x.item_id) for x in got.collect()} == {(i, i) for i in range(4)}
+
+
 def test_leaks(spark):
     r = random.Random(5)
     items = [(i, story(r), f"q{i}") for i in range(20)]
