@@ -1,23 +1,36 @@
-"""Variants of Chinese characters and plain forms of text for comparison."""
+"""Variants of Chinese characters and plain forms of text for comparison.
+
+The table of simplified characters is not kept here: Spark brings the International Components
+for Unicode, whose public Traditional-Simplified transform tells every variant.
+"""
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
-# Simplified forms, each before the traditional character it stands for.
-SIMPLIFIED = (
-    "个個 们們 来來 时時 说說 国國 学學 会會 过過 里裡 后後 发發 还還 从從 点點 门門 问問 间間 见見 长長 开開 关關 车車 东東 书書 两兩 给給 与與 无無 着著 "
-    "别別 为為 气氣 电電 话話 觉覺 听聽 写寫 画畫 钱錢 银銀 铁鐵 铜銅 镇鎮 桥橋 灯燈 纸紙 线線 红紅 绿綠 级級 经經 结結 体體 头頭 实實 对對 当當 应應 "
-    "动動 务務 单單 变變 叶葉 园園 围圍 图圖 场場 声聲 备備 夹夾 宽寬 岛島 带帶 师師 张張 总總 报報 挂掛 换換 据據 数數 旧舊 晓曉 术術 机機 条條 样樣 "
-    "树樹 没沒 泽澤 湾灣 湿濕 满滿 热熱 爱愛 现現 盘盤 离離 种種 称稱 笔筆 签籤 篮籃 网網 罗羅 艺藝 节節 蓝藍 虽雖 蜡蠟 补補 装裝 观觀 规規 认認 讲講 "
-    "记記 许許 设設 证證 识識 词詞 试試 请請 读讀 课課 调調 谁誰 谈談 谢謝 贝貝 负負 质質 费費 赔賠 轮輪 轻輕 边邊 达達 运運 进進 远遠 连連 选選 遗遺 "
-    "邮郵 钟鐘 钮鈕 铃鈴 错錯 闻聞 阳陽 难難 雾霧 静靜 页頁 项項 题題 风風 飘飄 马馬 鱼魚 鲸鯨 鸟鳥 综綜 语語 资資 讯訊 闽閩 测測 验驗 习習 拟擬 评評 军軍 训訓 历歷"
-)
-TRADITIONAL = {w[0]: w[1] for w in SIMPLIFIED.split()}
-_TABLE = str.maketrans(TRADITIONAL)
-
-
-def letters(text: str) -> str:
-    """Letters and digits alone, lower case, compatibility forms and simplified characters folded."""
-    s = unicodedata.normalize("NFKC", text).lower().translate(_TABLE)
+from pyspark.sql import SparkSession
+
+#: The blocks of Chinese characters that the transform is asked about.
+BLOCKS = ((0x3400, 0x4DC0), (0x4E00, 0xA000), (0xF900, 0xFB00))
+
+Fold = dict[int, str]
+
+
+@functools.lru_cache(maxsize=1)
+def _folding() -> tuple[tuple[int, str], ...]:
+    jvm = SparkSession.active()._jvm
+    there = [chr(c) for a, b in BLOCKS for c in range(a, b)]
+    to = jvm.com.ibm.icu.text.Transliterator.getInstance("Traditional-Simplified").transliterate("\n".join(there)).split("\n")
+    return tuple((ord(a), b) for a, b in zip(there, to) if a != b and len(b) == 1)
+
+
+def folding(spark: SparkSession) -> Fold:
+    """For str.translate: every traditional character and its simplified form, so that both written forms compare equal."""
+    return dict(_folding())
+
+
+def letters(text: str, fold: Fold) -> str:
+    """Letters and digits alone, lower case, compatibility forms and variants of characters folded."""
+    s = unicodedata.normalize("NFKC", text).lower().translate(fold)
     return "".join(c for c in s if c.isalnum())

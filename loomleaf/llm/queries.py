@@ -12,7 +12,7 @@ from loomleaf.runtime import table
 
 
 def _mapped(spark: SparkSession, d: str) -> DataFrame:
-    return canonical.map_to_entries(table(spark, d, "exam_records"), "exam_id", ["subject", "test_type"], table(spark, d, "canonical_values"))
+    return canonical.map_to_entries(table(spark, d, "exam_records"), "exam_id", ["subject", "test_type"], table(spark, d, "canonical_values"), ["original_filename"])
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -74,21 +74,24 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _subjects(spark: SparkSession, d: str) -> DataFrame:
-    items = table(spark, d, "eval_items")
-    stories = items.select("text").unionByName(items.select(F.col("question").alias("text")))
-    return subjects.document_subjects(table(spark, d, "documents"), table(spark, d, "area_labels"), stories)
+    return subjects.document_subjects(table(spark, d, "documents"), table(spark, d, "area_labels"))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return _subjects(spark, d).select("doc_id", "area_id")
 
 
+def p9_topics(spark: SparkSession, d: str) -> DataFrame:
+    """The terms that tell each topic best, with the area it was mapped to."""
+    return subjects.topic_terms(table(spark, d, "documents"), table(spark, d, "area_labels"))
+
+
 def p9_composition(spark: SparkSession, d: str) -> DataFrame:
     """How the corpus is made up by area."""
     return subjects.composition(_subjects(spark, d), table(spark, d, "subject_areas"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_repaired, p4_found, p5_found, p5_restored, p7_found, p7_items, p8_documents, p8_shares, p9_found, p9_composition)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_repaired, p4_found, p5_found, p5_restored, p7_found, p7_items, p8_documents, p8_shares, p9_found, p9_topics, p9_composition)}
 
 
 

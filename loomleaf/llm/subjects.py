@@ -1,12 +1,12 @@
 """Subject areas of documents from distributed latent Dirichlet topics.
 
-Topics are fitted by expectation maximisation over the whole corpus: in each pass every task
-adds up how much of each term its documents give to each topic, and the sums are added in a
-tree. A topic starts from the documents that were labelled with its subject (so topic and
-subject belong together, which its top terms bear out); one more topic takes what all documents
-share. From the documents' topic proportions follows how far each term tells a subject, and by
-those terms each sentence gets its subject or none. A document has the subjects of at least
-three of its sentences.
+The model is latent Dirichlet allocation in which a sentence, not a word, has a topic, so that a
+document's topic proportions are the shares of its sentences. It is fitted by expectation
+maximisation over the whole corpus: in each pass every task infers its documents' proportions
+and adds up how much of each term goes to each topic; the sums are added in a tree. Topics start
+from documents that people labelled, one more takes what is of no subject. Fitted topics are
+mapped to subjects by their top terms: those that tell the topic best are looked up among the
+labelled documents. A document has the subjects whose proportion amounts to three sentences.
 """
 
 from __future__ import annotations
@@ -14,31 +14,36 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomleaf.llm.hanzi import TRADITIONAL
+from loomleaf.llm.hanzi import Fold, folding
 from loomleaf.runtime import cut, distinct_by, least_parts
 
-#: Hashed terms, parts in which their tables are summed, passes of fitting, passes of sharpening.
-TERMS, SLICES, FITTING, SHARPENING = 1 << 18, 16, 4, 3
+#: Hashed terms, parts in which their tables are summed, passes of fitting.
+TERMS, SLICES, FITTING = 1 << 18, 16, 4
 #: Turns in which a document's proportions settle, within a pass.
 INNER = 4
-#: Labelled documents used to start the topics: about so many times the number of areas at most, chosen by hash.
-LABELLED = 20_000
-#: A term tells a subject when this share of its occurrences is the subject's; sentences a subject needs.
-TELLING, SENTENCES = 0.55, 3
+#: Labels used to start the topics and to name them, chosen by hash: at most about so many.
+LABELLED = 200_000
+#: Sentences a subject needs; terms of a topic that are looked up to name it.
+SENTENCES, TOP = 3, 200
+#: Prior share of sentences of no subject, prior weight of each subject in a document.
+NONE, ALPHA = 0.5, 0.1
+#: Occurrences by which a term's share is smoothed, most that one term tells, and the share of a term's occurrences from which it starts a topic.
+SMOOTH, MOST, STARTING = 3.0, 2.5, 0.55
+#: Occurrences of terms handled at a time.
+CHUNK = 400_000
 
 _ENDS = re.compile(r"(?<=[。！？!?])(?![」』”）)])|(?<=[。！？!?][」』”）)])|\n+|(?<=[a-z0-9)]\.)\s+|(?<=[?!])\s+")
 _CLOSED = re.compile(r"[。！？.!?][」』”）)]*$")
 _CJK = re.compile("[一-鿿]+")
 _GAP = re.compile("(?<=[一-鿿]) +(?=[一-鿿])")
 _WORDS = re.compile("[a-z]+")
-_FOLD = str.maketrans(TRADITIONAL)
 
 
 def sentences(text: str) -> list[str]:
@@ -46,9 +51,9 @@ def sentences(text: str) -> list[str]:
     return [s.strip() for s in _ENDS.split(text) if s and _CLOSED.search(s.strip())]
 
 
-def terms(sentence: str) -> set[str]:
+def terms(sentence: str, fold: Fold) -> set[str]:
     """Pairs of characters of scripts without spaces; words and pairs of words of others."""
-    s = _GAP.sub("", sentence.lower().translate(_FOLD))
+    s = _GAP.sub("", sentence.lower().translate(fold))
     out = {run[i : i + 2] for run in _CJK.findall(s) for i in range(len(run) - 1)}
     words = _WORDS.findall(s)
     out |= {w for w in words if len(w) > 2}
@@ -63,8 +68,8 @@ def slots(term: str) -> tuple[int, int]:
     return int.from_bytes(d[:4], "little") % half, half + int.from_bytes(d[4:], "little") % half
 
 
-def hashed(sentence: str) -> list[tuple[int, int]]:
-    return sorted({slots(t) for t in terms(sentence)})
+def hashed(sentence: str, fold: Fold) -> list[tuple[int, int]]:
+    return sorted({slots(t) for t in terms(sentence, fold)})
 
 
 class Rows:
@@ -81,14 +86,15 @@ class Rows:
         return self.rows[np.where(self.at[p] == numbers, p, len(self.at))]
 
 
-def chunks(pdf: pd.DataFrame, docs: int = 400) -> Iterator[pd.DataFrame]:
+def chunks(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
     """The rows of a batch in parts small enough for tables of occurrences by topics."""
-    for i in range(0, len(pdf), docs):
-        yield pdf.iloc[i : i + docs].reset_index(drop=True)
+    parts = np.cumsum([len(x) for x in pdf["feats"]]) // (2 * CHUNK)
+    for _, part in pdf.groupby(parts):
+        yield part.reset_index(drop=True)
 
 
 class Batch:
-    """Documents of a batch as arrays: term, sentence and document of each occurrence."""
+    """Documents of a batch as arrays: term, twin and sentence of each occurrence, document of each sentence."""
 
     def __init__(self, pdf: pd.DataFrame):
         sizes = [np.asarray(x, np.int64) for x in pdf["sizes"]]
@@ -97,27 +103,45 @@ class Batch:
         self.term, self.twin = both[0::2], both[1::2]
         size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
         self.sentences = len(size)
+        self.first = np.cumsum(size) - size
         self.sentence = np.repeat(np.arange(len(size)), size)
         self.doc_of = np.repeat(np.arange(self.docs), [len(s) for s in sizes])
-        self.doc = self.doc_of[self.sentence]
 
-    def sums(self, weights: np.ndarray, by: np.ndarray, n: int) -> np.ndarray:
-        return np.stack([np.bincount(by, weights=weights[:, k], minlength=n) for k in range(weights.shape[1])], 1)
-
-
-def _inferred(b: Batch, phi: Rows, alpha: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Topic shares of every occurrence and proportions of every document, for fixed topics."""
-    theta = np.tile(alpha / alpha.sum(), (b.docs, 1))
-    q, known = np.zeros((0, len(alpha))), phi[b.term]
+    def per_doc(self, of_sentences: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.docs, of_sentences.shape[1]), of_sentences.dtype)
+        if self.sentences:
+            starts = np.flatnonzero(np.concatenate([[True], self.doc_of[1:] != self.doc_of[:-1]]))
+            out[self.doc_of[starts]] = np.add.reduceat(of_sentences, starts, axis=0)
+        return out
+
+    def add(self, acc: np.ndarray, of_occurrences: np.ndarray) -> None:
+        """acc[term] and acc[twin] += the rows of of_occurrences."""
+        for where in (self.term, self.twin):
+            if len(where):
+                order = np.argsort(where, kind="stable")
+                t = where[order]
+                starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+                acc[t[starts]] += np.add.reduceat(of_occurrences[order], starts, axis=0)
+
+
+def inferred(b: Batch, told: Rows, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Topic shares of every sentence and, in sentences, of every document, for fixed topics."""
+    if not b.sentences:
+        return np.zeros((0, width)), np.zeros((b.docs, width))
+    one, two = told[b.term], told[b.twin]
+    score = np.add.reduceat(np.where(np.abs(one) < np.abs(two), one, two), b.first, axis=0).astype(np.float64)
+    q, held = score, np.zeros((b.docs, width))
     for _ in range(INNER):
-        q = known * theta[b.doc]
-        q /= q.sum(1, keepdims=True) + 1e-12
-        theta = b.sums(q, b.doc, b.docs) + alpha
-        theta /= theta.sum(1, keepdims=True)
-    return q, theta
+        theta = held[:, 1:] + ALPHA
+        prior = np.concatenate([np.full((b.docs, 1), NONE), (1 - NONE) * theta / np.maximum(theta.sum(1, keepdims=True), 1e-9)], 1)
+        q = score + np.log(prior)[b.doc_of]
+        q = np.exp(q - q.max(1, keepdims=True))
+        q /= q.sum(1, keepdims=True)
+        held = b.per_doc(q)
+    return q, held
 
 
-def _summed(docs: DataFrame, tasks: int, width: int, step) -> np.ndarray:  # noqa: ANN001
+def _summed(docs: DataFrame, tasks: int, width: int, step: Callable[[np.ndarray, Batch, pd.DataFrame], None]) -> np.ndarray:
     """The sum over all batches of step(batch, pdf), a TERMS x width table, added in slices and by groups of tasks."""
     rows = TERMS // SLICES
 
@@ -152,9 +176,11 @@ def _summed(docs: DataFrame, tasks: int, width: int, step) -> np.ndarray:  # noq
 
 
 def _featured(docs: DataFrame, key: str) -> DataFrame:
+    fold = folding(docs.sparkSession)
+
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            found = [[h for h in map(hashed, sentences(t)) if h] for t in pdf["text"]]
+            found = [[h for h in (hashed(s, fold) for s in sentences(t)) if h] for t in pdf["text"]]
             yield pd.DataFrame({"key": pdf["key"], "feats": [[x for s in d for pair in s for x in pair] for d in found], "sizes": [[len(s) for s in d] for d in found]})
 
     src = docs.where(F.col(key).isNotNull() & (F.col("text") != "")).select(F.col(key).cast("bigint").alias("key"), "text")
@@ -162,129 +188,126 @@ def _featured(docs: DataFrame, key: str) -> DataFrame:
 
 
 class Model:
-    """How far each hashed term tells each area, and tells that a sentence is of the excluded kind."""
+    """What each hashed term tells for each topic (log of its share there against its share overall), and the topics' areas."""
+
+    def __init__(self, told: np.ndarray, areas: list[int | None]):
+        self.told, self.areas, self.width = Rows(told), areas, told.shape[1]
+
+
+def telling(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Log of how much likelier a topic is where a term occurs than anywhere; counts of each term by topic, n of all."""
+    usual = (counts.sum(0) + 1e-9) / max(counts.sum(), 1e-9)
+    share = (counts + SMOOTH * usual) / (n[:, None] + SMOOTH)
+    return (np.clip(np.log(share / usual), -MOST, MOST) * (n > 0)[:, None]).astype(np.float32)
 
-    def __init__(self, areas: list[int], telling: np.ndarray, excluded: np.ndarray):
-        self.areas, self.telling, self.excluded = np.array(areas), Rows(telling), Rows(excluded[:, None])
 
-    def assigned(self, b: Batch) -> np.ndarray:
-        """The place of each sentence's area, -1 for none."""
-        k = len(self.areas)
-        if not b.sentences:
-            return np.zeros(0, np.int64)
-        score = b.sums(np.minimum(self.telling[b.term], self.telling[b.twin]), b.sentence, b.sentences) if k else np.zeros((b.sentences, 1))
-        other = np.bincount(b.sentence, weights=np.minimum(self.excluded[b.term], self.excluded[b.twin])[:, 0], minlength=b.sentences)
-        best = score.argmax(1)
-        most = score[np.arange(len(best)), best]
-        return np.where((most > 0) & (most > other), best, -1)
+def named(counts: np.ndarray, told: np.ndarray, labelled: np.ndarray, areas: list[int]) -> list[int | None]:
+    """The area of each topic: that whose labelled documents hold the topic's TOP most telling terms more than their usual share; none for the first topic."""
+    usual = labelled.sum(0) / max(labelled.sum(), 1e-9)
+    out: list[int | None] = [None]
+    for t in range(1, counts.shape[1]):
+        top = np.argsort(-(counts[:, t] * np.maximum(told[:, t], 0)), kind="stable")[:TOP]
+        met = labelled[top].sum(0)
+        lift = met / max(met.sum(), 1e-9) / np.maximum(usual, 1e-9)
+        out.append(areas[int(lift.argmax())] if met.sum() and lift.max() > 1 else None)
+    return out
 
 
-def fit(feats: DataFrame, labels: DataFrame, excluded: list[str]) -> Model:
-    """feats: what _featured gives; labels: key, area_id; excluded: texts of a kind that has no area."""
+def fit(feats: DataFrame, labels: DataFrame) -> Model:
+    """feats: what _featured gives; labels: key, area_id."""
     labels = labels.where("key is not null and area_id is not null").select("key", "area_id").distinct()
-    areas = sorted(r.area_id for r in labels.select("area_id").distinct().collect())
+    n_labels = labels.count()
+    if n_labels > LABELLED:
+        labels = labels.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(1_000_000 * LABELLED / n_labels))
+    marks: dict[int, list[int]] = {}
+    for r in labels.collect():
+        marks.setdefault(r.key, []).append(r.area_id)
+    areas = sorted({a for m in marks.values() for a in m})
     k = len(areas)
+    if not k:
+        return Model(np.zeros((TERMS, 1), np.float32), [None])
     place = {a: i for i, a in enumerate(areas)}
-    n_labels = labels.count()
-    if n_labels > LABELLED * k:
-        labels = labels.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(1_000_000 * LABELLED * k / n_labels))
-    chosen = labels.groupBy("key").agg(F.collect_list("area_id").alias("areas"))
+    tasks = feats.rdd.getNumPartitions()  # of a scan: nothing runs for it
 
-    def seeds(acc: np.ndarray, b: Batch, pdf: pd.DataFrame) -> None:
-        for j, marks in enumerate(pdf["areas"]):
-            for a in marks:
-                np.add.at(acc, (b.term[b.doc == j], place[a]), 1)
+    def counted(acc: np.ndarray, b: Batch, pdf: pd.DataFrame) -> None:
+        by_doc = np.zeros((b.docs, k + 1), np.float32)
+        by_doc[:, 0] = 1
+        for j, key in enumerate(pdf["key"]):
+            for a in marks.get(key, ()):
+                by_doc[j, 1 + place[a]] = 1 / len(marks[key])
+        b.add(acc, by_doc[b.doc_of[b.sentence]])
+
+    first = _summed(feats, tasks, k + 1, counted).astype(np.float64)
+    n, labelled = first[:, 0], first[:, 1:]
+    there = labelled.sum(1)
+    start = telling(labelled, there)
+    start[(labelled + SMOOTH * labelled.sum(0) / max(labelled.sum(), 1e-9)) < STARTING * (there[:, None] + SMOOTH)] = 0
+    start = np.concatenate([np.zeros((TERMS, 1), np.float32), start], 1)
+    told, counts, areas_of = start, first, [None, *areas]
+    for _ in range(FITTING):
 
-    def occurrences(acc: np.ndarray, b: Batch, pdf: pd.DataFrame) -> None:
-        acc[:, 0] += np.bincount(b.term, minlength=TERMS) + np.bincount(b.twin, minlength=TERMS)
+        def expectation(acc: np.ndarray, b: Batch, pdf: pd.DataFrame, told: Rows = Rows(told)) -> None:  # noqa: B008
+            b.add(acc, inferred(b, told, k + 1)[0].astype(np.float32)[b.sentence])
 
-    tasks = feats.rdd.getNumPartitions()  # of a scan: nothing runs for it
-    n = _summed(feats, tasks, 1, occurrences)[:, 0].astype(np.float64)
-    p = (n + 0.01) / (n.sum() + 0.01 * TERMS)
-    first = _summed(feats.join(chosen, "key"), tasks, k, seeds).astype(np.float64) if k else np.zeros((TERMS, 0))
-    phi = np.concatenate([p[:, None], (first + 30 * p[:, None]) / (first.sum(0) + 30)], 1)
-    alpha = np.array([1.0] + [0.1] * k)
-    seen = (n > 0)[:, None]
+        counts = _summed(feats, tasks, k + 1, expectation).astype(np.float64)
+        told = telling(counts, n)
+        areas_of = named(counts, told, labelled, areas)
+    return Model(told, areas_of)
 
-    def of_seen(table: np.ndarray) -> Rows:
-        return Rows(table * seen)
 
-    for _ in range(FITTING):
-
-        def expectation(acc: np.ndarray, b: Batch, pdf: pd.DataFrame, phi: Rows = of_seen(phi)) -> None:
-            q, _ = _inferred(b, phi, alpha)
-            for j in range(k + 1):
-                acc[:, j] += np.bincount(b.term, weights=q[:, j], minlength=TERMS)
-
-        got = _summed(feats, tasks, k + 1, expectation).astype(np.float64)
-        phi = (got + np.array([5.0] + [0.5] * k) * p[:, None]) / (got.sum(0) + np.array([5.0] + [0.5] * k))
-
-    told = np.zeros(TERMS)
-    for t in excluded:
-        for s in sentences(t):
-            told[[x for pair in hashed(s) for x in pair]] += 1
-    odd = np.zeros(TERMS, np.float32)
-    if told.sum():
-        share = told / told.sum()
-        lift = np.log((share + 0.05 * p) / (1.05 * p))
-        odd = np.where((told > 0) & (lift > 1), np.minimum(lift, 2.5), 0).astype(np.float32)
-
-    model = Model(areas, np.zeros((TERMS, k), np.float32), odd)
-    for turn in range(SHARPENING):
-
-        def spread_over(acc: np.ndarray, b: Batch, pdf: pd.DataFrame, turn: int = turn, model: Model = model, phi: Rows = of_seen(phi)) -> None:
-            if turn == 0:
-                theta = _inferred(b, phi, alpha)[1][:, 1:]
-            else:
-                z = model.assigned(b)
-                theta = np.zeros((b.docs, k))
-                np.add.at(theta, (b.doc_of[z >= 0], z[z >= 0]), 1)
-                theta += 0.05
-            theta = theta / theta.sum(1, keepdims=True)
-            for j in range(k):
-                acc[:, j] += np.bincount(b.term, weights=theta[b.doc, j], minlength=TERMS) + np.bincount(b.twin, weights=theta[b.doc, j], minlength=TERMS)
-
-        if not k:
-            break
-        per = _summed(feats, tasks, k, spread_over).astype(np.float64)
-        usual = per.sum(0) / max(per.sum(), 1e-9)
-        share = (per + 3 * usual) / (n[:, None] + 3)
-        telling = np.where(share >= TELLING, np.minimum(np.log(share / np.maximum(usual, 1e-9)), 2.5), 0)
-        model = Model(areas, telling.astype(np.float32), odd)
-    return model
-
-
-def _excluded_texts(excluded: DataFrame | None, most: int = 100_000) -> list[str]:
-    """Texts of the kind that has no area; a bounded sample starts that kind like labels start a topic."""
-    if excluded is None:
-        return []
-    return [r[0] for r in excluded.where(F.col(excluded.columns[0]).isNotNull()).limit(most).collect()]
-
-
-def document_subjects(docs: DataFrame, labels: DataFrame, excluded: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
-    """key, area_id, n_sentences for each document and area to which at least SENTENCES of its sentences belong.
+def document_subjects(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """key, area_id, n_sentences for each document and area whose topic proportion amounts to SENTENCES sentences.
 
     docs has key and text; labels has the key and area_id (human labels of a part of the
-    documents); excluded has one text column. Null and empty texts and documents without
-    sentences give no rows, repeated rows count once. Without labels there are no areas and no rows.
+    documents). n_sentences is the proportion times the number of sentences, rounded. Null and
+    empty texts and documents without sentences give no rows, repeated rows count once.
+    Without labels there are no areas and no rows.
     """
     feats = _featured(docs, key)
-    model = fit(feats, labels.select(F.col(key).cast("bigint").alias("key"), "area_id"), _excluded_texts(excluded))
+    model = fit(feats, labels.select(F.col(key).cast("bigint").alias("key"), "area_id"))
+    areas = sorted({a for a in model.areas if a is not None})
+    place = np.array([[a == b for b in areas] for a in model.areas], np.float64).reshape(len(model.areas), len(areas))
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in (part for whole in it for part in chunks(whole)):
             out = []
-            if len(model.areas):
-                b = Batch(pdf)
-                z = model.assigned(b)
-                n = np.zeros((b.docs, len(model.areas)), np.int64)
-                np.add.at(n, (b.doc_of[z >= 0], z[z >= 0]), 1)
-                for d, a in zip(*np.nonzero(n)):
-                    out.append((int(pdf["key"].iat[d]), int(model.areas[a]), int(n[d, a])))
+            if areas:
+                n = np.rint(inferred(Batch(pdf), model.told, model.width)[1] @ place).astype(np.int64)
+                out = [(int(pdf["key"].iat[d]), int(areas[a]), int(n[d, a])) for d, a in zip(*np.nonzero(n >= SENTENCES))]
             yield pd.DataFrame(out, columns=[key, "area_id", "n_sentences"])
 
-    counted = feats.mapInPandas(run, f"`{key}` long, area_id int, n_sentences long")
-    return counted.where(F.col("n_sentences") >= SENTENCES)
+    return feats.mapInPandas(run, f"`{key}` long, area_id int, n_sentences long")
+
+
+def topic_terms(docs: DataFrame, labels: DataFrame, key: str = "doc_id", most: int = 12) -> DataFrame:
+    """topic, area_id, rank, term, n_docs: each topic's terms that tell it best, for inspection, with the area it was mapped to.
+
+    Topic 0 takes what is of no subject. Terms are counted by documents over the whole corpus.
+    """
+    feats = _featured(docs, key)
+    model = fit(feats, labels.select(F.col(key).cast("bigint").alias("key"), "area_id"))
+    fold = folding(docs.sparkSession)
+    areas = docs.sparkSession.createDataFrame([(t, a) for t, a in enumerate(model.areas)], "topic int, area_id int")
+
+    def met(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            yield pd.DataFrame({"term": [t for text in pdf["text"] for t in {x for s in sentences(text) for x in terms(s, fold)}]}, dtype=object)
+
+    def told(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            both = np.array([slots(t) for t in pdf["term"]], np.int64).reshape(-1, 2)
+            how = np.minimum(model.told[both[:, 0]], model.told[both[:, 1]])
+            for t in range(model.width):
+                yield pd.DataFrame({"topic": t, "term": pdf["term"], "n_docs": pdf["n_docs"], "told": how[:, t].astype(float) * np.log1p(pdf["n_docs"])})
+
+    src = docs.where(F.col(key).isNotNull() & (F.col("text") != "")).select("text")
+    per = src.mapInPandas(met, "term string").groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))
+    per = per.mapInPandas(told, "topic int, term string, n_docs long, told double").where("told > 0")
+    # The best of each part first, so that no task takes in all terms of a topic.
+    part = Window.partitionBy("topic", F.pmod(F.xxhash64("term"), F.lit(64))).orderBy(F.desc("told"), "term")
+    few = per.withColumn("_r", F.row_number().over(part)).where(F.col("_r") <= most)
+    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("told"), "term"))).where(F.col("rank") <= most)
+    return ranked.join(areas, "topic").select("topic", "area_id", "rank", "term", "n_docs")
 
 
 def composition(subjects: DataFrame, areas: DataFrame) -> DataFrame:

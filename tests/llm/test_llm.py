@@ -13,9 +13,12 @@ from loomleaf.llm import canonical, encoding, leakage, mixing, scans, subjects,
 # --- 1 -------------------------------------------------------------------------------------------
 
 
+SLIPS = frozenset({("敷", "數")})
+
+
 def distance(a, b):
     """Weighted edit distance with swaps, by the full table."""
-    alike = canonical._alike()
+    alike = SLIPS
     d = {}
     for i in range(len(a) + 1):
         for j in range(len(b) + 1):
@@ -40,20 +43,24 @@ def distance(a, b):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("abc國文數", min_size=1, max_size=6), min_size=1, max_size=5), st.text("abc國文數敷", min_size=1, max_size=7))
 def test_trie_finds_what_the_table_finds(entries, word):
-    t = canonical.Trie([(e, i) for i, e in enumerate(entries)])
+    t = canonical.Trie([(e, i) for i, e in enumerate(entries)], SLIPS)
     latin = word.isascii()
     want = {i: distance(e, word) for i, e in enumerate(entries) if distance(e, word) <= canonical.limit(max(len(e), len(word)), latin)}
     got = t.search(word)
     assert {i: round(v, 6) for i, v in got.items()} == {i: round(v, 6) for i, v in want.items()}
 
 
+ENTRIES = [("subject", 1, "國文", "Chinese", ["國語", None]), ("subject", 3, "數學", None, None), ("test_type", 1, "期中考", "Midterm", [])]
+ENTRY = "field string, value_id int, canonical string, name_en string, aliases array<string>"
+
+
 def test_mapping(spark):
-    entries = spark.createDataFrame([("subject", 1, "國文", "Chinese", ["國語", None]), ("subject", 3, "數學", None, None), ("test_type", 1, "期中考", "Midterm", [])], "field string, value_id int, canonical string, name_en string, aliases array<string>")
-    rows = [(1, "國文", "期中"), (2, "国文", None), (2, "国文", None), (3, " 國 語\n", ""), (4, "敷學", "  "), (5, "午餐", "模型"), (6, "文國", "mditerm"), (7, "x" * 5000, "高一 期中考"), (8, "??", "　"), (None, "國文x", None)]
+    entries = spark.createDataFrame(ENTRIES, ENTRY)
+    rows = [(1, "國文", "期中"), (2, "国文", None), (2, "国文", None), (3, " 國 語\n", ""), (4, "數數學", "  "), (5, "午餐", "模型"), (6, "文國", "mditerm"), (7, "x" * 5000, "期中考考"), (8, "??", "　"), (None, "國文x", None)]
     d = spark.createDataFrame(rows, "exam_id bigint, subject string, test_type string").withColumn("value", F.lit("clash")).withColumn("value_id", F.lit(1))
     got = canonical.map_to_entries(d, "exam_id", ["subject", "test_type"], entries)
     assert {(r.exam_id, r.field, r.value_id) for r in got.collect()} == {
-        (1, "test_type", 1), (2, "subject", 1), (3, "subject", 1), (4, "subject", 3), (5, "subject", 0), (5, "test_type", 0), (6, "subject", 1), (6, "test_type", 1), (7, "subject", 0), (7, "test_type", 1), (8, "subject", 0),
+        (1, "test_type", 0), (2, "subject", 1), (3, "subject", 1), (4, "subject", 3), (5, "subject", 0), (5, "test_type", 0), (6, "subject", 1), (6, "test_type", 1), (7, "subject", 0), (7, "test_type", 1), (8, "subject", 0),
     }
     assert got.count() == 11
     assert canonical.unmatched_values(got).where("value = '午餐'").first().n_rows == 1
@@ -61,6 +68,38 @@ def test_mapping(spark):
     assert canonical.map_to_entries(d.limit(0), "exam_id", ["subject"], entries).count() == 0
 
 
+def test_all_entries_in_reach(spark):
+    fold = canonical.folding(spark)
+    paths = canonical.spellings(spark.createDataFrame([("f", 1, "abcdef", None, None), ("f", 2, "abcdeg", None, None), ("f", 3, "uvwxyz", None, ["abcdxf"])], ENTRY), fold)
+    got = canonical.entries_in_reach(spark.createDataFrame([("f", "abcdef"), ("g", "abcdef"), ("f", "")], "field string, value string"), paths, fold)
+    assert {(r.value_id, round(r.distance, 2)) for r in got.collect()} == {(1, 0), (2, 1.2), (3, 1.2)}
+
+
+def learning(spark):
+    """Records whose file names tell what a name, a mistaken character and words around a name stand for; one name that tells nothing."""
+    rows = [(f"國綜 {i}", f"{i}_國文_練習.pdf") for i in range(9)] + [("國綜", "a 國文 b")] * 9 + [("敷學", "數學_1.doc")] * 9
+    rows += [("卷甲" + n, "x") for n in ("國文", "數學", "英文")] + [("社團", ("國文", "數學", "英文")[i % 3] + " 1") for i in range(12)] + [("卷甲敷學", "y"), ("卷甲國綜", None)]
+    d = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "exam_id bigint, subject string, original_filename string")
+    return d, spark.createDataFrame([*ENTRIES[:2], ("subject", 2, "英文", None, None)], ENTRY)
+
+
+@pytest.mark.parametrize("block", [canonical.TRIE_PATHS, 1])
+def test_learned_aliases(spark, monkeypatch, block):
+    monkeypatch.setattr(canonical, "TRIE_PATHS", block)
+    d, entries = learning(spark)
+    got = {r.value: r.value_id for r in canonical.map_to_entries(d, "exam_id", ["subject"], entries, ["original_filename"]).collect()}
+    assert got["國綜"] == 1 and got["敷學"] == 3 and got["社團"] == 0 and got["卷甲英文"] == 2 and got["卷甲敷學"] == 3 and got["卷甲國綜"] == 1
+    without = {r.value: r.value_id for r in canonical.map_to_entries(d, "exam_id", ["subject"], entries).collect()}
+    assert without["國綜"] == 0 and without["卷甲英文"] == 2
+
+
+def test_mapping_with_a_hot_value(spark, monkeypatch):
+    monkeypatch.setattr("loomleaf.runtime.HOT_ROWS", 20)
+    d = spark.range(300).selectExpr("id as exam_id", "if(id % 3 = 0, '国文', concat('數', id)) as subject")
+    got = canonical.map_to_entries(d, "exam_id", ["subject"], spark.createDataFrame(ENTRIES, ENTRY))
+    assert got.count() == 300 and got.where("value_id = 1").count() == 100
+
+
 # --- 3 -------------------------------------------------------------------------------------------
 
 PLAIN = "本階段的校園環境以記錄為主，不宜過度強調記憶。"
@@ -186,20 +225,72 @@ def test_leaks(spark):
     d = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("share", F.lit("clash"))
     it = spark.createDataFrame(items + [(99, None, "x"), (98, "", "x")], "item_id bigint, text string, question string")
     got = leakage.leaked_items(d, it)
-    runs = leakage.Runs([leakage.letters(x) for _, x, _ in items])
-    brute = {(k, i) for k, t in docs if t for i, x, _ in items if leakage.held_share(leakage.letters(x), leakage.letters(t)) >= leakage.SHARE and runs.counts(leakage.letters(t)).get(i, 0) >= runs.least[i]}
+    fold = leakage.folding(spark)
+    points = lambda t: np.frombuffer(leakage.letters(t, fold).encode("utf-32-le"), np.uint32)
+    plain = [leakage.letters(x, fold) for _, x, _ in items] + ["x"]
+    wanted = leakage.answers(plain, [leakage.letters(q, fold) for _, _, q in items] + [""])
+    held = {(k, i): leakage.common_stretches(points(x), [points(t)])[0] for k, t in docs if t for i, x, _ in items}
+    text = dict(docs)
+    brute = {(k, i) for (k, i), h in held.items() if h.mean() >= leakage.SHARE and leakage.answered(plain[i], wanted[i], h, leakage.letters(text[k], fold))}
     assert {(x.doc_id, x.item_id) for x in got.collect()} == brute
     assert want <= brute
     assert leakage.leaked_items(d.limit(0), it).count() == 0 and leakage.leaked_items(d, it.limit(0)).count() == 0
 
 
+def weight_by_hand(item, doc):
+    """The largest weight of a common subsequence with penalised gaps, and what all of enough weight span, cell by cell."""
+    best, held = {}, [False] * len(item)
+    least = 2 * min(leakage.LEAST[item.isascii()], leakage.SHARE * len(item))
+    for i, x in enumerate(item):
+        for j, y in enumerate(doc):
+            if x == y:
+                w, start = 0, -i
+                for a in range(1, leakage.GAP + 2):
+                    for b in range(1, leakage.GAP + 2):
+                        if (i - a, j - b) in best:
+                            w, start = max((w, start), (best[i - a, j - b][0] - leakage.PENALTY * (max(a, b) - 1), best[i - a, j - b][1]))
+                best[i, j] = (w + 2, start) if w >= 1 else (2, -i)
+                if best[i, j][0] >= least:
+                    held[-best[i, j][1] : i + 1] = [True] * (i + 1 + best[i, j][1])
+    return held
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("甲乙丙", min_size=1, max_size=24), st.lists(st.text("甲乙丙丁", max_size=24), min_size=1, max_size=4))
+def test_common_stretches_by_hand(item, docs):
+    points = lambda t: np.frombuffer(t.encode("utf-32-le"), np.uint32)
+    got = leakage.common_stretches(points(item), [points(d) for d in docs])
+    assert got.tolist() == [weight_by_hand(item, d) for d in docs]
+
+
+def test_answers():
+    items = ["甲村的老人把銅鈴交給小柚保管", "乙村的老人把銅鈴交給小禾保管", "丙村的老人把銅鈴交給小樵保管"]
+    assert "小柚" in leakage.answers(items, ["", "", ""])[0] and "老人" not in leakage.answers(items, ["", "", ""])[0]
+    held = np.ones(len(items[0]), bool)
+    wanted = leakage.answers(items, ["", "", ""])[0]
+    assert leakage.answered(items[0], wanted, held, "前" + items[0]) and not leakage.answered(items[0], wanted, held, items[1])
+
+
+def test_a_text_of_a_million_letters(spark, monkeypatch):
+    r = random.Random(9)
+    item = "".join(chr(r.randint(0x4E00, 0x7000)) for _ in range(100))
+    d = spark.createDataFrame([(1, "老師請大家安靜。" * 90_000 + item + "下課。" * 90_000)], "doc_id bigint, text string")
+    it = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    assert [x.share for x in leakage.leaked_items(d, it).collect()] == [1.0]
+    short = spark.createDataFrame([(1, "老師請大家安靜。" * 40 + item + "下課。" * 40), (2, "下課")], "doc_id bigint, text string")
+    whole = {tuple(x) for x in leakage.leaked_items(short, it).collect()}
+    monkeypatch.setattr(leakage, "SLICE", 100)
+    monkeypatch.setattr(leakage, "ITEMS", 1)
+    assert {tuple(x) for x in leakage.leaked_items(short, it).collect()} == whole and whole
+
+
 def test_subspace_holds_the_variance(spark):
     r = random.Random(2)
     d = spark.createDataFrame([(story(r),) for _ in range(80)], "text string")
     idf = leakage.document_frequencies(d)
     basis = leakage.subspace(d, idf)
     assert np.allclose(basis.T @ basis, np.eye(leakage.RANK), atol=1e-3)
-    w = leakage.Windows([leakage.letters(x.text) for x in d.collect()])
+    w = leakage.Windows([leakage.letters(x.text, leakage.folding(spark)) for x in d.collect()])
     a = np.zeros((len(w.low), leakage.FEATURES))
     for i, (lo, hi) in enumerate(zip(w.low, w.high)):
         np.add.at(a[i], w.pairs[(w.block == lo) | (w.block == hi)], 1)
@@ -273,6 +364,11 @@ def test_subjects(spark):
     comp = {x.area_id: x for x in subjects.composition(got, areas).collect()}
     assert comp[4].n_docs == 0 and abs(sum(x.share for x in comp.values()) - 1) < 1e-4
     assert subjects.document_subjects(d, lab.limit(0)).count() == 0
+    top = subjects.topic_terms(d, lab).collect()
+    assert {x.area_id for x in top if x.topic == 0} <= {None} and {x.area_id for x in top if x.topic} == {1, 2, 3}
+    fold = subjects.folding(spark)
+    own = {a: {t for w in ws for t in subjects.terms(w, fold)} for a, ws in words.items()}
+    assert all(x.term in own[x.area_id] for x in top if x.topic and x.rank <= 3)
     assert subjects.document_subjects(d.limit(0), lab).count() == 0
 
 
