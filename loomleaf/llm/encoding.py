@@ -5,7 +5,8 @@ another, or resolves escapes; visited texts are hashed. The cost of a text is ho
 its characters are, learned from all texts of the corpus; the search goes on from the cheapest
 text and ends when no cheaper one is in reach. A value is garbled where a much cheaper text is
 reachable, wholly or for one of its words, or where it holds what no writer types: replacement
-characters, C1 controls, private-use characters.
+characters, C1 controls, private-use characters. The search ends by itself: every step must keep
+the cost within ABOVE of the text's own, and no text is visited twice.
 """
 
 from __future__ import annotations
@@ -15,11 +16,14 @@ import heapq
 import html
 import math
 import re
+import sys
 import unicodedata
 import urllib.parse
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +32,8 @@ from loomleaf.runtime import spread
 
 ENCODERS = ("western", "cp437", "mac_roman", "gb18030", "cp950", "big5hkscs", "shift_jis", "cp850", "koi8_r")
 DECODERS = ("utf-8", "cp950", "big5hkscs", "gb18030", "shift_jis")
-#: What a step adds to the cost, by how much the text must get cheaper, how many texts are looked at.
-STEP, GAIN, STATES = 1.5, 6.0, 60
+#: What a step adds to the cost, by how much the text must get cheaper, and by how much a text on the way may be dearer.
+STEP, GAIN, ABOVE = 1.5, 6.0, 10.0
 #: Most that a letter with a mark costs inside a word of plain letters.
 WORD_LETTER = 4.0
 ODD = re.compile("[�\x80-\x9f-\U000f0000-\U0010ffff]")
@@ -104,14 +108,11 @@ def cheapest(text: str, cost: Plausibility) -> tuple[str, float, float]:
     """The cheapest text in reach, its cost with the steps to it, and the cost of the text itself."""
     own = cost(text)
     best, low = text, own
-    heap, visited, looked = [(own, 0, text)], {text}, 0
-    while heap and looked < STATES:
+    heap, visited = [(own, 0, text)], {text}
+    while heap:
         at, steps, t = heapq.heappop(heap)
-        looked += 1
         if at < low:
             best, low = t, at
-        if steps == 4 or at > own + 10:
-            continue
         reached = [unescaped(t)]
         for how in ENCODERS:
             if (raw := encoded(t, how)) is not None:
@@ -124,7 +125,8 @@ def cheapest(text: str, cost: Plausibility) -> tuple[str, float, float]:
         for r in reached:
             if r not in visited and r:
                 visited.add(r)
-                heapq.heappush(heap, (cost(r) + STEP * (steps + 1), steps + 1, r))
+                if (c := cost(r) + STEP * (steps + 1)) <= own + ABOVE:
+                    heapq.heappush(heap, (c, steps + 1, r))
     return best, low, own
 
 
@@ -165,12 +167,23 @@ def _by_runs(word: str, cost: Plausibility) -> str:
 def character_counts(records: DataFrame, columns: list[str]) -> dict[str, int]:
     """How often each character occurs in the columns over all rows.
 
-    Counted where the rows are and combined; what reaches the driver has a row for each
-    different character, so at most as many as Unicode has.
+    Counted in whole Arrow columns where the rows are; what a task sends on, and what reaches
+    the driver, has a row for each different character, so at most as many as Unicode has.
     """
-    text = F.concat_ws("", *[F.col(c) for c in columns])
-    chars = records.select(F.explode(F.split(text, "")).alias("ch")).where("ch <> ''")
-    return {r.ch: r.n for r in chars.groupBy("ch").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(sys.maxunicode + 1, np.int64)
+        for b in it:
+            for column in b.columns:
+                points = np.frombuffer("".join(column.drop_null().to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
+                if len(points):
+                    low = np.bincount(points)
+                    n[: len(low)] += low
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["ch", "n"])
+
+    per = records.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)]).mapInArrow(run, "ch int, n long")
+    return {chr(r.ch): r.n for r in per.groupBy("ch").agg(F.sum("n").alias("n")).collect()}
 
 
 def garbled_values(records: DataFrame, key: str, fields: list[str], context: list[str]) -> DataFrame:

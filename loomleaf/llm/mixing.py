@@ -17,11 +17,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomleaf.runtime import cut, running_total, spread
+from loomleaf.runtime import cut, hot_keys, lookup_join, running_total, spread, union_all
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
-#: Patterns of sources that are handled on the driver; there can be no more than sets of sources that occur together.
-PATTERNS = 100_000
+#: The session's setting that names the tokenizer's file on every machine, and where that is if it isn't set.
+SETTING, TOKENIZER = "spark.loomleaf.tokenizer", "/opt/tokenizers/byte_bpe_50k.json"
+#: Patterns of sources that one flow takes on the driver; more make more flows, each of which meets the shares by itself.
+PATTERNS = 20_000
 
 
 class Flow:
@@ -108,14 +109,21 @@ def largest_total(patterns: dict[tuple[str, ...], int], targets: list[Target]) -
     return low
 
 
-def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """docs (key, source, text) as key, source, text_hash, tokens; a null text has no tokens."""
+def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """docs (key, source, text) as key, source, text_hash, tokens; a null text has no tokens.
+
+    tokenizer is a file of the public tokenizers library; left out, the session's setting
+    SETTING names it.
+    """
+    path = tokenizer or docs.sparkSession.conf.get(SETTING, TOKENIZER)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(tokenizer)
+        if not os.path.isfile(path):
+            raise FileNotFoundError(f"no tokenizer at {path}; name one by {SETTING} or the argument tokenizer")
+        t = Tokenizer.from_file(path)
         t.encode_special_tokens = True
         for pdf in it:
             texts = list(pdf.pop("text"))
@@ -127,7 +135,22 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     return spread(src).mapInPandas(run, "key long, source string, text_hash string, tokens long")
 
 
-def mixed(docs: DataFrame, targets: DataFrame, total: int | None = None, seed: int = 7, key: str = "doc_id", tokenizer: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
+def _stretches(rows: list, wanted: list[Target], size: int | None) -> list[tuple[str, str, int, int]]:
+    """pid, source, lo, hi: which stretch of a pattern's line goes to which source, lap by lap, by one flow over the patterns in rows."""
+    patterns = {tuple(r.pattern): r.tokens for r in rows}
+    ids = {tuple(r.pattern): r.pattern_id for r in rows}
+    _, flows = solved(patterns, wanted, largest_total(patterns, wanted) if size is None else size)
+    # Each pattern's texts lie on a line, over and over again; each source takes a stretch of it.
+    out, used = [], {}
+    for (p, s), n in sorted(flows.items()):
+        a = used.get(p, 0)
+        used[p] = a + n
+        for lap in range(a // patterns[p], -(-(a + n) // patterns[p])):
+            out.append((ids[p], s, max(a - lap * patterns[p], 0), min(a + n - lap * patterns[p], patterns[p])))
+    return out
+
+
+def mixed(docs: DataFrame, targets: DataFrame, total: int | None = None, seed: int = 7, key: str = "doc_id", tokenizer: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The chosen documents (key, source, copies, tokens) and the report by source.
 
     docs has key, source and text; targets has source, target_share and max_repeats. total is
@@ -137,35 +160,35 @@ def mixed(docs: DataFrame, targets: DataFrame, total: int | None = None, seed: i
     used only where another source with a target holds them too; null and empty texts are
     never used. Sources without documents are reported with no tokens. The report has source,
     target_share, reached_share, tokens, n_docs, most_copies, max_repeats.
+
+    A pattern is the set of target sources that hold a text. More patterns than PATTERNS are
+    split by hash into parts with a flow each; all of them are used, the shares hold in each
+    part and so in all, only the number of repeats is the least within each part.
     """
+    spark = docs.sparkSession
     src = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("key"), "source", "text")
     counted = token_counts(src, tokenizer).where("tokens > 0 and source is not null")
     want = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     wanted = [Target(r.source, float(r.target_share or 0), int(r.max_repeats or 0)) for r in want.collect()]
-    texts = counted.groupBy("text_hash").agg(F.min("key").alias("key"), F.max("tokens").alias("tokens"), F.array_sort(F.collect_set("source")).alias("pattern"))
+    texts = counted.groupBy("text_hash").agg(F.min("key").alias("key"), F.max("tokens").alias("tokens"), F.collect_set("source").alias("sources"))
+    known = F.array(*[F.lit(t.source) for t in wanted]).cast("array<string>")
+    texts = texts.withColumn("pattern", F.array_sort(F.array_intersect("sources", known))).where(F.size("pattern") > 0)
     texts = cut(texts.select("key", "tokens", F.to_json("pattern").alias("pattern_id"), "pattern"))
-    rows = texts.groupBy("pattern_id").agg(F.first("pattern").alias("pattern"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")).limit(PATTERNS + 1).collect()
-    if len(rows) > PATTERNS:
-        raise ValueError("more patterns of sources than PATTERNS")
-    patterns = {tuple(r.pattern): r.tokens for r in rows}
-    ids = {tuple(r.pattern): r.pattern_id for r in rows}
-    size = largest_total(patterns, wanted) if total is None else total
-    _, flows = solved(patterns, wanted, size)
-
-    # Each pattern's texts lie on a line, over and over again; each source takes a stretch of it.
-    stretches, used = [], {}
-    for (p, s), n in sorted(flows.items()):
-        a = used.get(p, 0)
-        used[p] = a + n
-        for lap in range(a // patterns[p], -(-(a + n) // patterns[p])):
-            lo, hi = max(a - lap * patterns[p], 0), min(a + n - lap * patterns[p], patterns[p])
-            stretches.append((ids[p], s, lo, hi))
-    spark = docs.sparkSession
-    plan = spark.createDataFrame(stretches, "pid string, source string, lo long, hi long")
-    line = running_total(texts.withColumn("at", F.xxhash64(F.lit(seed), "key")), "pattern_id", "at", "tokens", "start", sum(r.n for r in rows))
-    # plan has a row for each pattern, source and lap, bounded by PATTERNS and the caps on repeats.
-    chosen = line.join(F.broadcast(plan), (F.col("pattern_id") == F.col("pid")) & (F.col("start") >= F.col("lo")) & (F.col("start") < F.col("hi")))
-    chosen = chosen.groupBy("key", "source").agg(F.count(F.lit(1)).alias("copies"), F.max("tokens").alias("tokens")).withColumnRenamed("key", key)
+    patterns = cut(texts.groupBy("pattern_id").agg(F.first("pattern").alias("pattern"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")))
+    met = patterns.agg(F.count(F.lit(1)).alias("patterns"), F.sum("n").alias("texts"), F.sum("tokens").alias("tokens")).first()
+    parts, plans = max(1, -(-met.patterns // PATTERNS)), []
+    for b in range(parts):
+        rows = patterns.where(F.pmod(F.xxhash64("pattern_id"), F.lit(parts)) == b).collect()
+        share = sum(r.tokens for r in rows) / max(met.tokens or 0, 1)
+        plan = spark.createDataFrame(_stretches(rows, wanted, None if total is None else int(total * share)), "pid string, source string, lo long, hi long")
+        plans.append(plan if parts == 1 else cut(plan))
+    # At most as many stretches for a pattern as there are sources and repeats.
+    plan = union_all(plans).groupBy("pid").agg(F.collect_list(F.struct("source", "lo", "hi")).alias("stretches"))
+    line = running_total(texts.withColumn("at", F.xxhash64(F.lit(seed), "key")), "pattern_id", "at", "tokens", "start", met.texts or 0)
+    line = lookup_join(line, plan, ("pattern_id", "pid"), hot_keys(patterns, "pattern_id", "n", met.texts or 0), spread="key", how="inner")
+    taken = F.filter("stretches", lambda x: (F.col("start") >= x["lo"]) & (F.col("start") < x["hi"]))
+    chosen = line.select("key", "tokens", F.explode(taken).alias("s")).groupBy("key", F.col("s.source").alias("source"))
+    chosen = chosen.agg(F.count(F.lit(1)).alias("copies"), F.max("tokens").alias("tokens")).withColumnRenamed("key", key)
     per = chosen.groupBy("source").agg(F.sum(F.col("copies") * F.col("tokens")).alias("tokens"), F.count(F.lit(1)).alias("n_docs"), F.max("copies").alias("most_copies"))
     whole = per.agg(F.sum("tokens").alias("whole"))
     report = (

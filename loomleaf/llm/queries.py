@@ -95,10 +95,17 @@ QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_repaired
 
 
 
+# Fixed values of the SQL twin, kept apart from those of the operator: letters of other alphabets beside the ASCII letters they look like, and dashes.
+SQL_LETTERS = {
+    "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ": "ABEZHIKMNOPTYX", "αικνορυγ": "aikvopuy", "АВЕКМНОРСТХІЅЈӀӏ": "ABEKMHOPCTXISJII", "аеорсухіѕјкмт": "aeopcyxisjkmt", "ѴԌҮԜԚ": "VGYWQ", "ѵԁԛԝһ": "vdqwh", "ɑɡɩ": "agi",
+}
+SQL_DASHES = "‐‑‒–—―−⁃˗﹣－﹘"
+
+
 def _written_form(column: str, stage: bool) -> str:
-    """SQL that writes a code or stage as the node table does, by the standard's compatibility forms and the list of look-alikes."""
+    """SQL that writes a code or stage as the node table does, by the standard's compatibility forms and the letters above."""
     ranges = [*range(0x2150, 0x2190), *range(0x2E80, 0x2FE0), *range(0xF900, 0xFB00), *range(0xFF01, 0xFF5F)]
-    given = {c: to for to, froms in unify.LOOKALIKES.items() for c in froms}
+    given = {c: to for froms, tos in SQL_LETTERS.items() for c, to in zip(froms, tos)} | dict.fromkeys(SQL_DASHES, "-")
     forms = {chr(cp): unicodedata.normalize("NFKC", chr(cp)) for cp in ranges if unicodedata.category(chr(cp)) != "Cn"} | given
     single = {a: b for a, b in forms.items() if len(b) == 1 and a != b and b not in "'\\"}
     quoted = lambda t: t.replace("'", "''")

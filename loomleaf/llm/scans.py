@@ -1,11 +1,12 @@
 """Noise in text from scanned pages: furniture removed, cut words joined, misread characters mended.
 
-Words are described by explicit skip-gram vectors, the counts of what stands around them over the
-whole corpus (the count form of the skip-gram model). A rare word is linked to the frequent one
-that stands in the same surroundings and differs by plausible glyph edits; for characters
-without spaces between words, the "word" is a character between its two neighbours. A link
-is used where the surroundings of the occurrence bear it out. Running headers are learned as
-lines that keep standing at page breaks over many files.
+Words, and characters of scripts without spaces, get skip-gram vectors: context vectors are learned
+with negative sampling (its expectation, over the counts of the whole corpus, so that runs are
+alike), and any word's vector follows from its own neighbours. A rare word is linked to a frequent
+one that is near it in that space and differs by a glyph edit; which edits are plausible is
+learned from the links that many different words bear out. A character is mended between two
+neighbours where another is usual there and its vector fits them better. Running headers are
+learned as lines that keep standing at page breaks over many files.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -30,17 +32,20 @@ from loomleaf.runtime import cut, distinct_by, union_all
 RATIO = 20
 #: Different surroundings in which a substitution must be seen to be believed by itself.
 SUPPORT = 3
+#: Different words in which a glyph edit must link a rare word to a frequent one to be plausible.
+WORDS = 2
 #: The part of a character's occurrences that a substitution must explain to be believed by itself; rare but right
 #: neighbours of frequent ones explain next to nothing, however large the corpus.
 SHARE = 0.1
 #: Rows of a decision table that are sent to the workers at once; longer ones are used in blocks.
 BLOCK = 500_000
 
-# Groups of characters that differ by a stroke, for which one kind of surroundings is enough.
-ALIKE = "己已巳 人入八 日曰目 土士 未末 干千于 大太犬 師帥 令今 天夭 王玉 免兔 壬王 戊戌戍 析折 拆折 候侯 栗粟 徒徙 冶治 沐沭 汨汩 祇衹 晴睛 鳥烏 問間 困因 木本術 牛生午 刀力 九丸 甲申由 白自 目且 貝見 明朋 治冶".split()
-# Latin glyphs that are read for one another. Those that look like two are spelt as two, so that all readings come out alike.
-GLYPHS = (("0", "o"), ("1", "l"), ("5", "s"), ("9", "g"), ("6", "b"), ("8", "b"), ("!", "i"), ("|", "l"), ("@", "a"), ("$", "s"))
-SPELT = (("m", "rn"), ("d", "cl"), ("h", "li"), ("w", "vv"), ("c", "e"), ("f", "t"), ("i", "l"))
+#: Size of the vectors, words and contexts of the model, negative samples for each neighbour, turns of learning, seed.
+RANK, VOCABULARY, NEGATIVES, TURNS, SEED = 24, 1_500, 5, 40, 20240611
+#: Least cosine of a link, that of a character's link that is believed on little else, and by how much the right one must fit better to be.
+COSINE, NEAR, MARGIN = 0.4, 0.7, 2.0
+#: Edits of a word at most, and letters of a word whose single edit needs no other words.
+EDITS, LONG = 3, 6
 
 HYPHENS = "-\xad¬‐‑"
 CJK = "㐀-䶿一-鿿豈-﫿"
@@ -58,14 +63,6 @@ HEADING = re.compile("^[一二三四五六七八九十壹貳參肆伍陸柒捌
 CODE = re.compile(rf"(?<![A-Za-z0-9])[A-Za-zÀ-ÿ0-9]{{1,4}}-[IVl1-5|]{{1,4}}-[0-9lOoISZ|]+(?![A-Za-z0-9])")
 
 
-def skeleton(word: str) -> str:
-    """The same for all readings of a word: glyphs that are read for one another count as one."""
-    w = word.lower()
-    for a, b in GLYPHS + SPELT:
-        w = w.replace(a, b)
-    return w
-
-
 def template(line: str, domain: str | None) -> str:
     """What a running line has in common from page to page: no numbers, marks or blanks, no name of the file's own domain."""
     s = line.strip(BLANK)
@@ -191,12 +188,20 @@ def tokens(text: str) -> Iterator[tuple[int, str]]:
     for m in RUN.finditer(text):
         w = m[0].rstrip("!|$")
         hyphen = text[m.start() - 1 : m.start()] == "-" or text[m.end() : m.end() + 1] == "-"
+        if text[m.end() :] in tuple(HYPHENS):  # the rest of the word is lost
+            continue
         if len(w) > 1 and not (hyphen and (len(w) < 4 or re.fullmatch("[IVl|]+", w))):
             yield m.start(), w
 
 
+def stream(text: str) -> list[str]:
+    """Words and single characters of a text in order."""
+    at = [(i, w.lower()) for i, w in tokens(text)] + [(m.start(), m[0]) for m in re.finditer(f"[{CJK}]", text)]
+    return [w for _, w in sorted(at)]
+
+
 def counted(pdf: pd.DataFrame) -> pd.DataFrame:
-    """kind, item, context, n over a batch: 't' characters in their surroundings, 'w' words, 'c' words with a neighbour, 'h' compounds."""
+    """kind, item, context, n over a batch: 't' characters in their surroundings, 'w' words, 'g' neighbours up to two away, 'h' compounds."""
     c: Counter[tuple[str, str, str]] = Counter()
     for raw, gone in zip(pdf["raw"], pdf["gone"]):
         for text, _ in flow(raw.split("\n"), set(gone))[0]:
@@ -204,13 +209,13 @@ def counted(pdf: pd.DataFrame) -> pd.DataFrame:
                 c["t", t, ""] += 1
             for m in COMPOUND.finditer(text):
                 c["h", m[0].lower(), ""] += 1
-            words = [w.lower() for _, w in tokens(text)]
-            for i, w in enumerate(words):
-                c["w", w, ""] += 1
-                if i:
-                    c["c", w, "<" + skeleton(words[i - 1])] += 1
-                if i + 1 < len(words):
-                    c["c", w, ">" + skeleton(words[i + 1])] += 1
+            for _, w in tokens(text):
+                c["w", w.lower(), ""] += 1
+            words = stream(text)
+            for off, sign in ((1, ">"), (2, "»")):
+                for x, y in zip(words, words[off:]):
+                    c["g", x, sign + y] += 1
+                    c["g", y, "<«"[off - 1] + x] += 1
     return pd.DataFrame([(k, a, b, n) for (k, a, b), n in c.items()], columns=["kind", "item", "context", "n"])
 
 
@@ -260,53 +265,222 @@ def without_furniture(docs: DataFrame) -> DataFrame:
     return parts[0]
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+class Steps:
+    """Ascent along gradients with steps of like size in all directions (Adam), in place."""
+
+    def __init__(self, x: np.ndarray):
+        self.x, self.m, self.v, self.t = x, np.zeros_like(x), np.zeros_like(x), 0
+
+    def go(self, g: np.ndarray) -> None:
+        self.t += 1
+        self.m += 0.1 * (g - self.m)
+        self.v += 0.01 * (g * g - self.v)
+        self.x += 0.1 * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.99**self.t)) + 1e-9)
+
+
+class SkipGram:
+    """Context vectors learned by skip-gram with negative sampling; the vector of any word follows from its neighbours.
+
+    The model has the VOCABULARY most frequent words and contexts; the words compared with it later are all words.
+    """
+
+    def __init__(self, words: list[str], contexts: list[str], cells: list[tuple[str, str, int]], share: dict[str, float]):
+        self.place = {c: i for i, c in enumerate(contexts)}
+        self.share = np.array([share[c] for c in contexts])
+        at = {w: i for i, w in enumerate(words)}
+        n = np.zeros((len(words), len(contexts)))
+        for w, c, k in cells:
+            n[at[w], self.place[c]] = k
+        total = n.sum(1, keepdims=True)
+        n = n / np.maximum(total, 1)  # every word counts alike, so frequent ones don't rule
+        r = np.random.default_rng(SEED)
+        self.u = r.normal(0, 0.3, (len(contexts), RANK))
+        v = r.normal(0, 0.3, (len(words), RANK))
+        of_u, of_v = Steps(self.u), Steps(v)
+        for _ in range(TURNS):
+            s = _sigmoid(v @ self.u.T)
+            pull = n * (1 - s) - NEGATIVES * self.share * s
+            du, dv = pull.T @ v - 1e-3 * self.u, pull @ self.u - 1e-3 * v
+            of_u.go(du)
+            of_v.go(dv)
+
+    def vectors(self, n: np.ndarray) -> np.ndarray:
+        """The vectors of words with such counts of contexts (words x contexts): the same objective with the contexts held fast."""
+        n = n / np.maximum(n.sum(1, keepdims=True), 1)
+        v = np.zeros((len(n), RANK))
+        of_v = Steps(v)
+        for _ in range(TURNS):
+            s = _sigmoid(v @ self.u.T)
+            of_v.go((n * (1 - s) - NEGATIVES * self.share * s) @ self.u - 1e-3 * v)
+        return v
+
+
+def skip_gram(grams: DataFrame) -> SkipGram:
+    """grams: item, context, n over the whole corpus."""
+    words = [r["item"] for r in grams.groupBy("item").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "item").limit(VOCABULARY).collect()]
+    per = grams.groupBy("context").agg(F.sum("n").alias("n"))
+    total = per.agg(F.sum("n")).first()[0] or 1
+    top = per.orderBy(F.desc("n"), "context").limit(VOCABULARY).collect()
+    contexts = [r["context"] for r in top]
+    spark = grams.sparkSession
+    w = F.broadcast(spark.createDataFrame([(x,) for x in words], "item string"))
+    c = F.broadcast(spark.createDataFrame([(x,) for x in contexts], "context string"))
+    cells = grams.join(w, "item", "left_semi").join(c, "context", "left_semi").select("item", "context", "n").collect()
+    return SkipGram(words, contexts, [(r["item"], r["context"], r["n"]) for r in cells], {r["context"]: r["n"] / total for r in top})
+
+
+def word_vectors(grams: DataFrame, words: DataFrame, model: SkipGram) -> DataFrame:
+    """item, vec (of unit length) for each of the words (column item); a word's contexts in the model are at most VOCABULARY."""
+    known = F.broadcast(grams.sparkSession.createDataFrame([(c, i) for c, i in model.place.items()], "context string, at int"))
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in it:
+            for i in range(0, len(whole), 1_000):
+                pdf = whole.iloc[i : i + 1_000]
+                n = np.zeros((len(pdf), len(model.place)))
+                for j, cells in enumerate(pdf["cells"]):
+                    for c in cells:
+                        n[j, c["at"]] = c["n"]
+                v = model.vectors(n)
+                v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
+                yield pd.DataFrame({"item": pdf["item"], "vec": list(v.astype(np.float32))})
+
+    cells = grams.join(words, "item", "left_semi").join(known, "context").groupBy("item").agg(F.collect_list(F.struct("at", "n")).alias("cells"))
+    return cells.mapInPandas(run, "item string, vec array<float>")
+
+
+def glyph_edits(wrong: str, right: str) -> tuple[str, str] | None:
+    """The one or two letters of wrong that stand for one or two of right; None if the words differ otherwise, or only by letters left out or added."""
+    a, b = 0, 0
+    while a < min(len(wrong), len(right)) and wrong[a] == right[a]:
+        a += 1
+    while b < min(len(wrong), len(right)) - a and wrong[-1 - b] == right[-1 - b]:
+        b += 1
+    x, y = wrong[a : len(wrong) - b], right[a : len(right) - b]
+    return (x, y) if 0 < len(x) <= 2 and 0 < len(y) <= 2 else None
+
+
+def near_words(w: DataFrame) -> DataFrame:
+    """wrong, right, n, x, y: each word with the ten times more frequent ones that differ from it in one glyph edit x for y.
+
+    Words meet by what is left of them with one or two letters taken out, so no words are
+    compared that don't share all the rest; such groups are bounded by the pairs of letters.
+    """
+
+    def keys(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            rows = [(x[:i] + "*" + x[i + k :], x, n) for x, n in zip(pdf["item"], pdf["n"]) for k in (1, 2) for i in range(len(x) - k + 1) if len(x) > 2]
+            yield pd.DataFrame(rows, columns=["key", "item", "n"])
+
+    def told(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            edits = [glyph_edits(a, b) or ("", "") for a, b in zip(pdf["wrong"], pdf["right"])]
+            yield pdf.assign(x=[e[0] for e in edits], y=[e[1] for e in edits])
+
+    k = w.mapInPandas(keys, "key string, item string, n long")
+    wrong = k.select("key", F.col("item").alias("wrong"), "n")
+    # A word that is ten times as frequent as another occurs ten times at least.
+    right = k.select("key", F.col("item").alias("right"), F.col("n").alias("n_to")).where("n_to >= 10")
+    pairs = wrong.join(right, "key").where("wrong <> right and n_to >= 10 * n").select("wrong", "right", "n").distinct()
+    return pairs.mapInPandas(told, "wrong string, right string, n long, x string, y string").where("x <> ''")
+
+
+def variants(word: str, edits: dict[str, list[str]]) -> set[str]:
+    """What the word may have been, with up to EDITS learned glyph edits."""
+    out, last = {word}, {word}
+    for _ in range(EDITS):
+        last = {v[:i] + y + v[i + len(x) :] for v in last for x, ys in edits.items() for i in range(len(v)) if v.startswith(x, i) for y in ys} - out
+        out |= last
+    return out - {word}
+
+
+def linked_words(counts: DataFrame, grams: DataFrame, model: SkipGram) -> DataFrame:
+    """kind, wrong, right: the words that are misreadings of others."""
+    w = cut(counts.where("kind = 'w'").select("item", "n"))
+    near = cut(near_words(w))
+
+    def with_cosine(pairs: DataFrame) -> DataFrame:
+        vec = cut(word_vectors(grams, pairs.select(F.explode(F.array("wrong", "right")).alias("item")).distinct(), model))
+        a, b = vec.select(F.col("item").alias("wrong"), F.col("vec").alias("a")), vec.select(F.col("item").alias("right"), F.col("vec").alias("b"))
+        dot = F.aggregate(F.zip_with("a", "b", lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, p: s + p)
+        return pairs.join(a, "wrong").join(b, "right").withColumn("cosine", dot).drop("a", "b")
+
+    met = cut(with_cosine(near))
+    # An edit is plausible where it links several different words, and most of the pairs that it could explain.
+    per = met.groupBy("x", "y").agg(F.count_distinct(F.when(F.col("cosine") >= COSINE, F.col("right"))).alias("words"), F.avg(F.when(F.col("cosine") >= COSINE, 1.0).otherwise(0.0)).alias("share"))
+    learned = per.where((F.col("words") >= WORDS) & (F.col("share") >= 0.5))
+    edits: dict[str, list[str]] = {}
+    for r in learned.select("x", "y").collect():  # at most as many as there are pairs of one or two letters
+        edits.setdefault(r["x"], []).append(r["y"])
+
+    def several(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            yield pd.DataFrame([(x, v, n) for x, n in zip(pdf["item"], pdf["n"]) for v in variants(x, edits)], columns=["wrong", "right", "n"])
+
+    found = w.where(F.length("item") > 2).mapInPandas(several, "wrong string, right string, n long")
+    found = found.join(w.select(F.col("item").alias("right"), F.col("n").alias("n_to")), "right").where("n_to >= 10 * n").select("wrong", "right", "n", "n_to")
+    # A long word of one edit needs no other words to bear the edit out if it is near enough.
+    alone = met.join(w.select(F.col("item").alias("right"), F.col("n").alias("n_to")), "right").where((F.col("cosine") >= NEAR) & (F.length("wrong") >= LONG) & (F.col("n_to") >= RATIO * F.col("n")))
+    sure = with_cosine(cut(found)).where(F.col("cosine") >= COSINE).unionByName(alone.select("wrong", "right", "n", "n_to", "cosine"))
+    return sure.groupBy("wrong").agg(F.max_by("right", F.struct("cosine", "n_to", "right")).alias("right")).select(F.lit("w").alias("kind"), "wrong", "right")
+
+
+def fitting(pairs: DataFrame, grams: DataFrame, model: SkipGram) -> DataFrame:
+    """pairs (l, c, r, to, ...) with cosine of c and to, and margin: how much better, as a logit, `to` fits between l and r than c does."""
+    letters = pairs.select(F.explode(F.array("c", "to")).alias("item")).distinct()
+    vec = {r["item"]: np.array(r["vec"]) for r in word_vectors(grams, letters, model).collect()}  # at most as many as Unicode has
+    none = np.zeros(RANK)
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        around_ = lambda c: model.u[model.place[c]] if c in model.place else none
+        for pdf in it:
+            pdf = pdf.assign(cosine=[float(vec.get(c, none) @ vec.get(t, none)) for c, t in zip(pdf["c"], pdf["to"])])
+            yield pdf.assign(margin=[float((vec.get(t, none) - vec.get(c, none)) @ (around_("<" + left) + around_(">" + right))) for left, c, right, t in zip(pdf["l"], pdf["c"], pdf["r"], pdf["to"])])
+
+    schema = ", ".join(f"`{k}` {t}" for k, t in pairs.dtypes) + ", cosine double, margin double"
+    return pairs.mapInPandas(run, schema)
+
+
 def links(counts: DataFrame) -> DataFrame:
     """kind, wrong, right: which character in which surroundings, and which word, is a misreading of which.
 
     counts: kind, item, context, n over the whole corpus.
     """
+    grams = cut(counts.where("kind = 'g'").select("item", "context", "n"))
+    model = skip_gram(grams)
     t = counts.where("kind = 't'").select(F.substring("item", 1, 1).alias("l"), F.substring("item", 2, 1).alias("c"), F.substring("item", 3, 1).alias("r"), "n")
     # Only a surrounding's frequent characters can be what others are misread from.
     top = t.groupBy("l", "r").agg(F.max("n").alias("most"))
     rare = t.join(top, ["l", "r"]).where(F.col("n") * 4 <= F.col("most"))
     good = t.where(F.col("n") >= 4).select("l", "r", F.col("c").alias("to"), F.col("n").alias("n_to"))
-    pairs = rare.join(good, ["l", "r"]).where(F.col("n_to") >= 4 * F.col("n"))
+    pairs = cut(fitting(rare.join(good, ["l", "r"]).where(F.col("n_to") >= 4 * F.col("n")).select("l", "c", "r", "to", "n", "n_to"), grams, model))
     seen = t.groupBy("c").agg(F.sum("n").alias("n_c"))
-    strong = pairs.where(F.col("n_to") >= RATIO * F.col("n")).groupBy("c", "to").agg(F.count(F.lit(1)).alias("places"), F.sum("n").alias("explained"))
-    alike = F.array(*[F.lit(g) for g in ALIKE])
-    by_sight = F.exists(alike, lambda g: g.contains(F.col("c")) & g.contains(F.col("to")))
-    believed = strong.join(seen, "c").withColumn("share", F.col("explained") / F.col("n_c"))
-    believed = believed.where((F.col("places") >= SUPPORT) & (F.col("share") >= SHARE) | by_sight & (F.col("explained") >= 2) | (F.col("places") >= 2) & (F.col("share") >= 0.6) | (F.col("share") >= 0.85) & (F.col("explained") >= 3))
-    chars = pairs.join(believed.select("c", "to", "share", "places"), ["c", "to"]).groupBy("l", "c", "r").agg(F.max_by("to", "n_to").alias("right"))
-    chars = chars.select(F.lit("t").alias("kind"), F.concat("l", "c", "r").alias("wrong"), "right")
+    strong = pairs.where(F.col("n_to") >= RATIO * F.col("n")).groupBy("c", "to").agg(F.count(F.lit(1)).alias("places"), F.sum("n").alias("explained"), F.avg("margin").alias("margin"), F.max("cosine").alias("cosine"))
+    # A character that is hardly used but as a misreading is near the right one; one that has its own use fits these neighbours worse.
+    near = (F.col("cosine") >= COSINE) | (F.col("margin") > 0)
+    believed = strong.join(seen, "c").withColumn("share", F.col("explained") / F.col("n_c")).where(near)
+    fits = ((F.col("cosine") >= NEAR) & (F.col("share") >= 0.5) | (F.col("margin") >= MARGIN) & (F.col("share") >= 0.3)) & (F.col("explained") >= 2)
+    believed = cut(believed.where((F.col("places") >= SUPPORT) & (F.col("share") >= SHARE) | fits | (F.col("places") >= 2) & (F.col("share") >= 0.6) | (F.col("share") >= 0.85) & (F.col("explained") >= 3)))
+    chars = cut(pairs.join(believed.select("c", "to"), ["c", "to"]).groupBy("l", "c", "r").agg(F.max_by("to", "n_to").alias("right")))
     # A character that hardly occurs but as a misreading is one wherever it stands.
     pure = believed.groupBy("c").agg(F.sum("explained").alias("explained"), F.max("n_c").alias("n_c"), F.max_by("to", "explained").alias("right")).where("explained >= 0.8 * n_c")
     pure = pure.select(F.lit("p").alias("kind"), F.col("c").alias("wrong"), "right")
     # So is one that next to a given neighbour hardly occurs otherwise, whatever stands on its other side.
-    held = t.join(chars.select(F.substring("wrong", 1, 1).alias("l"), F.substring("wrong", 2, 1).alias("c"), F.substring("wrong", 3, 1).alias("r"), "right"), ["l", "c", "r"], "left")
+    held = cut(t.join(believed.select("c").distinct(), "c", "left_semi").join(chars, ["l", "c", "r"], "left"))
     halves = []
     for kind, pair in (("l", ("l", "c")), ("r", ("c", "r"))):
-        g = held.join(believed.select("c").distinct(), "c", "left_semi").groupBy(*pair).agg(F.sum("n").alias("all"), F.sum(F.when(F.col("right").isNotNull(), F.col("n"))).alias("met"), F.max_by("right", F.when(F.col("right").isNotNull(), F.col("n"))).alias("right"))
+        g = held.groupBy(*pair).agg(F.sum("n").alias("all"), F.sum(F.when(F.col("right").isNotNull(), F.col("n"))).alias("met"), F.max_by("right", F.when(F.col("right").isNotNull(), F.col("n"))).alias("right"))
         halves.append(g.where("met >= 2 and met >= 0.7 * all").select(F.lit(kind).alias("kind"), F.concat(*pair).alias("wrong"), "right"))
-    chars = chars.unionByName(halves[0]).unionByName(halves[1])
-
-    skel = F.lower("item")
-    for a, b in GLYPHS + SPELT:
-        skel = F.replace(skel, F.lit(a), F.lit(b))
-    w = counts.where("kind = 'w'").select("item", "n", skel.alias("skeleton"))
-    best = w.groupBy("skeleton").agg(F.max_by("item", "n").alias("right"), F.max("n").alias("n_to"))
-    near = w.join(best, "skeleton").where("item <> right and n_to >= 10 * n").select(F.col("item").alias("wrong"), "right", "n")
-    context = counts.where("kind = 'c'").select("item", "context", "n")
-    a = near.join(context.select(F.col("item").alias("wrong"), "context", F.col("n").alias("n_a")), "wrong")
-    both = a.join(context.select(F.col("item").alias("right"), "context", F.col("n").alias("n_b")), ["right", "context"], "left")
-    shared = both.groupBy("wrong", "right").agg(F.sum(F.when(F.col("n_b").isNotNull(), F.col("n_a")).otherwise(0)).alias("met"), F.sum("n_a").alias("all"))
-    # Digits and signs inside a word are misread whatever stands around; a short word of letters must have surroundings of the right one.
-    odd = F.col("wrong").rlike("[a-z][0-9!@$|]|[0-9!@$|][a-z]") | (F.length("wrong") >= 7)
-    linked = near.join(shared, ["wrong", "right"], "left").where(odd | (F.col("met") >= 0.25 * F.col("all")))
+    chars = chars.select(F.lit("t").alias("kind"), F.concat("l", "c", "r").alias("wrong"), "right").unionByName(halves[0]).unionByName(halves[1])
     # A compound cut at its own hyphen was put together without it.
+    w = counts.where("kind = 'w'").select(F.col("item").alias("wrong"), F.col("n").alias("n_w"))
     whole = counts.where("kind = 'h'").select(F.lit("h").alias("kind"), F.replace("item", F.lit("-"), F.lit("")).alias("wrong"), F.col("item").alias("right"), "n")
-    whole = whole.join(w.select(F.col("item").alias("wrong"), F.col("n").alias("n_w")), "wrong").where("n >= n_w").select("kind", "wrong", "right")
-    return chars.unionByName(pure).unionByName(whole).unionByName(linked.select(F.lit("w").alias("kind"), "wrong", "right"))
+    whole = whole.join(w, "wrong").where("n >= n_w").select("kind", "wrong", "right")
+    return chars.unionByName(pure).unionByName(whole).unionByName(linked_words(counts, grams, model))
 
 
 class Rules:

@@ -50,9 +50,9 @@ def _tables(code: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         elif kind in ("Zs", "Zl", "Zp") or code and ch.isspace():
             to = "" if code else " "
         else:
-            to = given.get(cp) or unicodedata.normalize("NFKD", ch)
+            to = unicodedata.normalize("NFKD", ch)
             if code:
-                to = "".join(given.get(ord(x), x) for x in to)
+                to = given.get(cp) or "".join(given.get(ord(x), x) for x in to)
         if to != ch:
             out = np.array([ord(x) for x in to], np.uint32)
             starts[cp], lengths[cp] = end, len(out)
@@ -143,6 +143,34 @@ def _compose(points: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return points, rows
 
 
+@functools.lru_cache(maxsize=1)
+def _scripts() -> tuple[np.ndarray, np.ndarray]:
+    """What letter of ASCII each look-alike letter stands for (itself for others), and for each code point: 1 an ASCII letter, 2 a look-alike, 3 another letter or mark, 0 none."""
+    to, kind = np.arange(SIZE, dtype=np.uint32), np.zeros(SIZE, np.uint8)
+    for cp in range(0x250):
+        if chr(cp).isalpha():
+            kind[cp] = 1 if cp < 128 else 3
+    for cp in range(0x250, 0x2000):
+        if unicodedata.category(chr(cp))[0] in "LM":
+            kind[cp] = 3
+    for letter, froms in LOOKALIKES.items():
+        if letter.isalpha():
+            for c in froms:
+                to[ord(c)], kind[ord(c)] = ord(letter), 2
+    return to, kind
+
+
+def _mixed_words(points: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Look-alike letters turned into ASCII in words that hold ASCII letters, and no letters of their script that look like none; genuine Greek or Cyrillic words stay."""
+    to, kinds = _scripts()
+    kind = kinds[points]
+    word = np.cumsum(np.concatenate([[True], (kind[1:] == 0) | (kind[:-1] == 0) | (rows[1:] != rows[:-1])])) - 1 if len(points) else np.zeros(0, np.int64)
+    n = int(word[-1]) + 1 if len(points) else 0
+    ascii_, alike, other = (np.bincount(word[kind == k], minlength=n) for k in (1, 2, 3))
+    mixed = (ascii_ > 0) & (alike > 0) & (other == 0)
+    return np.where(mixed[word] & (kind == 2), to[points], points).astype(np.uint32) if len(points) else points
+
+
 def unify_points(points: np.ndarray, offsets: np.ndarray, code: bool) -> tuple[np.ndarray, np.ndarray]:
     starts, lengths, pool = _tables(code)
     rows = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
@@ -151,6 +179,8 @@ def unify_points(points: np.ndarray, offsets: np.ndarray, code: bool) -> tuple[n
     first = np.cumsum(size) - size
     gather = np.repeat(starts[points] - first, size) + np.arange(total)
     points, rows = pool[gather], np.repeat(rows, size)
+    if not code:
+        points = _mixed_words(points, rows)
     points, rows = _compose(points, rows)
     if not code:  # runs of blanks to one, none at the ends of a row
         blank = points == 32
@@ -188,7 +218,7 @@ def unify_column(column: pa.Array, code: bool = False, stage: bool = False) -> p
 
     code: for codes, where blanks vanish, every dash is a hyphen and look-alike letters turn ASCII;
     stage: for stage names, which are upper-case Roman numerals. Otherwise blanks of all kinds
-    become single spaces, and look-alike letters turn ASCII too.
+    become single spaces, and look-alike letters turn ASCII only in words that hold ASCII letters too.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()

@@ -124,6 +124,27 @@ def test_scans(spark):
     assert scans.scan_noise(d.limit(0)).count() == 0
 
 
+def test_glyph_edits_are_learned(spark):
+    assert scans.glyph_edits("leamer", "learner") == ("m", "rn") and scans.glyph_edits("learners", "learner") is None and scans.glyph_edits("cat", "dog") is None
+    assert "classroom" in scans.variants("cla5sr0om", {"5": ["s"], "0": ["o"]})
+    extra = [(200 + i, "數學", "Teachers provide guidance for " + w) for i, w in enumerate(["lcarners in thc classroom", "1earners in the c1assroom", "learners in the classrooms"] * 2)]
+    found = {(r.file_id, r.kind) for r in scans.scan_noise(scanned(spark, extra)).where("file_id >= 200").collect()}
+    assert {(200, "char"), (201, "char")} <= found and (202, "char") not in found
+
+
+def test_skip_gram_tells_words_of_one_use():
+    r = np.random.default_rng(1)
+    words, contexts = [f"w{i}" for i in range(12)], [f"c{i}" for i in range(30)]
+    cells = [(w, c, int(1 + 50 * (i % 3 == j % 3) + r.integers(0, 5))) for i, w in enumerate(words) for j, c in enumerate(contexts)]
+    model = scans.SkipGram(words, contexts, cells, dict.fromkeys(contexts, 1 / 30))
+    n = np.array([[k for w2, _, k in cells if w2 == w] for w in words], float)
+    v = model.vectors(n)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    cos = v @ v.T
+    same = np.array([[i % 3 == j % 3 for j in range(12)] for i in range(12)])
+    assert cos[same].min() > cos[~same].max() and np.allclose(model.vectors(n), scans.SkipGram(words, contexts, cells, dict.fromkeys(contexts, 1 / 30)).vectors(n))
+
+
 def test_rules_in_a_file(spark, monkeypatch):
     bad = f"伍、學習重點\n{PLAIN.replace('記憶', '記億')}\nguidance for lcarners in the cla5sroom"
     d = scanned(spark, [(100, "數學", bad)])
@@ -158,6 +179,11 @@ def test_composition_agrees_with_the_standard(texts):
                 assert g == " ".join(x for x in "".join(" " if unicodedata.category(c) in ("Zs", "Zl", "Zp") else c for c in want).split(" ") if x)
 
 
+def test_words_of_other_alphabets_stay():
+    got = unify.unify_column(pa.array(["Москва и Αθήνα", "Тest рaper", "naïve – tеxt", None, "а"])).to_pylist()
+    assert got == ["Москва и Αθήνα", "Test paper", "naïve – text", None, "а"]
+
+
 def test_codes(spark):
     rows = [(1, "D", "視Ｅ-ＩＩ-１", "II"), (2, "D", "Ka-IlI-10", "IIl"), (3, "D", "INa​–V–25", None), (4, "D", "Taî-I-1", "Ⅰ"), (5, "D", "A-I-1", "I"), (6, "D", None, None), (7, "D", "", ""), (8, None, "Ａ-I-1", "I"), (1, "D", "視Ｅ-ＩＩ-１", "II"), (9, "D", "歷Aa-II-3", "ӏI"), (10, "D", "Ａ" * 9000, "I")]
     d = spark.createDataFrame(rows, "code_id bigint, domain string, code string, stage string").withColumn("node_id", F.lit("clash"))
@@ -331,7 +357,24 @@ def test_mix(spark):
     for x in chosen.collect():
         assert x.source in held[text[x.doc_id]]
     assert mixing.mixed(d.limit(0), targets)[0].count() == 0
-
+    with pytest.raises(Exception, match="no tokenizer"):
+        mixing.mixed(d, targets, tokenizer="/nowhere.json")
+
+
+def test_mix_in_parts(spark, monkeypatch):
+    """One flow for each pattern or for all of them: the shares are reached either way, every text within its sources and caps."""
+    r = random.Random(6)
+    docs = [(i, s, f"word {i // 2} " * (3 + i // 2 % 5)) for i in range(600) for s in [r.choice("abc")]]
+    d = spark.createDataFrame(docs, "doc_id bigint, source string, text string")
+    targets = spark.createDataFrame([("a", 0.4, 2), ("b", 0.3, 2), ("c", 0.3, 2)], "source string, target_share double, max_repeats int")
+    monkeypatch.setattr("loomleaf.runtime.HOT_ROWS", 30)
+    for patterns in (mixing.PATTERNS, 3):
+        monkeypatch.setattr(mixing, "PATTERNS", patterns)
+        chosen, report = mixing.mixed(d, targets, total=4_000)
+        rows = {x.source: x for x in report.collect()}
+        assert abs(sum(x.tokens for x in rows.values()) - 4_000) < 400
+        assert all(abs(x.reached_share - x.target_share) < 0.06 and x.most_copies <= 2 for x in rows.values()), rows
+        assert chosen.groupBy("doc_id", "source").count().where("count > 1").isEmpty()
 
 # --- 9 -------------------------------------------------------------------------------------------
 
