@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomleaf.runtime import cut, hot_keys, lookup_join, release, running_total, stripped
+from loomleaf import runtime
+from loomleaf.runtime import counted, cut, hot_keys, lookup_join, release, running_total, stripped, union_all
 
 
 def prerequisite_links(edges: DataFrame) -> DataFrame:
@@ -26,58 +27,76 @@ def prerequisite_links(edges: DataFrame) -> DataFrame:
     return edges.where(wanted).select("src", "dst").distinct()
 
 
-def _hot_jumps(inbound: DataFrame, rows: int) -> DataFrame | None:
-    return hot_keys(inbound, "key", "n_in", rows)
+MOVING = {"moving": F.count_if(F.col("jump").isNotNull())}
+
+
+def _hot_jumps(moving: DataFrame, rows: int) -> DataFrame | None:
+    """The hot values of jump among so many rows; with few rows none can be hot and nothing is counted."""
+    if rows <= runtime.HOT_ROWS:
+        return None
+    return hot_keys(moving.groupBy(F.col("jump").alias("key")).agg(F.count(F.lit(1)).alias("n_in")), "key", "n_in", rows)
 
 
 def _upward(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Finished nodes (id, parent, depth, root_id, size) and the rest (id, parent)."""
+    """Finished nodes (id, parent, depth, root_id, size) and the rest (id, parent, jump), which have jumped as far as the deepest finished node.
+
+    A round is one job: sizes are summed by the node jumped to, which then, with its own place,
+    is what the jumping nodes look up. Its rows are counted while they are written.
+    """
     state = cut(
-        nodes.select("id", "parent", F.col("parent").alias("jump"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("int").alias("depth"), F.coalesce("parent", "id").alias("root_id"), F.lit(1).cast("bigint").alias("size"))
+        nodes.select("id", "parent", F.col("parent").alias("jump"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("int").alias("depth"), F.coalesce("parent", "id").alias("root_id"), F.lit(1).cast("bigint").alias("size")),
+        **MOVING,
     )
-    active = state.where("jump is not null").count()
+    active = counted(state, "moving")
     while active:
-        inbound = cut(state.where("jump is not null").groupBy(F.col("jump").alias("key")).agg(F.sum("size").alias("more"), F.count(F.lit(1)).alias("n_in")))
-        grown = state.join(inbound.select("key", "more"), F.col("id") == F.col("key"), "left").select("id", "parent", "jump", "depth", "root_id", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size"))
-        # Only nodes that something jumps to are looked up.
-        above = state.join(inbound.select("key"), F.col("id") == F.col("key"), "left_semi").select(F.col("id").alias("up"), F.col("jump").alias("up_jump"), F.col("depth").alias("up_depth"), F.col("root_id").alias("up_root"))
-        moved = lookup_join(grown.where("jump is not null"), above, ("jump", "up"), _hot_jumps(inbound, active), spread="id").select(
+        moving = state.where("jump is not null")
+        inbound = moving.groupBy(F.col("jump").alias("key")).agg(F.sum("size").alias("more"))
+        grown = state.join(inbound, F.col("id") == F.col("key"), "left").select("id", "parent", "jump", "depth", "root_id", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size"))
+        above = state.select(F.col("id").alias("up"), F.col("jump").alias("up_jump"), F.col("depth").alias("up_depth"), F.col("root_id").alias("up_root"))
+        moved = lookup_join(grown, above, ("jump", "up"), _hot_jumps(moving, active), spread="id").select(
             "id", "parent", F.col("up_jump").alias("jump"), (F.col("depth") + F.coalesce("up_depth", F.lit(0))).alias("depth"), F.coalesce("up_root", "root_id").alias("root_id"), "size"
         )
-        before, state = state, cut(grown.where("jump is null").unionByName(moved))
-        release(before, inbound)
-        left = state.where("jump is not null").count()
+        before, state = state, cut(moved, **MOVING)
+        release(before)
+        left = counted(state, "moving")
         if left == active:
             break
         active = left
-    return state.where("jump is null").drop("jump"), state.where("jump is not null").select("id", "parent")
+    return state.where("jump is null").drop("jump"), state.where("jump is not null").select("id", "parent", "jump")
 
 
 def _circles(rest: DataFrame) -> DataFrame:
     """id, circle: for each node on a circle or below one, the smallest id on that circle."""
-    state = cut(rest.select("id", F.col("parent").alias("jump")))
-    if state.isEmpty():
+    state = cut(rest.select("id", "jump"), rows=F.count(F.lit(1)))
+    rows = counted(state, "rows")
+    if not rows:
         return state.select("id", F.col("jump").alias("circle"))
-    # Walk up until the set of ancestors reached no longer shrinks: then it is the circles.
+    # Walk on up until the set of ancestors reached no longer shrinks: then it is the circles.
     reached = -1
     while True:
-        ends = cut(state.groupBy(F.col("jump").alias("key")).agg(F.count(F.lit(1)).alias("n_in")))
-        now = ends.count()
+        ends = cut(state.select(F.col("jump").alias("key")).distinct(), keys=F.count(F.lit(1)))
+        now = counted(ends, "keys")
         if now == reached:
             break
         reached = now
-        above = state.join(ends.select("key"), F.col("id") == F.col("key"), "left_semi").select(F.col("id").alias("up"), F.col("jump").alias("up_jump"))
-        state = cut(lookup_join(state, above, ("jump", "up"), _hot_jumps(ends, now), spread="id", how="inner").select("id", F.col("up_jump").alias("jump")))
+        above = state.join(ends, F.col("id") == F.col("key"), "left_semi").select(F.col("id").alias("up"), F.col("jump").alias("up_jump"))
+        before, state = (state, ends), cut(lookup_join(state, above, ("jump", "up"), _hot_jumps(state, rows), spread="id", how="inner").select("id", F.col("up_jump").alias("jump")))
+        release(*before)
     # On the circles every node has one successor and one predecessor: double the minimum.
-    ring = cut(rest.join(ends.select("key"), F.col("id") == F.col("key"), "left_semi").select("id", F.col("parent").alias("jump"), F.least("id", "parent").alias("low")))
+    last = None
+    ring = cut(rest.join(ends, F.col("id") == F.col("key"), "left_semi").select("id", F.col("parent").alias("jump"), F.least("id", "parent").alias("low")))
     while True:
         above = ring.select(F.col("id").alias("up"), F.col("jump").alias("up_jump"), F.col("low").alias("up_low"))
-        step = cut(ring.join(above, F.col("jump") == F.col("up")).select("id", F.col("up_jump").alias("jump"), F.least("low", "up_low").alias("low"), (F.col("up_low") < F.col("low")).alias("changed")))
-        ring = step.drop("changed")
-        if step.where("changed").isEmpty():
+        step = cut(
+            ring.join(above, F.col("jump") == F.col("up")).select("id", F.col("up_jump").alias("jump"), F.least("low", "up_low").alias("low"), (F.col("up_low") < F.col("low")).alias("changed")),
+            changed=F.count_if("changed"),
+        )
+        release(last or ring)
+        last, ring = step, step.drop("changed")
+        if not counted(step, "changed"):
             break
     lows = ring.select(F.col("id").alias("up"), F.col("low").alias("circle"))
-    return lookup_join(state, lows, ("jump", "up"), _hot_jumps(ends, reached), spread="id").select("id", "circle")
+    return lookup_join(state, lows, ("jump", "up"), _hot_jumps(state, rows), spread="id").select("id", "circle")
 
 
 def _sibling_offsets(tree: DataFrame, rows: int) -> DataFrame:
@@ -91,19 +110,19 @@ def _downward(tree: DataFrame, rows: int, with_path: bool) -> DataFrame:
     """tree with lft, rgt (the node's place in preorder and its last descendant's) and path."""
     t = _sibling_offsets(tree, rows)
     path = F.array("id") if with_path else F.lit(None).cast("array<string>")
-    state = cut(t.select("id", "parent", "depth", "root_id", "size", F.col("parent").alias("jump"), F.col("offset").alias("lft"), path.alias("path")))
-    while True:
+    state = cut(t.select("id", "parent", "depth", "root_id", "size", F.col("parent").alias("jump"), F.col("offset").alias("lft"), path.alias("path")), **MOVING)
+    done = [state.where("jump is null")]
+    while n := counted(state, "moving"):
+        # Finished nodes rest in the tables of their rounds; only those still moving are written again.
         moving = state.where("jump is not null")
-        inbound = cut(moving.groupBy(F.col("jump").alias("key")).agg(F.count(F.lit(1)).alias("n_in")))
-        if inbound.isEmpty():
-            break
-        n = moving.count()
-        above = state.join(inbound.select("key"), F.col("id") == F.col("key"), "left_semi").select(F.col("id").alias("up"), F.col("jump").alias("up_jump"), F.col("lft").alias("up_lft"), F.col("path").alias("up_path"))
-        moved = lookup_join(moving, above, ("jump", "up"), _hot_jumps(inbound, n), spread="id", how="inner").select(
+        hot = _hot_jumps(moving, n)
+        places = union_all([*done, moving]).select(F.col("id").alias("up"), F.col("jump").alias("up_jump"), F.col("lft").alias("up_lft"), F.col("path").alias("up_path"))
+        moved = lookup_join(moving, places, ("jump", "up"), hot, spread="id", how="inner").select(
             "id", "parent", "depth", "root_id", "size", F.col("up_jump").alias("jump"), (F.col("lft") + F.col("up_lft")).alias("lft"), F.concat("up_path", "path").alias("path")
         )
-        before, state = state, cut(state.where("jump is null").unionByName(moved))
-        release(before, inbound)
+        state = cut(moved, **MOVING)
+        done.append(state.where("jump is null"))
+    state = union_all(done)
     return state.select("id", "parent", "root_id", "depth", "lft", (F.col("lft") + F.col("size") - 1).alias("rgt"), "path")
 
 
@@ -121,9 +140,10 @@ def hierarchy(links: DataFrame, with_path: bool = True) -> DataFrame:
         links.select(F.col("dst").alias("id"), F.col("src").alias("parent"))
         .unionByName(links.select(F.col("src").alias("id"), F.lit(None).cast("string").alias("parent")))
         .groupBy("id")
-        .agg(F.min("parent").alias("parent"))
+        .agg(F.min("parent").alias("parent")),
+        rows=F.count(F.lit(1)),
     )
-    rows = nodes.count()
+    rows = counted(nodes, "rows")
     done, rest = _upward(nodes)
     tree = _downward(done, rows, with_path)
     circles = _circles(rest)

@@ -6,12 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: A key is hot when it holds more rows than this, or a 2000th of all rows if that is more;
-#: so there are never more than 2000 hot keys and their list may be broadcast.
-HOT_ROWS = 50_000
+#: A key is hot when it holds more rows than this, which one task takes easily, or a 2000th of all
+#: rows if that is more; so there are never more than 2000 hot keys and their list may be broadcast.
+HOT_ROWS = 200_000
 HOT_KEYS = 2_000
 
 
@@ -21,30 +21,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where it is unset (local tests)."""
+    """The folder that all executors share: spark.checkpoint.dir.
+
+    Where it is unset, a temporary folder serves local sessions only; on a cluster it would be
+    one machine's, so there it is an error.
+    """
     key = "spark.checkpoint.dir"
     found = spark.conf.get(key, None) or spark.sparkContext.getCheckpointDir()
     if found is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {key} to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="loomleaf-")
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, **counts: Column) -> DataFrame:
     """The same rows with their lineage cut by a table written to the shared folder.
 
     A written table rather than checkpoint(): a checkpointed plan carries its constraints and
     partitionings along, which double in every round of a loop that joins it to itself.
     Executors may be lost afterwards. release() removes the files once nothing reads them.
+    counts are aggregates that are taken while the table is written; counted() gives them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loomleaf-cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    seen = Observation() if counts else None
+    (df.observe(seen, *[F.coalesce(c, F.lit(0)).alias(k) for k, c in counts.items()]) if seen else df).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._loomleaf_path = path
+    out._loomleaf_counts = seen.get if seen else {}
     return out
 
 
+def counted(df: DataFrame, name: str) -> int:
+    """What was counted under that name while cut() wrote the table."""
+    return int(df._loomleaf_counts[name])
+
+
 def release(*cuts: DataFrame) -> None:
     """Remove the files behind what cut() gave."""
     for df in cuts:
@@ -64,7 +78,9 @@ def stripped(c: Column | str) -> Column:
 
 
 def hot_keys(counts: DataFrame, key: str, n: str, rows: int) -> DataFrame | None:
-    """The hot keys among counts (a row per key), never more than HOT_KEYS; None if there are none."""
+    """The hot keys among counts (a row per key), never more than HOT_KEYS; None if there are none. rows: of the table that is counted."""
+    if rows <= HOT_ROWS:
+        return None
     found = counts.where((F.col(n) > hot_limit(rows)) & F.col(key).isNotNull()).select(key).limit(HOT_KEYS).collect()
     return counts.sparkSession.createDataFrame(found, counts.select(key).schema) if found else None
 
@@ -87,7 +103,8 @@ def lookup_join(
     """
     lk, rk = on
     if hot is None:
-        return left.join(right.hint("merge"), F.col(lk) == F.col(rk), how)
+        # The optimizer broadcasts right only where its measured size is under the session's threshold.
+        return left.join(right, F.col(lk) == F.col(rk), how)
     marked = F.broadcast(hot.select(F.col(hot.columns[0]).alias("_hot")))
     part = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
     # A null key would send all its rows to one task; such rows get a scattered salt too.
