@@ -19,10 +19,10 @@ DOMAIN_BY_NAME: Rules = {
 }
 TEST_BY_NAME: Rules = {"期中考": ("期中考",), "期末考": ("期末考",), "段考": ("段考",), "第一次": ("第一次", "1st"), "第二次": ("第二次", "2nd"), "第三次": ("第三次", "3rd")}
 STAGE_BY_PATH: Rules = {"國小": ("國小", "小學", "elementary"), "國中": ("國中", "junior"), "高中": ("高中", "senior", "gsat")}
-# Words of a paper's body that tell its subject.
+# Words of a paper's body that tell its subject, in the order in which subjects and words are tried.
 SUBJECT_BY_BODY: Rules = {
-    "國文": ("國文", "修辭", "作者", "文言文"), "英文": ("英文", "單字", "動詞", "grammar"), "數學": ("數學", "算式", "公分", "方程式"), "自然科學": ("實驗", "試管", "觀察", "光合作用"),
-    "社會": ("史料", "衛星影像", "法院", "地圖"), "健康與體育": ("熱身", "運動", "心率", "急救"), "科技": ("程式", "迴圈", "資料庫", "密碼"), "藝術": ("畫面", "作品", "節拍", "構圖"),
+    "自然科學": ("自然科", "自然科學", "自然與生活科技", "理化", "物理科", "化學科", "生物科", "地科"), "健康與體育": ("健康與體育", "體育科", "健體", "健康教育"), "國文": ("國文科", "國語文", "國語科", "國文", "國語", "國綜", "國寫"),
+    "英文": ("英文科", "英語科", "英文", "英語"), "數學": ("數學科", "數學"), "社會": ("社會科", "社會", "歷史科", "地理科", "公民科"),
 }
 # The letters of coded file names.
 SUBJECT_LETTERS = {"C": "國文", "M": "數學", "S": "社會", "N": "自然科學", "H": "健康與體育", "E": "英文", "A": "自然科學"}
@@ -44,6 +44,17 @@ def first_match(text: Column, rules: Rules, default: str | None = None) -> Colum
     return out
 
 
+def first_containing(text: Column, rules: Rules) -> Column:
+    """The first label one of whose words the text contains, letter case included; null if none."""
+    out = F.lit(None).cast("string")
+    for label, words in reversed(list(rules.items())):
+        met = F.lit(False)
+        for w in words:
+            met = met | F.contains(text, F.lit(w))
+        out = F.when(met, label).otherwise(out)
+    return out
+
+
 def vote(text: Column, rules: Rules, least: int = 2) -> Column:
     """The label whose words occur most often, at least `least` times together; of equals the first; null else."""
     low = F.lower(text)

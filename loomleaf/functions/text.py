@@ -83,8 +83,14 @@ def section(text: Column | str) -> Column:
     return trimmed(F.regexp_extract(text, r"(?s)(?:^|\n)[\f  　]*(伍、[  　]*(?:學習重點|學習階段)(?![ .…·]*[.…]{3}).*?)(?=\n[\f  　]*陸、(?![^\n]*[.…]{3})|$)", 1))
 
 
-#: A whole line that heads the part of one school level.
-LEVEL_HEADING = "(?:[一二三四五六七八九十]+、)?[ 　]*(?:國民小學|國民中學|普通型高級中等學校|普通型高中)(?:教育階段)?(?:必修課程|加深加廣選修課程)?(?:學習重點|學習內容)?"
+# The words of a line that heads the part of one school level, level by level, blanks around them.
+_WHAT = "(?:學習重點|學習內容)?"
+_LEVELS = (
+    f"國民小學(?:教育階段)?{_WHAT}",
+    f"國民中學(?:教育階段)?(?:及普通型(?:高級中等學校|高中))?(?:必修課程)?{_WHAT}",
+    f"普通型(?:高級中等學校|高中)?(?:必修課程)?(?:加深加廣選修(?:課程)?)?{_WHAT}",
+)
+LEVEL_HEADING = f"[ \t]*(?:[一二三四五六七八九十]、)?[ \t　]*(?:{'|'.join(_LEVELS)})[ \t　]*"
 
 
 def structure_type(raw: Column | str) -> Column:
@@ -138,17 +144,39 @@ def sorted_stages(stages: Column) -> Column:
     return F.transform(F.array_sort(ranked), lambda x: x["s"])
 
 
+# Words of headings that are none of chapters, and lines that begin a chapter or unit.
+NO_CHAPTERS = "學習表現|學習內容|教學活動|評量|編碼分布|領域簡介|學習評量"
+UNIT = "^第[一二三四五六七八九十百]+章|^【?[一二三四五六七八九十]?[上中下]?】?第?[一二三四五六七八九十]?[單課元章]"
+
+
 def chapters(markdown: Column | str) -> Column:
-    """title and raw_line of each chapter heading."""
-    lines = F.filter(F.split(markdown, "\n"), lambda x: x.rlike(r"^### [^—:：]+$") | x.rlike("^第[一二三四五六七八九十0-9]+章"))
-    return F.transform(lines, lambda x: F.struct(trimmed(F.regexp_replace(x, "^#+", "")).alias("title"), x.alias("raw_line")))
+    """title and raw_line of each heading of a chapter or unit."""
+    lines = F.transform(F.split(markdown, "\n"), trimmed)
+    lines = F.filter(lines, lambda x: x.rlike(r"^### [^—:]+$") & ~x.rlike(NO_CHAPTERS) | ~F.startswith(x, F.lit("### ")) & x.rlike(UNIT))
+    return F.transform(lines, lambda x: F.struct(trimmed(F.regexp_replace(x, "^### ", "")).alias("title"), x.alias("raw_line")))
+
+
+# Stages by the last part of a topic's address; math-N follows its number.
+STAGE_SLUGS = {
+    "I": "ele-c", "II": "coocele-t", "IV": "math-9to10 jun-c main-juni-ge middle-school-civics junyi-geography junyi-middle-school-biology middle-school-physics-chemistry junyi-middle-earth-science",
+    "V": "sen-c eng-senior10 eng-senior11 eng-senior12 eng-senior-prep coocind",
+}
+
+
+def stage_of_slug(slug: Column) -> Column:
+    n = F.nullif(F.regexp_extract(slug, "^math-([0-9]+)$", 1), F.lit("")).try_cast("int")
+    out = F.when(n.between(1, 2), "I").when(n.between(3, 4), "II").when(n.between(5, 6), "III").when(n.between(7, 9), "IV").when(n.between(10, 12), "V")
+    for stage, slugs in STAGE_SLUGS.items():
+        out = out.when(slug.isin(*slugs.split()), stage)
+    return out
 
 
 def stage_from_path(url: Column, path: Column) -> Column:
-    """The stage that a topic address (its number by two years each) or else a file name tells; null if neither does."""
-    n = F.nullif(F.regexp_extract(url, "/topics/math-([0-9]+)$", 1), F.lit("")).try_cast("int")
-    by_number = F.when(n <= 2, "I").when(n <= 4, "II").when(n <= 6, "III").when(n <= 9, "IV").when(n <= 12, "V")
-    return F.coalesce(by_number, F.nullif(F.regexp_extract(path, "stage-([IV]+)-", 1), F.lit("")))
+    """The stage that the address of a topic tells, else, for such addresses, the file's name; without an address the name is the topic."""
+    slug = F.nullif(F.regexp_extract(url, "/topics/([^/?#]+)", 1), F.lit(""))
+    by_name = F.nullif(F.regexp_extract(path, "stage-([IV]+)-", 1), F.lit(""))
+    name = F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.md$", "")
+    return F.when(F.coalesce(url, F.lit("")) == "", stage_of_slug(name)).when(slug.isNotNull(), F.coalesce(stage_of_slug(slug), by_name))
 
 
 def topic_hint(raw: Column, code: Column) -> Column:
@@ -179,20 +207,29 @@ def absolute_url(url: Column, base: str) -> Column:
     return F.when(url.rlike("^https?://"), url).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(url, "^/+", "")))
 
 
+# Domains, subjects and publishers of a title.
+TITLE_DOMAINS = "語文領域|數學領域|自然科學領域|社會領域|綜合活動領域|健康與體育領域|藝術領域|科技領域"
+TITLE_SUBJECTS = "國文 英文 數學 地理 歷史 公民 自然 理化 生物 物理 化學 地科 生活 健體".split()
+TITLE_PUBLISHERS = "南一|康軒|翰林|何嘉仁|龍騰|泰宇|全華|五南|旗立|佳音"
+
+
 def title_fields(title: Column | str) -> Column:
-    """School, grade, year, term, domain, subject and test of a title of such words one after the other; null where not told."""
+    """School, grade, year, term, domain, subject, test and publisher that a title tells; null where it doesn't."""
+    t = F.col(title) if isinstance(title, str) else title
 
-    def one(pattern: str, group: int = 1) -> Column:
-        return F.nullif(F.regexp_extract(title, pattern, group), F.lit(""))
+    def one(pattern: str) -> Column:
+        return F.nullif(F.regexp_extract(t, pattern, 1), F.lit(""))
 
+    subject = one(r"領域\s+(.+?)\s+(?:第[一二三四]次段考|期中考|期末考)")
     return F.struct(
-        one(r"^(\S*?(?:國小|國中|高中|學校))").alias("school"),
-        one("([一二三四五六七八九高][一二三]?年級)").alias("grade"),
+        one("(市立[一-鿿]{2,5}(?:國中|國小|高中)|[一-鿿]{2,5}(?:國中|國小|高中))").alias("school"),
+        one("([一二三四五六七八九]年級)").alias("grade"),
         one("([0-9]{3})學年").alias("year"),
         one("([上下]學期)").alias("term"),
-        one(r"(\S+領域)").alias("domain"),
-        one("(國文|國語|英文|英語|數學|自然科學|自然|理化|生物|社會|歷史|地理|公民|健康與體育|藝術|科技|綜合活動|本土語文|全民國防|生活)").alias("subject"),
-        one("(第[一二三]次段考|期中考|期末考|段考|學測|會考|模擬考|複習考|補考|小考|分科測驗)").alias("test_type"),
+        one(f"({TITLE_DOMAINS})").alias("domain"),
+        F.coalesce(subject, *[F.when(F.contains(t, F.lit(w)), w) for w in TITLE_SUBJECTS]).alias("subject"),
+        one("(第[一二三四]次段考|期中考|期末考)").alias("test_type"),
+        one(f"({TITLE_PUBLISHERS})").alias("publisher"),
     )
 
 

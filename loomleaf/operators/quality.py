@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomleaf.functions.text import ACCENTED_CODE_IN_TEXT, CODE_IN_TEXT, STAGES
@@ -124,6 +124,48 @@ def exam_checks(exams: DataFrame) -> DataFrame:
     )
 
 
+def record_findings(exams: DataFrame, required: tuple[str, ...], sources: tuple[str, ...], places: str, originals: DataFrame | None = None) -> DataFrame:
+    """Findings over exam records: the first failure of each (required fields, original there, hash, body), and warnings for records without one.
+
+    sources are the known ones; places is a pattern of proper paths; originals has path and
+    sha256 of the files that are there, without it only the form of the hash is checked.
+    Records of a source without a test and with a coded name get a warning too.
+    """
+    t = exams.dropDuplicates(["exam_id"])
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) == ""
+    lacking = F.array_join(F.array_compact(F.array(*[F.when(blank(c), F.lit(c)) for c in required])), ",")
+    n = F.length(F.trim(F.coalesce("body", F.lit(""))))
+    checks = [("required_fields", lacking != "", lacking)]
+    if originals is not None:
+        there = originals.select(F.col("path").alias("_there"), F.col("sha256").alias("_sha")).dropDuplicates(["_there"])
+        t = t.join(there, F.col("original_path") == F.col("_there"), "left")
+        checks += [("original_exists", F.col("_there").isNull(), F.col("original_path")), ("sha256", ~F.col("sha256").eqNullSafe(F.col("_sha")), F.col("_sha"))]
+    else:
+        checks.append(("sha256", ~F.coalesce("sha256", F.lit("")).rlike("^[0-9a-f]{64}$"), F.col("sha256")))
+    checks.append(("body_empty", n < 10, n))
+    bad = F.lit(False)
+    for _, w, _d in checks:
+        bad = bad | F.coalesce(w, F.lit(False))
+    good = t.where(~bad)
+    coded = F.coalesce("original_filename", F.lit("")).rlike(r"^\d[A-Z]\d{5}[A-Z]?\.")
+    return union_all(
+        [
+            first_failure(t, F.col("exam_id"), checks),
+            finding(good, F.col("exam_id"), ~F.col("source").isin(*sources), "source_invalid", "warn", F.col("source")),
+            finding(good, F.col("exam_id"), coded & (F.col("source") == "ddes") & blank("test_type"), "coded_test_type", "warn", F.col("original_filename")),
+            finding(good, F.col("exam_id"), ~F.col("original_path").rlike(places), "dir_structure", "warn", F.col("original_path")),
+        ]
+    )
+
+
+def samples(findings: DataFrame, most: int = 20) -> DataFrame:
+    """The first findings of each check, by severity, check and entity: what a report prints; the rest stays in findings."""
+    first = Window.partitionBy("severity", "check", F.pmod(F.xxhash64("entity"), F.lit(64))).orderBy("entity", "detail")
+    few = findings.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= most)
+    last = Window.partitionBy("severity", "check").orderBy("entity", "detail")
+    return few.withColumn("_n", F.row_number().over(last)).where(F.col("_n") <= most).drop("_n")
+
+
 def failure_reasons(log: DataFrame, reason: str, known: list[str]) -> DataFrame:
     """reason (what stands before the first colon), n, known."""
     r = F.trim(F.substring_index(reason, ":", 1))

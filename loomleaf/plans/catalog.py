@@ -160,7 +160,13 @@ def text_frontmatter(spark: SparkSession, d: str) -> DataFrame:
     return m.select("file_id", *[F.try_element_at("m", F.lit(f)).alias(f) for f in ("title", "source", "published_date")])
 
 
-@query(f"WITH {B} SELECT textbook_id, 'I' AS stage FROM b WHERE false UNION ALL SELECT textbook_id, nullif(regexp_extract(source_md, 'stage-([IV]+)-', 1), '') FROM b")
+@query(
+    f"""WITH {B}, k(slug, stage) AS (VALUES ('math-1','I'),('math-2','I'),('math-3','II'),('math-4','II'),('math-5','III'),('math-6','III'),('math-7','IV'),('math-8','IV'),('math-9','IV'),('math-10','V'),('math-11','V'),('math-12','V'),
+('math-9to10','IV'),('ele-c','I'),('jun-c','IV'),('sen-c','V'),('eng-senior10','V'),('eng-senior11','V'),('eng-senior12','V'),('eng-senior-prep','V'),('coocele-t','II'),('main-juni-ge','IV'),('middle-school-civics','IV'),
+('junyi-geography','IV'),('coocind','V'),('junyi-middle-school-biology','IV'),('middle-school-physics-chemistry','IV'),('junyi-middle-earth-science','IV')), t AS (
+SELECT textbook_id, source_url AS u, source_md AS m, CASE WHEN coalesce(source_url, '') = '' THEN replace(string_split(source_md, '/')[-1], '.md', '') ELSE nullif(regexp_extract(source_url, '/topics/([^/?#]+)', 1), '') END AS slug FROM b)
+SELECT textbook_id, CASE WHEN coalesce(u, '') = '' THEN k.stage WHEN t.slug IS NOT NULL THEN coalesce(k.stage, nullif(regexp_extract(m, 'stage-([IV]+)-', 1), '')) END AS stage FROM t LEFT JOIN k ON k.slug = t.slug"""
+)
 def text_stage_of_path(spark: SparkSession, d: str) -> DataFrame:
     return _books(spark, d).select("textbook_id", text.stage_from_path(F.col("source_url"), F.col("source_md")).alias("stage"))
 
@@ -252,13 +258,17 @@ def exam_subject_by_body(spark: SparkSession, d: str) -> DataFrame:
     return _exams(spark, d).where("body is not null").select("exam_id", rules.first_match(b, rules.SUBJECT_BY_BODY).alias("first_subject"), rules.vote(b, rules.SUBJECT_BY_BODY).alias("voted_subject"))
 
 
-TITLE = {"school": r"^(\S*?(?:國小|國中|高中|學校))", "grade": "([一二三四五六七八九高][一二三]?年級)", "year": "([0-9]{3})學年", "term": "([上下]學期)"}
-
-
-@query(f"WITH {X} SELECT exam_id, " + ", ".join(f"nullif(regexp_extract(original_filename, '{p}', 1), '') AS title_{k}" for k, p in TITLE.items()) + " FROM x WHERE original_filename IS NOT NULL")
+@query(
+    f"""WITH {X}, t AS (SELECT exam_id, original_filename AS n FROM x WHERE original_filename IS NOT NULL)
+SELECT exam_id, nullif(regexp_extract(n, '(市立[一-鿿]{{2,5}}(國中|國小|高中)|[一-鿿]{{2,5}}(國中|國小|高中))', 1), '') AS title_school, nullif(regexp_extract(n, '[一二三四五六七八九]年級'), '') AS title_grade, nullif(regexp_extract(n, '([0-9]{{3}})學年', 1), '') AS title_year,
+nullif(regexp_extract(n, '[上下]學期'), '') AS title_term, nullif(regexp_extract(n, '語文領域|數學領域|自然科學領域|社會領域|綜合活動領域|健康與體育領域|藝術領域|科技領域'), '') AS title_domain,
+coalesce(nullif(regexp_extract(n, '領域\\s+(.+?)\\s+(第[一二三四]次段考|期中考|期末考)', 1), ''), list_filter(['國文', '英文', '數學', '地理', '歷史', '公民', '自然', '理化', '生物', '物理', '化學', '地科', '生活', '健體'], lambda w : contains(n, w))[1]) AS title_subject,
+nullif(regexp_extract(n, '第[一二三四]次段考|期中考|期末考'), '') AS title_test_type, nullif(regexp_extract(n, '南一|康軒|翰林|何嘉仁|龍騰|泰宇|全華|五南|旗立|佳音'), '') AS title_publisher FROM t"""
+)
 def exam_title_fields(spark: SparkSession, d: str) -> DataFrame:
+    """All that a title tells."""
     t = _exams(spark, d).where("original_filename is not null").select("exam_id", text.title_fields("original_filename").alias("f"))
-    return t.select("exam_id", *[F.col(f"f.{k}").alias(f"title_{k}") for k in TITLE])
+    return t.select("exam_id", *[F.col(f"f.{k}").alias(f"title_{k}") for k in ("school", "grade", "year", "term", "domain", "subject", "test_type", "publisher")])
 
 
 @query(f"WITH {X} SELECT exam_id, length(trim(body, ' '))::INTEGER AS n_chars FROM x WHERE length(trim(body, ' ')) < 50")
@@ -266,19 +276,20 @@ def exam_short_bodies(spark: SparkSession, d: str) -> DataFrame:
     return _exams(spark, d).where(F.length(F.trim("body")) < 50).select("exam_id", F.length(F.trim("body")).alias("n_chars"))
 
 
-MINIMA = [("自然科學", 40, 100), ("數學", 20, 60), ("語文", 10, 20), ("國語文", 30, 40), ("社會", 20, 40)]
-
-
 @query(
-    f"""WITH {S}, m(p, word, least) AS (VALUES {", ".join(f"({i}, {w!r}, {a})" for i, (w, a, _) in enumerate(MINIMA))}), j AS (SELECT s.file_id, m.word, m.least, row_number() OVER (PARTITION BY s.file_id ORDER BY m.p) AS k, s.performance_count FROM s JOIN m ON contains(s.source_file, m.word))
-SELECT file_id, word, (performance_count < least) AS too_few FROM j WHERE k = 1"""
+    f"""WITH {S}, m(p, word, a, b) AS (VALUES (1,'數學',80,100),(2,'國語文',80,100),(3,'英語文',150,80),(4,'第二外國語文',100,80),(5,'閩南語文',30,50),(6,'客家語文',30,50),(7,'原住民族語文',30,50),(8,'新住民語文',30,50),(9,'臺灣手語',30,50),
+(10,'閩東語文',30,50),(11,'自然科學',50,200),(12,'社會',80,400),(13,'藝術',50,40),(14,'健康與體育',150,200),(15,'生活課程',20,15),(16,'綜合活動',30,100),(17,'科技',30,50),(18,'全民國防教育',15,15)),
+t AS (SELECT file_id, performance_count, content_count, string_split(source_file, '/')[-1] AS name, string_split(source_file, '/')[-2] AS folder FROM s),
+j AS (SELECT t.*, m.*, row_number() OVER (PARTITION BY file_id ORDER BY NOT contains(name, word), p) AS k FROM t JOIN m ON contains(name, word) OR folder = word)
+SELECT file_id, word, performance_count < a AS few_performance, content_count < b AS few_content FROM j WHERE k = 1"""
 )
 def file_minimum_counts(spark: SparkSession, d: str) -> DataFrame:
-    """The first rule whose word a file's path holds, and whether the file falls short of it."""
-    word = rules.first_match(F.col("source_file"), {w: (w,) for w, _, _ in MINIMA})
-    least = F.create_map(*[F.lit(x) for w, a, _ in MINIMA for x in (w, a)])
-    t = _files(spark, d).withColumn("word", word).where("word is not null")
-    return t.select("file_id", "word", (F.col("performance_count") < F.element_at(least, F.col("word"))).alias("too_few"))
+    """The first rule whose word a file's name holds, else that of its folder, and whether the file falls short of it."""
+    name, folder = F.element_at(F.split("source_file", "/"), -1), F.try_element_at(F.split("source_file", "/"), F.lit(-2))
+    rule = {w: F.struct(F.lit(w).alias("word"), F.lit(a).alias("a"), F.lit(b).alias("b")) for w, (a, b) in quality.LEAST_CODES.items()}
+    found = F.coalesce(*[F.when(F.contains(name, F.lit(w)), r) for w, r in rule.items()], *[F.when(folder == w, r) for w, r in rule.items()])
+    t = _files(spark, d).withColumn("r", found).where("r is not null")
+    return t.select("file_id", "r.word", (F.col("performance_count") < F.col("r.a")).alias("few_performance"), (F.col("content_count") < F.col("r.b")).alias("few_content"))
 
 
 # --- joins and counts ---------------------------------------------------------------------------

@@ -6,10 +6,10 @@ import duckdb
 import pytest
 from conftest import SMALL
 
-from loomleaf.plans import catalog, core
+from loomleaf.plans import catalog, core, exams
 
-SQL = {**core.SQL, **catalog.SQL}
-QUERIES = {**core.QUERIES, **catalog.QUERIES}
+SQL = {**core.SQL, **catalog.SQL, **exams.SQL}
+QUERIES = {**core.QUERIES, **catalog.QUERIES, **exams.QUERIES}
 
 
 @pytest.fixture(scope="module")
