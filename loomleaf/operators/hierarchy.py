@@ -14,7 +14,7 @@ the deepest node has depth d >= 2^k, nodes of every smaller depth exist, so some
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomleaf import runtime
@@ -27,7 +27,8 @@ def prerequisite_links(edges: DataFrame) -> DataFrame:
     return edges.where(wanted).select("src", "dst").distinct()
 
 
-MOVING = {"moving": F.count_if(F.col("jump").isNotNull())}
+def _moving() -> dict[str, Column]:
+    return {"moving": F.count_if(F.col("jump").isNotNull())}
 
 
 def _hot_jumps(moving: DataFrame, rows: int) -> DataFrame | None:
@@ -45,7 +46,7 @@ def _upward(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     state = cut(
         nodes.select("id", "parent", F.col("parent").alias("jump"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("int").alias("depth"), F.coalesce("parent", "id").alias("root_id"), F.lit(1).cast("bigint").alias("size")),
-        **MOVING,
+        **_moving(),
     )
     active = counted(state, "moving")
     while active:
@@ -56,7 +57,7 @@ def _upward(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         moved = lookup_join(grown, above, ("jump", "up"), _hot_jumps(moving, active), spread="id").select(
             "id", "parent", F.col("up_jump").alias("jump"), (F.col("depth") + F.coalesce("up_depth", F.lit(0))).alias("depth"), F.coalesce("up_root", "root_id").alias("root_id"), "size"
         )
-        before, state = state, cut(moved, **MOVING)
+        before, state = state, cut(moved, **_moving())
         release(before)
         left = counted(state, "moving")
         if left == active:
@@ -110,7 +111,7 @@ def _downward(tree: DataFrame, rows: int, with_path: bool) -> DataFrame:
     """tree with lft, rgt (the node's place in preorder and its last descendant's) and path."""
     t = _sibling_offsets(tree, rows)
     path = F.array("id") if with_path else F.lit(None).cast("array<string>")
-    state = cut(t.select("id", "parent", "depth", "root_id", "size", F.col("parent").alias("jump"), F.col("offset").alias("lft"), path.alias("path")), **MOVING)
+    state = cut(t.select("id", "parent", "depth", "root_id", "size", F.col("parent").alias("jump"), F.col("offset").alias("lft"), path.alias("path")), **_moving())
     done = [state.where("jump is null")]
     while n := counted(state, "moving"):
         # Finished nodes rest in the tables of their rounds; only those still moving are written again.
@@ -120,7 +121,7 @@ def _downward(tree: DataFrame, rows: int, with_path: bool) -> DataFrame:
         moved = lookup_join(moving, places, ("jump", "up"), hot, spread="id", how="inner").select(
             "id", "parent", "depth", "root_id", "size", F.col("up_jump").alias("jump"), (F.col("lft") + F.col("up_lft")).alias("lft"), F.concat("up_path", "path").alias("path")
         )
-        state = cut(moved, **MOVING)
+        state = cut(moved, **_moving())
         done.append(state.where("jump is null"))
     state = union_all(done)
     return state.select("id", "parent", "root_id", "depth", "lft", (F.col("lft") + F.col("size") - 1).alias("rgt"), "path")
