@@ -192,8 +192,11 @@ def domain_of_name(name: Column, rules_: dict[str, tuple[str, ...]]) -> Column:
     return first_containing(F.lower(F.coalesce(F.try_element_at(parts, F.lit(2)), F.get(parts, F.lit(0)))), rules_)
 
 
-def link_year_subject(text: Column) -> Column:
-    """year and subject that a link's words tell: digits before 學年 or 年, what stands behind them, else the first run of ideographs."""
-    year = F.coalesce(nonempty(F.regexp_extract(text, r"(\d{2,3})\s*學年", 1)), nonempty(F.regexp_extract(text, r"(\d{2,3})[-_年]", 1)))
-    named = nonempty(F.regexp_extract(text, "(國文|英文|數學[ABab甲乙]?|自然|社會|物理|化學|生物|歷史|地理|公民與社會)", 1))
-    return F.struct(year.alias("year"), F.coalesce(named, nonempty(F.regexp_extract(text, "([一-鿿]{2,})", 1))).alias("subject"))
+def link_year_subject(url: Column) -> Column:
+    """year and subject that an address's last part tells: digits before 學年 or 學測, and the words before 試卷, 試題 or 答案, else the first run of ideographs; unknown without."""
+    last = F.substring_index(url, "/", -1)
+    name = F.coalesce(F.try_url_decode(last), last)
+    year = nonempty(F.regexp_extract(name, r"(\d{2,3})學(?:年|測)", 1))
+    told = nonempty(F.regexp_extract(name, r"(?:學年|學測)\D*?(?:試卷|測驗)?\D*?([一-鿿]+[A-Za-z]?)(?:試卷|試題|答案|\.pdf)", 1))
+    subject = F.coalesce(told, nonempty(F.regexp_extract(name, "([一-鿿]+[A-Za-z]?)", 1)), F.lit("unknown"))
+    return F.struct(F.coalesce(year, F.lit("unknown")).alias("year"), F.regexp_replace(subject, "(?:試卷|試題|答案)$", "").alias("subject"))

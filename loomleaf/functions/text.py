@@ -6,7 +6,7 @@ digits must follow Unicode say so with (?U).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: code := up to two ideographs, prefix, "-", stage with an optional suffix, "-", digits; not behind a letter or digit.
@@ -256,6 +256,17 @@ def year_subject(url: Column) -> Column:
     return F.struct(year.alias("year"), nonempty(subject).alias("subject"))
 
 
+# Words of links in menus and footers.
+MENU_WORDS = "關於 捐款 粉絲 合作 政策 隱私 登入 搜尋".split()
+
+
+def chapter_links(links: DataFrame, page: str, host: str, most: int = 3) -> DataFrame:
+    """The first links of each page (page, href, text, position) that lead on: not to the page itself, on the host, and to no menu."""
+    ok = useful_link(F.col("href"), F.col("text"), host, MENU_WORDS) & (F.col("href") != F.col(page))
+    first = Window.partitionBy(page).orderBy("position")
+    return links.where(ok).withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= most).drop("_n")
+
+
 def useful_link(href: Column, text: Column, host: str, stop: list[str]) -> Column:
     """Whether a link stays on the host, has words, and none of those of menus and footers."""
     inside = ~href.rlike("^https?://") | (F.try_parse_url(href, F.lit("HOST")) == host)

@@ -106,6 +106,20 @@ def coverage(all_: DataFrame, covered: DataFrame, key: str) -> DataFrame:
     return all_.select(key).distinct().join(covered.select(key).distinct(), key, "left_anti")
 
 
+def in_range(df: DataFrame, column: str, low: object = None, high: object = None) -> DataFrame:
+    """Rows whose value lies between both ends, those included; an end that is None is open. Nulls lie nowhere."""
+    if low is not None:
+        df = df.where(F.col(column) >= F.lit(low))
+    return df.where(F.col(column) <= F.lit(high)) if high is not None else df.where(F.col(column).isNotNull())
+
+
+def holding(df: DataFrame, column: str, words: list[str]) -> DataFrame:
+    """Rows whose text holds every one of the words."""
+    for w in words:
+        df = df.where(F.contains(column, F.lit(w)))
+    return df
+
+
 def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of either side that the other lacks, with side 'left' or 'right'."""
     return a.subtract(b).withColumn("side", F.lit("left")).unionByName(b.subtract(a).withColumn("side", F.lit("right")))

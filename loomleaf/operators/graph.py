@@ -25,11 +25,15 @@ def link_next(nodes: DataFrame, position: str) -> DataFrame:
     """src, dst, domain: each node to the very next of its (domain, category, ordinal) in stage order, where the stage really rises.
 
     Equal stages are ordered by `position`: the last of one stage leads to the first of the next.
+    So only the first and the last of each stage count; they are minima and maxima, combined
+    before the shuffle, and the window runs over at most six stages of a group.
     """
-    w = Window.partitionBy("domain", "category", "ordinal").orderBy(F.col("o"), F.col(position), F.col("id"))
     t = nodes.where("category is not null and ordinal is not null").withColumn("o", stage_order(F.col("stage")))
-    t = t.withColumn("dst", F.lead("id").over(w)).withColumn("o2", F.lead("o").over(w))
-    return t.where("o < 99 and o2 < 99 and o2 > o").select(F.col("id").alias("src"), "dst", "domain")
+    at = F.struct(F.col(position), F.col("id"))
+    ends = t.groupBy("domain", "category", "ordinal", "o").agg(F.min_by("id", at).alias("first"), F.max_by("id", at).alias("src"))
+    w = Window.partitionBy("domain", "category", "ordinal").orderBy("o")
+    ends = ends.withColumn("dst", F.lead("first").over(w)).withColumn("o2", F.lead("o").over(w))
+    return ends.where("o < 99 and o2 < 99").select("src", "dst", "domain")
 
 
 def automatic_edges(nodes: DataFrame, position: str) -> DataFrame:
@@ -51,11 +55,18 @@ def parse_manual_edges(lines: DataFrame, line: str, domain: str) -> DataFrame:
         full(F.col("_p")[1]).alias("dst"),
         F.lit("prerequisite").alias("relation"),
         F.coalesce(F.try_element_at("_p", F.lit(3)), F.lit("recommended")).alias("strength"),
-        F.nullif(F.array_join(F.slice("_p", 4, 1_000), " "), F.lit("")).alias("note"),
+        F.nullif(F.array_join(F.slice("_p", F.lit(4), F.size("_p")), " "), F.lit("")).alias("note"),
         F.concat(F.lit("manual:"), F.col(domain)).alias("source"),
     )
 
 
+def manual_edge_warnings(lines: DataFrame, line: str, domain: str) -> DataFrame:
+    """domain, line, warning of each line of entered edges that has words but not both ends."""
+    bare = F.trim(line)
+    one = lines.where((bare != "") & ~F.startswith(bare, F.lit("#")) & (F.size(F.split(bare, r"\s+")) < 2))
+    return one.select(domain, bare.alias("line"), F.lit("fewer than two ids").alias("warning"))
+
+
 def first_edges(edges: DataFrame, rank: Column, position: str) -> DataFrame:
     """The first edge of each (src, dst, relation): by rank, then position.
 

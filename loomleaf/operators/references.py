@@ -5,8 +5,9 @@ sort-merge join is that merge); hot keys are salted. Each parent key carries its
 intervals, by which a reference without a live parent is told apart as
 
 * missing: no row has that key,
-* deleted: a row existed at the reference's time but is gone, or only removed rows exist,
-* late:    the live row was created after the reference.
+* removed: a row was there at the reference's time and was deleted later,
+* deleted: rows were there before, none at the reference's time, and none that is live,
+* late:    rows came only after the reference.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomleaf.runtime import hot_keys, lookup_join, union_all
+from loomleaf.runtime import counted, cut, hot_keys, lookup_join, union_all
 
 
 @dataclass(frozen=True)
@@ -44,10 +45,11 @@ def parent_intervals(nodes: DataFrame, key: str = "id", created: str = "created_
     )
 
 
-def orphan_references(references: list[Reference], parents: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+def orphan_references(references: list[Reference], parents: DataFrame, roots: DataFrame | None = None, lives: DataFrame | None = None) -> DataFrame:
     """ref_table, ref_key, ref_field, target_id, at, kind of each reference without a live parent.
 
-    parents is what parent_intervals gives; roots (column parent) are keys that always exist.
+    parents is what parent_intervals gives; roots (column parent) are keys that always exist;
+    lives is what parent_lives gives, without it removed ones count as deleted.
     Null and empty targets are no references. A reference whose own time is null is never
     proved good, so it comes out. Distinct rows: an exact repeat of a reference counts once.
     Empty tables give no rows; an empty parent table makes every reference missing.
@@ -63,17 +65,34 @@ def orphan_references(references: list[Reference], parents: DataFrame, roots: Da
         times = dict(parents.dtypes)["live_since"]
         known = known.select("parent", F.col("live_since").cast(times), F.col("first_since").cast(times), "always")
         parents = parents.unionByName(known).groupBy("parent").agg(F.min("live_since").alias("live_since"), F.min("first_since").alias("first_since"), F.max("always").alias("always"))
-    counts = refs.groupBy("target_id").count()
-    hot = hot_keys(counts, "target_id", "count", refs.count())
+    counts = cut(refs.groupBy("target_id").count(), rows=F.sum("count"))
+    hot = hot_keys(counts, "target_id", "count", counted(counts, "rows"))
     met = lookup_join(refs, parents, ("target_id", "parent"), hot, spread="ref_key")
     good = F.coalesce(F.col("always"), F.lit(False)) | F.coalesce(F.col("live_since") <= F.col("at"), F.lit(False))
     kind = (
         F.when(F.col("parent").isNull(), "missing")
-        .when(F.col("live_since").isNull(), "deleted")
         .when(F.col("first_since") <= F.col("at"), "deleted")
+        .when(F.col("live_since").isNull() & (F.col("at").isNull() | F.col("first_since").isNull()), "deleted")
         .otherwise("late")
     )
-    return met.where(~good).select("ref_table", "ref_key", "ref_field", "target_id", "at", kind.alias("kind")).distinct()
+    bad = met.where(~good).select("ref_table", "ref_key", "ref_field", "target_id", "at", kind.alias("kind")).distinct()
+    return bad if lives is None else _told_apart(bad, lives)
+
+
+def parent_lives(nodes: DataFrame, key: str = "id", created: str = "created_at", deleted: str = "deleted_at") -> DataFrame:
+    """parent, since, until: the intervals in which deleted rows were there; repeated rows once."""
+    return nodes.where(F.col(key).isNotNull() & (F.col(deleted) > F.col(created))).select(F.col(key).alias("parent"), F.col(created).alias("since"), F.col(deleted).alias("until")).distinct()
+
+
+def _told_apart(bad: DataFrame, lives: DataFrame) -> DataFrame:
+    """Orphans with those told as removed whose time lies in an interval of their parent.
+
+    Only orphans of deleted parents are looked up, each key and time once.
+    """
+    asked = bad.where("kind = 'deleted'").select(F.col("target_id").alias("_t"), F.col("at").alias("_at")).distinct()
+    within = asked.join(lives, (F.col("_t") == F.col("parent")) & (F.col("since") <= F.col("_at")) & (F.col("_at") < F.col("until")), "left_semi")
+    out = bad.join(within, (F.col("target_id") == F.col("_t")) & (F.col("at") == F.col("_at")), "left")
+    return out.select("ref_table", "ref_key", "ref_field", "target_id", "at", F.when(F.col("_t").isNotNull(), "removed").otherwise(F.col("kind")).alias("kind"))
 
 
 def curriculum_references(edges: DataFrame, textbooks: DataFrame) -> list[Reference]:
@@ -89,7 +108,7 @@ def curriculum_references(edges: DataFrame, textbooks: DataFrame) -> list[Refere
 
 def curriculum_orphans(edges: DataFrame, textbooks: DataFrame, nodes: DataFrame, domains: DataFrame) -> DataFrame:
     """orphan_references over the curriculum tables; the domains' top nodes always exist."""
-    return orphan_references(curriculum_references(edges, textbooks), parent_intervals(nodes), domains.select(F.col("root_id").alias("parent")))
+    return orphan_references(curriculum_references(edges, textbooks), parent_intervals(nodes), domains.select(F.col("root_id").alias("parent")), parent_lives(nodes))
 
 
 def orphans_by_period(orphans: DataFrame) -> DataFrame:

@@ -54,7 +54,9 @@ _REFS = """refs AS (
   SELECT id, min(created_at) FILTER (WHERE deleted_at IS NULL) AS live_since, min(created_at) AS first_since FROM nodes GROUP BY id
 ), bad AS (
   SELECT DISTINCT r.ref_table, r.ref_key, r.ref_field, r.target_id, r.seen,
-    CASE WHEN p.id IS NULL THEN 'missing' WHEN p.live_since IS NULL OR p.first_since <= r.seen THEN 'deleted' ELSE 'late' END AS kind
+    CASE WHEN p.id IS NULL THEN 'missing'
+      WHEN EXISTS (SELECT 1 FROM nodes n WHERE n.id = r.target_id AND n.deleted_at IS NOT NULL AND n.created_at <= r.seen AND r.seen < n.deleted_at) THEN 'removed'
+      WHEN p.first_since <= r.seen OR p.live_since IS NULL AND (r.seen IS NULL OR p.first_since IS NULL) THEN 'deleted' ELSE 'late' END AS kind
   FROM refs r LEFT JOIN per p ON p.id = r.target_id
   WHERE r.target_id <> '' AND r.target_id NOT IN (SELECT root_id FROM domains WHERE root_id IS NOT NULL)
     AND (p.live_since IS NULL OR r.seen IS NULL OR p.live_since > r.seen)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomleaf.functions import rules, text
+from loomleaf.functions.charset import path_from_latin1
+from loomleaf.functions.exams import voted_subject
 from loomleaf.operators import analyze, graph, hierarchy, quality
 from loomleaf.runtime import union_all
 from loomleaf.sources import readers, reports, writers
@@ -108,3 +110,31 @@ def exam_documents(exams: DataFrame) -> DataFrame:
     doc = writers.frontmatter_text([(f, F.col(f)) for f in fields if f in exams.columns], F.col("body"))
     where = writers.output_path([F.col("stage"), F.col("grade_label"), F.coalesce("subject", F.lit("未分"))], [F.col("year_roc"), F.col("semester"), F.col("test_type")], F.coalesce("sha256", F.lit("")))
     return writers.distinct_paths(exams.select("exam_id", where.alias("path"), doc.alias("text")), "path", "exam_id")
+
+
+def relocated(exams: DataFrame, subjects: DataFrame) -> DataFrame:
+    """exam_id, old_path, path, text: the documents whose subject was found later, at their new places with the subject and its origin in the frontmatter.
+
+    subjects has exam_id, imputed, origin. Nothing is moved in place: a writer by folders replaces
+    the old and the new ones.
+    """
+    found = subjects.where("imputed is not null and origin not in ('given', 'none')").select("exam_id", "imputed", "origin")
+    t = exams.where("subject is null or trim(subject) = ''").dropDuplicates(["exam_id"]).join(found, "exam_id")
+    old = exam_documents(t.drop("imputed", "origin")).select("exam_id", F.col("path").alias("old_path"))
+    return exam_documents(t.withColumn("subject", F.col("imputed"))).join(old, "exam_id").select("exam_id", "old_path", "path", "text")
+
+
+def reread(files: DataFrame, exams: DataFrame, reader: dict, least: int = 50) -> DataFrame:
+    """exam_id, subject, reason: files of records with short bodies and no subject read again, by sight where the reader does so, and the subject voted on their text.
+
+    files: what readers.files gives; reader: extractors by extension, readers.ocr for scanned ones.
+    """
+    short = exams.where(F.length(F.trim(F.coalesce("body", F.lit("")))) < least).where("subject is null or trim(subject) = ''").select("exam_id", F.col("original_path").alias("path"))
+    got = readers.extracted(files.join(short.select("path").distinct(), "path", "left_semi"), reader)
+    return short.join(got, "path").select("exam_id", voted_subject(F.col("text")).alias("subject"), "reason")
+
+
+def renamed_originals(exams: DataFrame) -> DataFrame:
+    """exam_id, original_path, fixed_path of the records whose file's path was read in a wrong encoding, part by part; the reference to it is patched alike."""
+    fixed = path_from_latin1("original_path")
+    return exams.select("exam_id", "original_path", fixed.alias("fixed_path")).where("fixed_path <> original_path").distinct()

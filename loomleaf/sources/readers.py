@@ -44,32 +44,40 @@ def structured(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("path", F.try_url_decode(F.col("_metadata.file_path")))
 
 
+# What users of a domain's parsed files should know.
+DOMAIN_HINTS = {"社會": "表格型：stage label 在 cell 內（非獨立 heading 行），parser 不切段。stages_present 欄位已標明實際 stage 分布。"}
+
+
 def parsed_markdown(docs: DataFrame) -> DataFrame:
     """path, domain, text parsed: frontmatter, section, structure type, codes by kind, stages, warnings.
 
-    Codes are explodable arrays in the order of the text; a file without the section is of type none.
+    Codes are explodable arrays in the order of the text; general guidelines are of type none, other files without the section unknown.
     """
     section = T.section("text")
     found = T.codes(section, math=F.col("domain") == "數學")
     all_ = F.transform(found, T.code_parts)
     typed = docs.select("path", "domain", T.frontmatter("text").alias("frontmatter"), T.section_title("text").alias("section_5_title"), section.alias("raw_section_5"), all_.alias("codes"))
     none = F.col("raw_section_5") == ""
+    # General guidelines have no codes of their own; a file without the section is of unknown type otherwise.
+    general = F.contains("domain", F.lit("總綱"))
+    hints = F.coalesce(*[F.when(F.col("domain") == d, F.array(F.lit(h))) for d, h in DOMAIN_HINTS.items()], F.array().cast("array<string>"))
     return typed.select(
         "path", "domain", "frontmatter", "section_5_title", "raw_section_5",
-        F.when(none, "none").otherwise(T.structure_type("raw_section_5")).alias("structure_type"),
+        F.when(general, "none").when(none, "unknown").otherwise(T.structure_type("raw_section_5")).alias("structure_type"),
         F.filter("codes", lambda c: c["kind"] == "performance").alias("performance_codes"),
         F.filter("codes", lambda c: c["kind"] == "content").alias("content_codes"),
         T.sorted_stages(F.transform("codes", lambda c: c["stage"])).alias("stages_present"),
-        F.array_compact(F.array(F.when(none, F.lit("no section")), F.when(~none & (F.size("codes") == 0), F.lit("no codes")))).alias("warnings"),
+        F.array_compact(F.concat(F.array(F.when(none & ~general, F.lit("no section")), F.when(~none & (F.size("codes") == 0), F.lit("no codes"))), hints)).alias("warnings"),
     )
 
 
-def files(spark: SparkSession, path: str, extensions: list[str] | None = None) -> DataFrame:
-    """path, ext, size, sha256, content of every file below a folder."""
+def files(spark: SparkSession, path: str, extensions: list[str] | None = None, first: int | None = None) -> DataFrame:
+    """path, ext, size, sha256, content of every file below a folder; or of the first ones by path, if so many are asked for."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     ext = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1))
     df = df.select(F.try_url_decode("path").alias("path"), ext.alias("ext"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"), "content")
-    return df if extensions is None else df.where(F.col("ext").isin(extensions))
+    df = df if extensions is None else df.where(F.col("ext").isin(extensions))
+    return df if first is None else df.orderBy("path").limit(first)
 
 
 def texts(spark: SparkSession, path: str) -> DataFrame:
@@ -106,11 +114,27 @@ def _program(*commands: list[str]) -> Callable[[bytes], str]:
     return run
 
 
+def first_text(*extractors: Callable[[bytes], str]) -> Callable[[bytes], str]:
+    """The text of the first extractor that gives any; the first one's reason if none does."""
+
+    def run(data: bytes) -> str:
+        why: Exception | None = None
+        for f in extractors:
+            try:
+                if (text := f(data)).strip():
+                    return text
+            except Exception as e:  # the next one may read it
+                why = why or e
+        raise why or ValueError("no text")
+
+    return run
+
+
 #: What turns a file's bytes into text, by extension. Others are skipped with a reason.
 EXTRACTORS: dict[str, Callable[[bytes], str]] = {
     "txt": lambda b: b.decode("utf-8", "replace"),
     "docx": _docx,
-    "pdf": _program(["pdftotext", "-layout", "-", "-"]),
+    "pdf": lambda b: first_text(_program(["pdftotext", "-layout", "-", "-"]), ocr(["chi_tra+eng", "eng"]))(b),
     "doc": _program(["antiword", "-"], ["catdoc", "-"]),
 }
 
@@ -220,6 +244,102 @@ def html_text(pages: DataFrame, key: str, html: str, least: int = 100) -> DataFr
     return pages.select(key, html).mapInPandas(run, f"`{key}` {dict(pages.dtypes)[key]}, text string")
 
 
+#: Where the main text of a page is looked for, one after the other: tag, attribute, value.
+MAIN_PARTS = (("main", "", ""), ("article", "", ""), ("", "role", "main"), ("", "class", "course-content"), ("", "id", "content"), ("body", "", ""))
+
+
+class _Parts(HTMLParser):
+    """The text of the first element of each kind of main part."""
+
+    VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.found: list[list[str] | None] = [None] * len(MAIN_PARTS)
+        self.open: list[tuple[str, list[int]]] = []
+        self.skip = 0
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in self.VOID:
+            return
+        self.skip += tag in ("script", "style")
+        a = {k: (v or "").split() for k, v in attrs}
+        starts = [i for i, (t, k, v) in enumerate(MAIN_PARTS) if self.found[i] is None and (t == tag if t else v in a.get(k, ()))]
+        for i in starts:
+            self.found[i] = []
+        self.open.append((tag, starts))
+
+    def handle_endtag(self, tag: str) -> None:
+        self.skip -= self.skip > 0 and tag in ("script", "style")
+        if any(t == tag for t, _ in self.open):
+            while self.open and self.open.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data: str) -> None:
+        if not self.skip:
+            for _, starts in self.open:
+                for i in starts:
+                    self.found[i].append(data)
+
+
+def main_text(pages: DataFrame, key: str, html: str, longer_than: int = 100, error_below: int | None = None) -> DataFrame:
+    """key, text, error: the text of the first main part, in the order of MAIN_PARTS, that has more characters than longer_than; else what the last one has.
+
+    error names texts that have fewer than error_below characters. A null page has no text.
+    """
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            texts = []
+            for h in pdf[html]:
+                p = _Parts()
+                p.feed(h or "")
+                parts = [" ".join("".join(x).split()) for x in p.found if x is not None]
+                texts.append(next((x for x in parts if len(x) > longer_than), parts[-1] if parts else ""))
+            short = ["too short" if error_below is not None and len(t) < error_below else None for t in texts]
+            yield pd.DataFrame({key: pdf[key], "text": texts, "error": short})
+
+    return pages.select(key, html).mapInPandas(run, f"`{key}` {dict(pages.dtypes)[key]}, text string, error string")
+
+
+def link_titles(links: DataFrame) -> DataFrame:
+    """Links with title: the heading nearby if it says other than the link, else the last part of the address."""
+    last = F.regexp_extract(F.regexp_replace("href", "[?#].*$|/+$", ""), "([^/]*)$", 1)
+    heading = F.when((F.col("heading") != "") & (F.col("heading") != F.col("text")), F.col("heading"))
+    return links.withColumn("title", F.coalesce(heading, F.nullif(last, F.lit("")), F.col("text")))
+
+
+def marked_links(links: DataFrame, marker: str) -> DataFrame:
+    """Links whose words hold the marker."""
+    return links.where(F.contains("text", F.lit(marker)))
+
+
+def two_levels(first: DataFrame, second: DataFrame) -> DataFrame:
+    """first (page, href) followed to second's links, whose page is that address: page, via, href, text; each address of a page once."""
+    a = first.select("page", F.col("href").alias("via")).distinct()
+    b = second.select(F.col("page").alias("_page"), "href", "text")
+    return a.join(b, F.col("via") == F.col("_page")).groupBy("page", "href").agg(F.min("via").alias("via"), F.min("text").alias("text"))
+
+
+def embedded_folder(html: Column) -> Column:
+    """The id of the folder that a page embeds, by link first, then by frame; null without one."""
+    by_link = F.regexp_extract(html, r"""(?is)<a\b[^>]*href=["'][^"']*embeddedfolderview[^"']*?id=([\w-]+)""", 1)
+    by_frame = F.regexp_extract(html, r"""(?is)<iframe\b[^>]*src=["'][^"']*?id=([\w-]+)""", 1)
+    return F.coalesce(F.nullif(by_link, F.lit("")), F.nullif(by_frame, F.lit("")))
+
+
+def named_files(html: Column) -> Column:
+    """id and name of the files that a page links to; of equal ids the first counts."""
+    links = F.regexp_extract_all(html, F.lit(r"(?s)(/file/d/[\w-]+[^>]*>[^<]*)"), 1)
+    pairs = F.transform(links, lambda e: F.struct(F.regexp_extract(e, r"/file/d/([\w-]+)", 1).alias("id"), F.trim(F.regexp_extract(e, r"(?s)>([^<]*)$", 1)).alias("name")))
+    return F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, F.lit(1), i), lambda q: q["id"] == p["id"]))
+
+
+def paper_pairs(ids: DataFrame, key: str) -> DataFrame:
+    """key, part: the two downloads of each paper, itself and its answer key."""
+    return ids.select(key).distinct().select(key, F.explode(F.array(F.lit("paper"), F.lit("answer"))).alias("part"))
+
+
 def folder_ids(html: Column) -> Column:
     """Ids of shared folders a page links to, each once."""
     return F.array_distinct(F.regexp_extract_all(html, F.lit(r"folders/([\w-]+)"), 1))

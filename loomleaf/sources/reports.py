@@ -39,6 +39,44 @@ def outline_report(outline: DataFrame) -> DataFrame:
     return rows.select("domain", F.concat(F.lit("# "), "domain", F.lit("\n\n"), "rows").alias("report"))
 
 
+def frequency_report(counts: DataFrame, domains: list[str], most: int = 30, each: int = 10) -> DataFrame:
+    """part, report: the most frequent codes of all, with the first domain that has them, and of each domain asked for. counts: domain, code, n."""
+    from loomleaf.operators.analyze import top
+
+    whole = top(counts.groupBy("code").agg(F.sum("n").alias("n"), F.min("domain").alias("domain")), most, [F.desc("n"), F.col("code")])
+    line = F.concat(F.lit("| "), F.col("n").cast("string"), F.lit(" | `"), "code", F.lit("` | "), "domain", F.lit(" |"))
+    first = lines(whole.select(F.lit("all").alias("part"), "n", "code", "domain"), ["part"], line, F.struct(-F.col("n"), "code"), "rows")
+    own = top(counts.where(F.col("domain").isin(domains)), each, [F.desc("n"), F.col("code")], ["domain"])
+    short = F.concat(F.lit("| "), F.col("n").cast("string"), F.lit(" | `"), "code", F.lit("` |"))
+    rest = lines(own.select(F.col("domain").alias("part"), "n", "code"), ["part"], short, F.struct(-F.col("n"), "code"), "rows")
+    both = first.unionByName(rest)
+    return both.select("part", F.concat(F.lit("## "), "part", F.lit("\n\n"), "rows").alias("report"))
+
+
+def probe_report(probes: DataFrame) -> DataFrame:
+    """outcome, n, report: what was found at the addresses probed (url, status, type, size, error), by outcome."""
+    outcome = F.when(F.col("error").isNotNull(), "error").when(F.col("status") == 200, "ok").otherwise("other")
+    t = probes.withColumn("outcome", outcome)
+    line = F.concat(F.lit("| "), "url", F.lit(" | "), F.coalesce(F.col("status").cast("string"), F.lit("—")), F.lit(" | "), F.coalesce("type", F.lit("—")), F.lit(" | "), F.coalesce(F.col("size").cast("string"), F.lit("—")), F.lit(" | "), F.coalesce("error", F.lit("")), F.lit(" |"))
+    n = t.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    return lines(t, ["outcome"], line, F.col("url"), "rows").join(n, "outcome").select("outcome", "n", F.concat(F.lit("| url | status | type | size | error |\n|-|-|-|-|-|\n"), "rows").alias("report"))
+
+
+def grade_order(grade: Column) -> Column:
+    """Places of grades in a table: the six of primary school, then the school levels, others last."""
+    out = F.when(F.contains(grade, F.lit("國小 1")), 0)
+    for i in range(2, 7):
+        out = out.when(F.contains(grade, F.lit(f"國小 {i}")), i - 1)
+    return out.when(F.contains(grade, F.lit("國中")), 6).when(F.contains(grade, F.lit("高中")), 7).otherwise(9)
+
+
+def grade_table(exams: DataFrame) -> DataFrame:
+    """place, grade, subject, n: how many exams each grade has of each subject, 未分 where unknown, with the grade's total as subject 總計, in the order of grades."""
+    t = exams.select(F.coalesce("grade", F.lit("未分")).alias("grade"), F.coalesce("subject", F.lit("未分")).alias("subject")).groupBy("grade", "subject").agg(F.count(F.lit(1)).alias("n"))
+    both = t.unionByName(t.groupBy("grade").agg(F.sum("n").alias("n")).withColumn("subject", F.lit("總計")))
+    return both.select(grade_order(F.col("grade")).alias("place"), "grade", "subject", "n")
+
+
 def schema_text(schema: StructType) -> str:
     """A table's schema as JSON."""
     return schema.json()

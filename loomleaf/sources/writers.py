@@ -47,3 +47,50 @@ def json_documents(df: DataFrame) -> Column:
 def write_documents(df: DataFrame, path: str, text: str, by: list[str]) -> None:
     """Documents as JSON lines in folders by the columns `by`; a rerun replaces only the folders it has rows for."""
     df.select(*by, F.col(text).alias("text")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).json(path)
+
+
+def digest_paths(df: DataFrame, path: str, digest: str) -> DataFrame:
+    """df with paths that several rows share told apart by four more letters of the digest before the extension; a null digest has none.
+
+    Which paths are shared is counted, not ranked, so a path that many rows share is no burden.
+    """
+    shared = df.groupBy(path).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(path).alias("_p"))
+    t = df.join(shared, F.col(path) == F.col("_p"), "left")
+    tail = F.concat(F.lit("-"), F.left(F.col(digest), F.lit(4)), F.lit("$1"))
+    return t.withColumn(path, F.when(F.col("_p").isNotNull() & F.col(digest).isNotNull(), F.regexp_replace(path, r"(\.[A-Za-z0-9]+)$", tail)).otherwise(F.col(path))).drop("_p")
+
+
+def planned(df: DataFrame, by: list[str], text: str) -> DataFrame:
+    """What a writer would write, without writing: rows and bytes by folder."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_documents"), F.sum(F.octet_length(text)).alias("n_bytes"))
+
+
+def chapter_text(title: Column, url: Column, body: Column, links: Column, most: int = 20) -> Column:
+    """A course or chapter as a markdown document with its first media links (kind, href, text)."""
+    listed = F.transform(F.slice(links, 1, most), lambda x: F.concat(F.lit("- "), x["kind"], F.lit(": ["), F.coalesce(F.left(x["text"], F.lit(50)), F.lit("")), F.lit("]("), x["href"], F.lit(")")))
+    media = F.when(F.size(links) > 0, F.concat(F.lit("\n\n## 媒體\n\n"), F.array_join(listed, "\n"))).otherwise("")
+    return frontmatter_text([("title", title), ("source_url", url)], F.concat(F.coalesce(body, F.lit("")), media))
+
+
+def documents_in_files(df: DataFrame, root: str, path: str, text: str) -> DataFrame:
+    """path, written: every document in a file of its own below root, by the tasks that hold the rows. Paths must be distinct; existing files are replaced."""
+    import posixpath
+    from collections.abc import Iterator
+
+    import pandas as pd
+    from pyarrow import fs
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        where, base = fs.FileSystem.from_uri(root)
+        for pdf in it:
+            n = []
+            for p, t in zip(pdf["path"], pdf["text"]):
+                to = posixpath.join(base, p)
+                where.create_dir(posixpath.dirname(to), recursive=True)
+                data = (t or "").encode()
+                with where.open_output_stream(to) as out:
+                    out.write(data)
+                n.append(len(data))
+            yield pd.DataFrame({"path": pdf["path"], "written": n})
+
+    return df.select(F.col(path).alias("path"), F.col(text).alias("text")).mapInPandas(run, "path string, written long")

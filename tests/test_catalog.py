@@ -6,10 +6,10 @@ import duckdb
 import pytest
 from conftest import SMALL
 
-from loomleaf.plans import catalog, core, exams
+from loomleaf.plans import catalog, core, exams, reported
 
-SQL = {**core.SQL, **catalog.SQL, **exams.SQL}
-QUERIES = {**core.QUERIES, **catalog.QUERIES, **exams.QUERIES}
+SQL = {**core.SQL, **catalog.SQL, **exams.SQL, **reported.SQL}
+QUERIES = {**core.QUERIES, **catalog.QUERIES, **exams.QUERIES, **reported.QUERIES}
 
 
 @pytest.fixture(scope="module")
