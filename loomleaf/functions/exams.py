@@ -128,6 +128,9 @@ def national_record(name: Column) -> Column:
     )
 
 
+RECORD_FIELDS = ("source", "stage", "grade_num", "grade_label", "year_roc", "semester", "test_type", "subject", "variant", "school", "license")
+
+
 def record_fields(path: Column) -> list[Column]:
     """source, stage, grade_num, grade_label, year_roc, semester, test_type, subject, variant, school, license of a file, by the kind of its path."""
     name = file_name(path)

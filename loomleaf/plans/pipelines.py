@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from loomleaf.functions import rules, text
 from loomleaf.functions.charset import path_from_latin1
-from loomleaf.functions.exams import voted_subject
+from loomleaf.functions.exams import RECORD_FIELDS, record_fields, subject_of_body, voted_subject
 from loomleaf.operators import analyze, graph, hierarchy, quality
-from loomleaf.runtime import union_all
+from loomleaf.runtime import stripped, union_all
 from loomleaf.sources import readers, reports, writers
 
 
@@ -75,17 +75,22 @@ def extract_exams(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     got = readers.extracted(readers.files(spark, path, ["pdf", "docx", "doc", "xlsx", "txt"]))
     name = F.element_at(F.split("path", "/"), -1)
     coded = rules.coded_name(name)
+    kind = {f: c for f, c in zip(RECORD_FIELDS, record_fields(F.col("path")))}
     records = got.where("reason is null").select(
         "path",
         name.alias("original_filename"),
         "ext",
         "size",
         "sha256",
-        F.coalesce(coded["subject"], rules.first_match(name, rules.SUBJECT_BY_NAME), rules.vote(F.col("text"), rules.SUBJECT_BY_BODY)).alias("subject"),
+        F.coalesce(coded["subject"], kind["subject"], rules.first_match(name, rules.SUBJECT_BY_NAME), subject_of_body(F.col("text"))).alias("subject"),
         F.coalesce(coded["test_type"], rules.first_match(name, rules.TEST_BY_NAME)).alias("test_type"),
         F.coalesce(coded["semester"], F.when(F.contains(name, F.lit("上學期")), "上學期").when(F.contains(name, F.lit("下學期")), "下學期")).alias("semester"),
         F.coalesce(coded["year_roc"], text.nonempty(F.regexp_extract(name, r"^(\d{2,3})[-_]", 1))).alias("year_roc"),
         text.path_fields(F.col("path")).alias("p"),
+        kind["source"],
+        kind["license"],
+        kind["variant"],
+        kind["school"],
         F.col("text").alias("body"),
     )
     return records.select("*", "p.*").drop("p"), got.where("reason is not null").select("path", "reason")
@@ -121,7 +126,7 @@ def relocated(exams: DataFrame, subjects: DataFrame) -> DataFrame:
     found = subjects.where("imputed is not null and origin not in ('given', 'none')").select("exam_id", "imputed", "origin")
     t = exams.where("subject is null or trim(subject) = ''").dropDuplicates(["exam_id"]).join(found, "exam_id")
     old = exam_documents(t.drop("imputed", "origin")).select("exam_id", F.col("path").alias("old_path"))
-    return exam_documents(t.withColumn("subject", F.col("imputed"))).join(old, "exam_id").select("exam_id", "old_path", "path", "text")
+    return exam_documents(t.withColumn("subject", stripped("imputed"))).join(old, "exam_id").select("exam_id", "old_path", "path", "text")
 
 
 def reread(files: DataFrame, exams: DataFrame, reader: dict, least: int = 50) -> DataFrame:

@@ -65,10 +65,10 @@ def exam_writes_planned(spark: SparkSession, d: str) -> DataFrame:
 @query(
     f"""WITH {X}, m AS (SELECT year, semester, grade, school, arg_min(subject, (-c, subject)) AS mode FROM (SELECT coalesce(year_roc, '?') AS year, coalesce(semester, '?') AS semester, coalesce(grade_num::VARCHAR, '?') AS grade, coalesce(school, '?') AS school, subject, count(*) AS c
 FROM (SELECT * REPLACE (nullif(trim(subject, ' '), '') AS subject) FROM x) WHERE subject IS NOT NULL GROUP BY ALL) GROUP BY ALL),
-t AS (SELECT exam_id, stage, grade_label, year_roc, semester, test_type, sha256, regexp_replace(coalesce(body, ''), '\\s|　', '', 'g') AS b, m.mode FROM x LEFT JOIN m ON m.year = coalesce(year_roc, '?') AND m.semester = coalesce(x.semester, '?') AND m.grade = coalesce(grade_num::VARCHAR, '?') AND m.school = coalesce(x.school, '?')
+t AS (SELECT exam_id, sha256, regexp_replace(coalesce(body, ''), '\\s|　', '', 'g') AS b, m.mode FROM x LEFT JOIN m ON m.year = coalesce(year_roc, '?') AND m.semester = coalesce(x.semester, '?') AND m.grade = coalesce(grade_num::VARCHAR, '?') AND m.school = coalesce(x.school, '?')
 WHERE subject IS NULL OR trim(subject, ' ') = ''), u AS (SELECT *, coalesce(CASE WHEN regexp_matches(lower(b), '自然科|自然與生活科技|理化|物理科|化學科|生物科|地科') THEN '自然科學' WHEN regexp_matches(b, '健康與體育|體育科|健體|健康教育') THEN '健康與體育' WHEN regexp_matches(b, '國文|國語|國綜|國寫') THEN '國文'
 WHEN regexp_matches(b, '英文|英語') THEN '英文' WHEN contains(b, '數學') THEN '數學' WHEN regexp_matches(b, '社會|歷史科|地理科|公民科') THEN '社會' END, mode) AS subject FROM t)
-SELECT exam_id, subject, left(coalesce(sha256, ''), 8) AS digest FROM u WHERE subject IS NOT NULL"""
+SELECT exam_id, regexp_replace(subject, '^[\\s　]+|[\\s　]+$', '', 'g') AS subject, left(coalesce(sha256, ''), 8) AS digest FROM u WHERE subject IS NOT NULL"""
 )
 def exam_relocated(spark: SparkSession, d: str) -> DataFrame:
     """Records whose subject was found later, with the subject in their new frontmatter and the digest in their new name."""

@@ -99,7 +99,7 @@ def test_pipelines(spark, tmp_path):
     d = tmp_path / "drive" / "grade7" / "上學期"
     d.mkdir(parents=True)
     (d / "7N11421.txt").write_text("實驗 試管", "utf-8")
-    (d / "109-無題.txt").write_text("史料與地圖，史料與地圖", "utf-8")
+    (d / "109-無題.txt").write_text("社會科：史料與地圖", "utf-8")
     (d / "b.xlsx").write_bytes(b"x")
     records, failures = pipelines.extract_exams(spark, str(tmp_path))
     rows = {r.original_filename: r for r in records.collect()}
