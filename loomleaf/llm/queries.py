@@ -73,8 +73,13 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixed(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
 
 
+def _passages(spark: SparkSession, d: str) -> DataFrame:
+    """Reading passages, whose kind has no area."""
+    return table(spark, d, "eval_items").select("text")
+
+
 def _subjects(spark: SparkSession, d: str) -> DataFrame:
-    return subjects.document_subjects(table(spark, d, "documents"), table(spark, d, "area_labels"))
+    return subjects.document_subjects(table(spark, d, "documents"), table(spark, d, "area_labels"), other=_passages(spark, d))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
@@ -83,7 +88,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_topics(spark: SparkSession, d: str) -> DataFrame:
     """The terms that tell each topic best, with the area it was mapped to."""
-    return subjects.topic_terms(table(spark, d, "documents"), table(spark, d, "area_labels"))
+    return subjects.topic_terms(table(spark, d, "documents"), table(spark, d, "area_labels"), other=_passages(spark, d))
 
 
 def p9_composition(spark: SparkSession, d: str) -> DataFrame:

@@ -30,6 +30,8 @@ TERMS, SLICES, FITTING = 1 << 18, 16, 4
 INNER = 4
 #: Labels used to start the topics and to name them, chosen by hash: at most about so many.
 LABELLED = 200_000
+#: Texts that start the topic of another kind, at most about so many.
+OTHERS = 20_000
 #: Sentences a subject needs; terms of a topic that are looked up to name it.
 SENTENCES, TOP = 3, 200
 #: Prior share of sentences of no subject, prior weight of each subject in a document.
@@ -124,16 +126,17 @@ class Batch:
                 acc[t[starts]] += np.add.reduceat(of_occurrences[order], starts, axis=0)
 
 
-def inferred(b: Batch, told: Rows, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Topic shares of every sentence and, in sentences, of every document, for fixed topics."""
+def inferred(b: Batch, told: Rows, width: int, free: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Topic shares of every sentence and, in sentences, of every document, for fixed topics; the first and the last `free` are of no subject."""
     if not b.sentences:
         return np.zeros((0, width)), np.zeros((b.docs, width))
     one, two = told[b.term], told[b.twin]
     score = np.add.reduceat(np.where(np.abs(one) < np.abs(two), one, two), b.first, axis=0).astype(np.float64)
     q, held = score, np.zeros((b.docs, width))
     for _ in range(INNER):
-        theta = held[:, 1:] + ALPHA
-        prior = np.concatenate([np.full((b.docs, 1), NONE), (1 - NONE) * theta / np.maximum(theta.sum(1, keepdims=True), 1e-9)], 1)
+        theta = held[:, 1 : width - free] + ALPHA
+        none = np.full((b.docs, 1), NONE)
+        prior = np.concatenate([none, (1 - NONE) * theta / np.maximum(theta.sum(1, keepdims=True), 1e-9), *[none] * free], 1)
         q = score + np.log(prior)[b.doc_of]
         q = np.exp(q - q.max(1, keepdims=True))
         q /= q.sum(1, keepdims=True)
@@ -190,8 +193,8 @@ def _featured(docs: DataFrame, key: str) -> DataFrame:
 class Model:
     """What each hashed term tells for each topic (log of its share there against its share overall), and the topics' areas."""
 
-    def __init__(self, told: np.ndarray, areas: list[int | None]):
-        self.told, self.areas, self.width = Rows(told), areas, told.shape[1]
+    def __init__(self, told: np.ndarray, areas: list[int | None], free: int = 0):
+        self.told, self.areas, self.width, self.free = Rows(told), areas, told.shape[1], free
 
 
 def telling(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -213,8 +216,8 @@ def named(counts: np.ndarray, told: np.ndarray, labelled: np.ndarray, areas: lis
     return out
 
 
-def fit(feats: DataFrame, labels: DataFrame) -> Model:
-    """feats: what _featured gives; labels: key, area_id."""
+def fit(feats: DataFrame, labels: DataFrame, other: list[str] | None = None, fold: Fold | None = None) -> Model:
+    """feats: what _featured gives; labels: key, area_id; other: texts of a kind that is of no subject, which start one more topic."""
     labels = labels.where("key is not null and area_id is not null").select("key", "area_id").distinct()
     n_labels = labels.count()
     if n_labels > LABELLED:
@@ -243,28 +246,49 @@ def fit(feats: DataFrame, labels: DataFrame) -> Model:
     start = telling(labelled, there)
     start[(labelled + SMOOTH * labelled.sum(0) / max(labelled.sum(), 1e-9)) < STARTING * (there[:, None] + SMOOTH)] = 0
     start = np.concatenate([np.zeros((TERMS, 1), np.float32), start], 1)
-    told, counts, areas_of = start, first, [None, *areas]
+    free = 0
+    if other:
+        # What such texts say more often than the corpus starts the topic, once two of their sentences have it.
+        seen = np.zeros(TERMS)
+        for t in other:
+            for x in sentences(t):
+                seen[[h for pair in hashed(x, fold or {}) for h in pair]] += 1
+        lift = np.log((seen / max(seen.sum(), 1) + 1e-12) / (n / max(n.sum(), 1) + 1e-12))
+        start = np.concatenate([start, (np.clip(lift, 0, MOST) * ((seen >= 2) & (n > 0)))[:, None].astype(np.float32)], 1)
+        free = 1
+    width = k + 1 + free
+    told, areas_of = start, [None, *areas] + [None] * free
     for _ in range(FITTING):
 
         def expectation(acc: np.ndarray, b: Batch, pdf: pd.DataFrame, told: Rows = Rows(told)) -> None:  # noqa: B008
-            b.add(acc, inferred(b, told, k + 1)[0].astype(np.float32)[b.sentence])
+            b.add(acc, inferred(b, told, width, free)[0].astype(np.float32)[b.sentence])
 
-        counts = _summed(feats, tasks, k + 1, expectation).astype(np.float64)
+        counts = _summed(feats, tasks, width, expectation).astype(np.float64)
         told = telling(counts, n)
-        areas_of = named(counts, told, labelled, areas)
-    return Model(told, areas_of)
+        areas_of = named(counts[:, : k + 1], told, labelled, areas) + [None] * free
+    return Model(told, areas_of, free)
 
 
-def document_subjects(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+def _texts(other: DataFrame | None) -> list[str]:
+    """Texts that start the topic of another kind: all, or about OTHERS of them by hash."""
+    if other is None:
+        return []
+    c = F.col(other.columns[0])
+    other = other.where(c.isNotNull()).distinct()
+    n = other.count()
+    return [r[0] for r in (other if n <= OTHERS else other.where(F.pmod(F.xxhash64(c), F.lit(1_000_000)) < int(1_000_000 * OTHERS / n))).collect()]
+
+
+def document_subjects(docs: DataFrame, labels: DataFrame, key: str = "doc_id", other: DataFrame | None = None) -> DataFrame:
     """key, area_id, n_sentences for each document and area whose topic proportion amounts to SENTENCES sentences.
 
     docs has key and text; labels has the key and area_id (human labels of a part of the
-    documents). n_sentences is the proportion times the number of sentences, rounded. Null and
+    documents); other has one column of texts of a kind that is of no subject. n_sentences is the proportion times the number of sentences, rounded. Null and
     empty texts and documents without sentences give no rows, repeated rows count once.
     Without labels there are no areas and no rows.
     """
     feats = _featured(docs, key)
-    model = fit(feats, labels.select(F.col(key).cast("bigint").alias("key"), "area_id"))
+    model = fit(feats, labels.select(F.col(key).cast("bigint").alias("key"), "area_id"), _texts(other), folding(docs.sparkSession))
     areas = sorted({a for a in model.areas if a is not None})
     place = np.array([[a == b for b in areas] for a in model.areas], np.float64).reshape(len(model.areas), len(areas))
 
@@ -272,21 +296,21 @@ def document_subjects(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -
         for pdf in (part for whole in it for part in chunks(whole)):
             out = []
             if areas:
-                n = np.rint(inferred(Batch(pdf), model.told, model.width)[1] @ place).astype(np.int64)
+                n = np.rint(inferred(Batch(pdf), model.told, model.width, model.free)[1] @ place).astype(np.int64)
                 out = [(int(pdf["key"].iat[d]), int(areas[a]), int(n[d, a])) for d, a in zip(*np.nonzero(n >= SENTENCES))]
             yield pd.DataFrame(out, columns=[key, "area_id", "n_sentences"])
 
     return feats.mapInPandas(run, f"`{key}` long, area_id int, n_sentences long")
 
 
-def topic_terms(docs: DataFrame, labels: DataFrame, key: str = "doc_id", most: int = 12) -> DataFrame:
+def topic_terms(docs: DataFrame, labels: DataFrame, key: str = "doc_id", most: int = 12, other: DataFrame | None = None) -> DataFrame:
     """topic, area_id, rank, term, n_docs: each topic's terms that tell it best, for inspection, with the area it was mapped to.
 
     Topic 0 takes what is of no subject. Terms are counted by documents over the whole corpus.
     """
     feats = _featured(docs, key)
-    model = fit(feats, labels.select(F.col(key).cast("bigint").alias("key"), "area_id"))
     fold = folding(docs.sparkSession)
+    model = fit(feats, labels.select(F.col(key).cast("bigint").alias("key"), "area_id"), _texts(other), fold)
     areas = docs.sparkSession.createDataFrame([(t, a) for t, a in enumerate(model.areas)], "topic int, area_id int")
 
     def met(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
