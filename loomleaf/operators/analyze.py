@@ -129,16 +129,44 @@ def align_textbooks(textbooks: DataFrame, codes: DataFrame) -> DataFrame:
     """textbook_id, codes (distinct, sorted), n_performance, n_content: the codes of each textbook's domain and stage.
 
     A textbook without stage takes all stages of its domain. codes: domain, stage, code, type.
-    Codes are gathered per domain and stage first, so what is joined has a row for each of these.
+    Codes are gathered, sorted and counted per domain and stage first, so what is joined has a row for each of these.
+    The result holds every list as often as textbooks have it; alignment_totals gives the numbers alone.
     """
-    per = codes.groupBy("domain", "stage").agg(F.collect_set(F.when(F.col("code").isNotNull(), F.struct("code", "type"))).alias("s"))
-    whole = codes.groupBy("domain").agg(F.collect_set(F.when(F.col("code").isNotNull(), F.struct("code", "type"))).alias("s")).withColumn("stage", F.lit("*"))
-    both = per.where("stage is not null").unionByName(whole.select("domain", "stage", "s"))
-    t = textbooks.select("textbook_id", "domain", F.coalesce("stage", F.lit("*")).alias("stage")).distinct().join(both, ["domain", "stage"], "left")
-    s = F.coalesce(F.col("s"), F.array().cast("array<struct<code:string,type:string>>"))
-    return t.select(
-        "textbook_id",
-        F.array_sort(F.array_distinct(F.transform(s, lambda x: x["code"]))).alias("codes"),
-        F.size(F.filter(s, lambda x: x["type"] == "performance")).cast("bigint").alias("n_performance"),
-        F.size(F.filter(s, lambda x: x["type"] == "content")).cast("bigint").alias("n_content"),
+    given = F.collect_set(F.when(F.col("code").isNotNull(), F.struct("code", "type")))
+    per = codes.where("stage is not null").groupBy("domain", "stage").agg(given.alias("s"))
+    whole = codes.groupBy("domain").agg(given.alias("s")).withColumn("stage", F.lit(None).cast("string"))
+    lists = per.unionByName(whole).select(
+        "domain",
+        "stage",
+        F.array_sort(F.array_distinct(F.transform("s", lambda x: x["code"]))).alias("codes"),
+        F.size(F.filter("s", lambda x: x["type"] == "performance")).cast("bigint").alias("n_performance"),
+        F.size(F.filter("s", lambda x: x["type"] == "content")).cast("bigint").alias("n_content"),
     )
+    t = _aligned(textbooks, lists)
+    return t.select("textbook_id", F.coalesce("codes", F.array().cast("array<string>")).alias("codes"), *_or_zero("n_performance", "n_content"))
+
+
+def alignment_totals(textbooks: DataFrame, codes: DataFrame) -> DataFrame:
+    """textbook_id, n_codes, n_performance, n_content, first_code of the codes that align_textbooks lists, without the lists.
+
+    A type's number counts a null code too, as the SQL twin does. Every code counts once per domain and stage, and once per domain; both come from one pass, and a textbook meets one row of
+    totals. So neither a hot domain nor the number of its codes weighs on a task or on a textbook.
+    """
+    kinds = [F.max(F.coalesce(F.col("type") == k, F.lit(False)).cast("int")).alias(f"n_{k}") for k in ("performance", "content")]
+    known = codes.where("domain is not null")
+    each = known.groupingSets([["domain", "stage", "code"], ["domain", "code"]], "domain", "stage", "code").agg(*kinds, F.grouping("stage").alias("whole"))
+    totals = each.where("whole = 1 or stage is not null").groupBy("domain", "stage").agg(
+        F.count("code").alias("n_codes"), F.sum("n_performance").alias("n_performance"), F.sum("n_content").alias("n_content"), F.min("code").alias("first_code")
+    )
+    return _aligned(textbooks, totals).select("textbook_id", *_or_zero("n_codes", "n_performance", "n_content"), "first_code")
+
+
+def _aligned(textbooks: DataFrame, groups: DataFrame) -> DataFrame:
+    """Each textbook with the row of its domain and stage; the row without stage is the whole domain's, for textbooks without one."""
+    g = groups.withColumnsRenamed({"domain": "_domain", "stage": "_stage"})
+    t = textbooks.select("textbook_id", "domain", "stage").distinct()
+    return t.join(g, (F.col("domain") == F.col("_domain")) & F.col("stage").eqNullSafe(F.col("_stage")), "left")
+
+
+def _or_zero(*names: str) -> list[Column]:
+    return [F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in names]
